@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, packing, pii
-from .common import table
+from . import attention, chat, packing, pii, quality, toxicity
+from .common import remainder, table
 
 
 def tokenizer_path() -> str:
@@ -18,6 +19,12 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model, keep=["doc_id"])
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
@@ -29,6 +36,22 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(chat.from_rows(rows)))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return _held_out(toxicity.score(docs, model, keep=["doc_id"]), 3, 1).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
+def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = attention.fit(docs, table(spark, sf_dir, "labels"), remainder(4) != 2)
+    return _held_out(attention.score(docs, model, keep=["doc_id"]), 4, 2).select("doc_id", "held_out", "score", "predicted", "top_passage")
+
+
+def _held_out(scored: DataFrame, by: int, rest: int) -> DataFrame:
+    return scored.withColumn("held_out", remainder(by) == rest).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 OP7_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -44,5 +67,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {"op1_pack": op1_pack, "op4_pii": op4_pii, "op7_chat": op7_chat}
+QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op4_pii": op4_pii, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention}
 ORACLE_SQL = {"op7_chat": OP7_SQL}
