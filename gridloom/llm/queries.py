@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, chat, packing, pii, quality, toxicity
+from . import attention, chat, lsh_forest, packing, pii, quality, toxicity
 from .common import remainder, table
 
 
@@ -48,6 +48,10 @@ def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(attention.score(docs, model, keep=["doc_id"]), 4, 2).select("doc_id", "held_out", "score", "predicted", "top_passage")
 
 
+def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), 85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def _held_out(scored: DataFrame, by: int, rest: int) -> DataFrame:
     return scored.withColumn("held_out", remainder(by) == rest).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
@@ -67,5 +71,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op4_pii": op4_pii, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention}
-ORACLE_SQL = {"op7_chat": OP7_SQL}
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_n FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (
+  SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * both_n >= 85 * (na.n + nb.n - both_n)),
+reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.node)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.node) AS component_id, r.doc_id = min(r.node) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op4_pii": op4_pii, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest}
+ORACLE_SQL = {"op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL}
