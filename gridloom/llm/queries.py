@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, chat, lsh_forest, packing, pii, quality, toxicity
+from . import attention, chat, decontamination, licenses, lsh_forest, packing, pii, quality, substrings, toxicity
 from .common import remainder, table
 
 
@@ -25,10 +25,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, model, keep=["doc_id"])
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    shown = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    chars = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", F.size("spans").cast("long").alias("n_spans"), chars.alias("removed_chars"), shown.alias("removed_spans"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -38,7 +54,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.TRAIN)
     return _held_out(toxicity.score(docs, model, keep=["doc_id"]), 3, 1).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
@@ -89,5 +105,5 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.node) AS compo
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op4_pii": op4_pii, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest}
-ORACLE_SQL = {"op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL}
+QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op3_licenses": op3_licenses, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest}
+ORACLE_SQL = {"op3_licenses": licenses.oracle(), "op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL}

@@ -36,6 +36,9 @@ from .learn import platt, sigmoid
 
 MAX_EXAMPLES, MAX_TERMS, MIN_DOCS, MIN_Z, NEIGHBOURS, BLOCK = 12_000, 1024, 8, 6.0, 24, 64
 
+#: Condition on rows whose labels may be learnt; the others are held out. SQL text, as no session is there yet.
+TRAIN = "pmod(crc32(cast(cast(doc_id as string) as binary)), 3) != 1"
+
 
 def _terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words([t if t.isascii() else t.decode().lower().encode() for t in texts], NOT_ALNUM, lower=True)
