@@ -38,11 +38,3 @@ def query(sql: str | None = None, signals: bool = True):
         return f
 
     return register
-
-
-def load() -> None:
-    """Imports every module of queries."""
-    from . import analysis, cleaning, functions, lineage, scans  # noqa: F401
-
-
-load()

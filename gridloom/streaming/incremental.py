@@ -18,9 +18,10 @@ def new_files(spark: SparkSession, path: str, schema: T.StructType, max_files: i
 
 
 def slot_totals(rows: DataFrame, value: str, late: str = "1 hour", slot: str = "5 minutes") -> DataFrame:
-    """Sums and counts by five-minute slot and source; a slot is closed once rows are that much later."""
-    made = rows.withWatermark("timestamp", late).groupBy(F.window("timestamp", slot), "source").agg(F.sum(value).alias("total_mw"), F.count("*").alias("n"))
-    return made.select(F.col("window.start").alias("slot"), "source", "total_mw", "n")
+    """Sums and counts by five-minute slot and source; a slot is closed once rows are that much later. Watermarks take zoned timestamps only, so the session's zone stands in for none."""
+    timed = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", late)
+    made = timed.groupBy(F.window("timestamp", slot), "source").agg(F.sum(value).alias("total_mw"), F.count("*").alias("n"))
+    return made.select(F.col("window.start").cast("timestamp_ntz").alias("slot"), "source", "total_mw", "n")
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
