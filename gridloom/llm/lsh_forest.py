@@ -18,8 +18,9 @@
 4. Links of all regions give the components.
 
 What meets in one task: a region's signatures, then a block's sets (REGION at
-most).  What is shuffled: a signature, 16 short forest rows for each class, the
-texts once, and sets of classes that have candidates.
+most).  What is shuffled: a signature, 16 short forest rows for each class, and
+sets of classes that have candidates; texts aren't.  A bitmap of fixed size at
+most tells the second reading of the texts which of them have candidates.
 
 Edge cases.  Null texts, and texts without words, have the empty set: they are
 linked with nothing and kept.  Shorter texts are one shingle.  Texts are taken
@@ -41,7 +42,7 @@ from .common import as_bytes, map_text, slices, stage
 from .components import components
 from .kernels import RUN_KEYS, U64, mix, shingle_sets, stream
 
-HASHES, REGION, MISS, WORDS = 64, 4096, 1e-5, 5
+HASHES, REGION, MISS, WORDS, MAX_BITS = 64, 4096, 1e-5, 5, 26
 KEYS = stream(HASHES, 5)
 
 
@@ -189,12 +190,43 @@ def _verify(depth: int, least: int, percent: int):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = as_bytes(batch.column(1))
-        for a, b in slices(texts):
-            made = [s.tobytes() for s in shingle_sets(texts[a:b], WORDS)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(made, pa.binary())], names=["rep", "shingles"])
+def _bit(ids: np.ndarray, bits: int) -> np.ndarray:
+    return mix(ids.astype(np.int64).view(U64) + U64(1)) >> U64(64 - bits)
+
+
+def wanted(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap in which the bit of every id is set, and the binary logarithm of its size: eight bits for an id, 2^MAX_BITS at most.
+
+    It only spares texts that no block needs: an id too many is dropped by the
+    join that follows.  Tasks merge their words before any comes to the driver.
+    """
+    bits = min(MAX_BITS, max(12, (8 * ids.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros((1 << bits) // 64, U64)
+        for batch in batches:
+            at = _bit(batch.column(0).to_numpy(), bits)
+            np.bitwise_or.at(own, (at >> U64(6)).astype(np.int64), U64(1) << (at & U64(63)))
+        some = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[some].view(np.int64))], names=["word", "bits"])
+
+    found = ids.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros((1 << bits) // 64, U64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(U64)
+    return out, bits
+
+
+def _sets(bitmap: np.ndarray, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bit(batch.column(0).to_numpy(), bits)
+            batch = batch.filter(pa.array(bitmap[(at >> U64(6)).astype(np.int64)] >> (at & U64(63)) & U64(1) == 1))
+            texts = as_bytes(batch.column(1))
+            for a, b in slices(texts):
+                made = [s.tobytes() for s in shingle_sets(texts[a:b], WORDS)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(made, pa.binary())], names=["rep", "shingles"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -208,14 +240,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = stage(map_text(docs, _sign, "n_shingles long, f1 long, f2 long, signature binary", keep=["doc_id"]), "signatures")
     full = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = full.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
+    classes = stage(full.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     own = F.when(F.col("doc_id") == F.col("rep"), F.col("signature")).alias("signature")
     members = stage(full.join(classes, ["n_shingles", "f1", "f2"]).select("doc_id", "n_shingles", "rep", own), "members")
     forest = members.where("signature IS NOT NULL").select("rep", "signature").mapInArrow(_plant(depth), "region long, rep long, minima binary")
     dealt = forest.repartition("region").sortWithinPartitions("region")
     seats = stage(dealt.mapInArrow(_seat(depth, least), "block long, tree int, rep long, minima binary"), "seats")
-    texts = docs.withColumnRenamed("doc_id", "rep").join(seats.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
-    sets = texts.mapInArrow(_sets, "rep long, shingles binary")
+    named_docs = docs.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep")
+    sets = named_docs.mapInArrow(_sets(*wanted(seats.select("rep"))), "rep long, shingles binary")
     blocks = seats.join(sets, "rep").select("block", "tree", "rep", "minima", "shingles").repartition("block").sortWithinPartitions("block")
     found = components(blocks.mapInArrow(_verify(depth, least, percent), "a long, b long"))
     named = members.join(found, members["rep"] == found["node"], "left").select("doc_id", "n_shingles", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
