@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 KINDS = ("message", "delta", "edit", "regenerate")
-_MESSAGE = re.compile(re.escape(TURN) + r"([^|]*?)" + re.escape(TEXT) + r"(.*?)" + re.escape(END), re.S)
+_MESSAGE = re.compile(re.escape(TURN) + r"(.*?)" + re.escape(TEXT) + r"(.*?)" + re.escape(END), re.S)
 _ESCAPED = re.compile(r"([\\<\[])\\")
 
 
