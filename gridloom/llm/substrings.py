@@ -125,8 +125,8 @@ def _merged(spans: DataFrame) -> DataFrame:
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """The documents without what the spans cover."""
     pieces = F.expr(
-        "array_join(transform(sequence(0, size(spans)), i -> substring(text, if(i = 0, 1, cast(spans[i - 1].end as int) + 1),"
-        " if(i = size(spans), length(text), cast(spans[i].start as int)) - if(i = 0, 0, cast(spans[i - 1].end as int)))), '')"
+        "array_join(transform(sequence(0, size(__spans)), i -> substring(text, if(i = 0, 1, cast(__spans[i - 1].end as int) + 1),"
+        " if(i = size(__spans), length(text), cast(__spans[i].start as int)) - if(i = 0, 0, cast(__spans[i - 1].end as int)))), '')"
     )
-    joined = docs.join(spans.select("doc_id", "spans"), "doc_id", "left")
-    return joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(pieces)).select(*docs.columns)
+    joined = docs.join(spans.select("doc_id", F.col("spans").alias("__spans")), "doc_id", "left")
+    return joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(pieces)).select(*docs.columns)
