@@ -54,7 +54,10 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     kind = CLASS[buf]
     two = kind[:-1] * 16 + kind[1:]
     own = np.repeat(np.arange(bag[-1]), np.diff(np.append(at, len(two))))
-    x = np.bincount(own * 256 + two, minlength=256 * bag[-1]).reshape(-1, 256)
+    inside = np.ones(len(two), bool)  # pairs of one text only: a score doesn't depend on what text comes next
+    inside[base[1:] - 1] = inside[np.maximum(base[1:] - 2, 0)] = False
+    inside[-1] = False
+    x = np.bincount((own * 256 + two)[inside], minlength=256 * bag[-1]).reshape(-1, 256)
     x = np.sqrt(x / np.maximum(x.sum(1, keepdims=True), 1)).astype(np.float32)
     last = np.minimum(first + PASSAGE, before[doc + 1])
     size = np.maximum(last - first, 0)
@@ -62,7 +65,7 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((h, which))
     same = (which[order][1:] == which[order][:-1]) & (h[order][1:] == h[order][:-1])
     again = np.bincount(which[order][1:][same], minlength=bag[-1])
-    length = np.diff(np.append(at, len(two)))
+    length = np.minimum(np.append(at[1:], len(two)), base[doc + 1] - 1) - at
     figures = np.stack([again / np.maximum(size, 1), np.minimum(length / np.maximum(size, 1), 40) / 20, size / PASSAGE, np.ones(bag[-1])], 1)
     return np.concatenate([x, figures.astype(np.float32)], 1), bag
 

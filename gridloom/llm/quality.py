@@ -54,7 +54,7 @@ def counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Table indexes of word grams and of character grams, with their bounds by text."""
+    """Table indexes of word grams and of character grams, with their bounds (start, end) by text."""
     h, before = words(texts, lower=True)
     pair = grams(h, 2)
     ends = before[1:-1] - 1
@@ -71,14 +71,15 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     three = buf[:-2] | buf[1:-1] << np.uint32(8) | buf[2:] << np.uint32(16) if len(buf) > 2 else np.zeros(0, np.uint32)
     one = buf[: len(three)] + np.uint32(1 << 24)
     hashed = [((x * np.uint32(0x9E3779B1)) >> np.uint32(17)).astype(np.int64) for x in (three, one)]
-    char_at = np.cumsum([0] + [len(t) + 2 for t in texts])
-    char_at[-1] = len(three)
-    return word_idx, word_at, np.stack(hashed, 1).ravel(), 2 * char_at
+    size = np.array([len(t) for t in texts], np.int64)
+    first = np.cumsum(size + 2) - size - 2
+    # only grams that begin in the text itself: a score doesn't depend on what text comes next
+    return word_idx, np.stack([word_at[:-1], word_at[1:]], 1), np.stack(hashed, 1).ravel(), 2 * np.stack([first, first + size], 1)
 
 
 def _means(weights: np.ndarray, idx: np.ndarray, at: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(weights[idx], dtype=np.float64)])
-    return (total[at[1:]] - total[at[:-1]]) / np.maximum(np.diff(at), 1)
+    return (total[at[:, 1]] - total[at[:, 0]]) / np.maximum(at[:, 1] - at[:, 0], 1)
 
 
 @dataclass
@@ -102,9 +103,9 @@ def _sparse(texts: list[bytes]) -> list:
     for i in range(len(texts)):
         idx, val = [], []
         for table, at, shift in ((word_idx, word_at, 0), (char_idx, char_at, WIDTH)):
-            k, n = np.unique(table[at[i] : at[i + 1]], return_counts=True)
+            k, n = np.unique(table[at[i, 0] : at[i, 1]], return_counts=True)
             idx.append((k + shift).astype(np.uint16))
-            val.append((n / max(1, at[i + 1] - at[i])).astype(np.float32))
+            val.append((n / max(1, at[i, 1] - at[i, 0])).astype(np.float32))
         out[0].append(np.concatenate(idx).tobytes())
         out[1].append(np.concatenate(val).tobytes())
     return out
