@@ -1,6 +1,6 @@
 """All queries: importing this module registers them."""
 
-from . import analysis, cleaning, functions, lineage, scans  # noqa: F401
+from . import analysis, cleaning, functions, inventory, lineage, scans  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
