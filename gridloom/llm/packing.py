@@ -19,8 +19,9 @@ that is run again numbers them the same.
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from .common import as_bytes, slices
 MAX_LENGTH = 4096
 END_ID = 2
 #: Words whose ids a worker keeps, some 200 bytes each; then it starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 
 
 class Words:
@@ -45,9 +46,7 @@ class Words:
     encoded many at a time, and then those of the punctuation.
     """
 
-    SIMPLE = re.compile(r"([^\W\d_]+)([.,;:!?|#*$%&]*)")
-    #: Letters whose small form isn't simply theirs.
-    ODD = re.compile("[\u0130\u03a3]")
+    MARKS = ".,;:!?|#*$%&"
     AT_ONCE = 500
 
     def __init__(self, path: str):
@@ -57,10 +56,24 @@ class Words:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = self._bare()
         self.known: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {"": b""}
         self.marks: dict[str, bytes] = {"": b""}
 
+    def _bare(self):
+        """The same model without steps that leave small composed letters as they are; the whole tokenizer if it has others."""
+        from tokenizers import Tokenizer
+        from tokenizers import pre_tokenizers as pre
+
+        made = json.loads(self.tokenizer.to_str())
+        listed = lambda x, inner: [y["type"] for y in (x or {}).get(inner, [x] if x else [])]
+        if not set(listed(made["normalizer"], "normalizers")) <= {"NFC", "Replace", "Lowercase"} or listed(made["pre_tokenizer"], "pretokenizers") != ["Split", "ByteLevel"]:
+            return self.tokenizer
+        bare = Tokenizer(self.tokenizer.model)
+        bare.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return bare
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         found = [t.split() for t in texts]  # on the six ASCII white spaces
@@ -74,14 +87,21 @@ class Words:
     def alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def small(self, text: str) -> tuple[str, str] | None:
+        """Small composed letters and the punctuation that follows them, if a string is no more than that."""
+        letters = text.rstrip(self.MARKS)
+        low = letters.lower()
+        if letters.isalpha() and (low.isascii() or (low.isalpha() and len(low) == len(letters) and "\u03a3" not in letters and is_normalized("NFC", low))):
+            return low, text[len(letters) :]
+        return None
+
     def learn(self, new: list[bytes]) -> None:
         texts = [w.decode() for w in new]
-        parts = [None if self.ODD.search(t) else self.SIMPLE.fullmatch(t) for t in texts]
-        small = [m and m[1].lower() for m in parts]
-        unknown = list({w for w in small if w and w not in self.letters})
+        parts = [self.small(t) for t in texts]
+        unknown = list({p[0] for p in parts if p}.difference(self.letters))
         for i in range(0, len(unknown), self.AT_ONCE):
             some = unknown[i : i + self.AT_ONCE]
-            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            made = self.bare.encode(" ".join(some), add_special_tokens=False)
             ids, at = np.array(made.ids, "<u4"), np.array(made.word_ids)
             first = np.flatnonzero(np.diff(at, prepend=-1))
             if len(first) != len(some):  # a word that normalisation cuts
@@ -89,13 +109,14 @@ class Words:
                 continue
             raw, cut = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
             self.letters.update((w, raw[a:b]) for w, a, b in zip(some, cut, cut[1:], strict=False))
-        for word, text, m, low in zip(new, texts, parts, small, strict=True):
-            if m is None:
+        for word, text, part in zip(new, texts, parts, strict=True):
+            if part is None:
                 self.known[word] = self.alone(text)
                 continue
-            if m[2] not in self.marks:
-                self.marks[m[2]] = self.alone(m[2])
-            self.known[word] = self.letters[low] + self.marks[m[2]]
+            low, mark = part
+            if mark not in self.marks:
+                self.marks[mark] = self.alone(mark)
+            self.known[word] = self.letters[low] + self.marks[mark]
 
 
 def lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
