@@ -5,7 +5,8 @@ signs of disguise then pass through three transducers, each of which keeps, for
 every character it writes, the span of source characters it came from:
 
 1. homoglyphs: full-width forms, look-alike letters, other scripts' digits and
-   dashes become ASCII; invisible characters vanish;
+   dashes become ASCII; invisible characters vanish; among digits, the letters O
+   and l become digits;
 2. spelled digits: runs of digit words ("four two double nine", with "plus" and
    "dot") become digits;
 3. at/dot disguises: "name (at) host [dot] org", "name at host dot org".
@@ -91,6 +92,11 @@ _LOOK_ALIKE |= {chr(0x1D7CE + i): str(i % 10) for i in range(50)}
 _LOOK_ALIKE_SET = frozenset(_LOOK_ALIKE)
 _LOOK_ALIKE_RE = re.compile("[" + "".join(map(re.escape, _LOOK_ALIKE)) + "]")
 
+# Letters that stand for digits among digits.
+_DIGIT_LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
+_CONFUSED_HINT = re.compile(r"[0-9][ -]?[OolI][0-9OolI. -]")
+_CONFUSED = re.compile(r"(?<![A-Za-z0-9.])\+?[0-9OolI][0-9OolI.()\x20-]{5,}[0-9OolI](?![A-Za-z0-9])")
+
 # Digit words of the corpus's languages.
 _WORDS = {
     **dict(zip("zero one two three four five six seven eight nine".split(), "0123456789", strict=True)), "oh": "0",
@@ -150,6 +156,12 @@ class Tape:
 def _homoglyphs(tape: Tape) -> None:
     if not tape.text.isascii():
         tape.rewrite([(m.start(), m.end(), _LOOK_ALIKE[m[0]]) for m in _LOOK_ALIKE_RE.finditer(tape.text)])
+    edits = []
+    for m in _CONFUSED.finditer(tape.text):
+        letters = [i for i in range(m.start(), m.end()) if tape.text[i] in _DIGIT_LIKE]
+        if letters and sum(c.isdigit() for c in m[0]) >= 2 * len(letters):
+            edits += [(i, i + 1, _DIGIT_LIKE[tape.text[i]]) for i in letters]
+    tape.rewrite(edits)
 
 
 def _spelled(tape: Tape) -> None:
@@ -193,7 +205,7 @@ def disguised(text: str) -> list[Span]:
     """Identifiers in the normalised text, as spans of the source; none if nothing was normalised."""
     if text.isascii() or _LOOK_ALIKE_SET.isdisjoint(text):
         low = text.lower()
-        if not any(h in low for h in _HINTS) and not _spelled_here(low):
+        if not any(h in low for h in _HINTS) and not _spelled_here(low) and not _CONFUSED_HINT.search(text):
             return []
     tape = Tape(text)
     _homoglyphs(tape)

@@ -43,6 +43,7 @@ def test_base_against_the_patterns(text):
         ("card four two four two four two four two four two four two four two four two end", "four two four two four two four two four two four two four two four two"),
         ("ip one nine two dot one six eight dot zero dot one x", "one nine two dot one six eight dot zero dot one"),
         ("10[.]0[.]0[.]1", "10[.]0[.]0[.]1"), ("ｊｏｅ＠ｈｏｓｔ．ｃｏｍ", "ｊｏｅ＠ｈｏｓｔ．ｃｏｍ"), ("pay 4242​4242​4242​4242", "4242​4242​4242​4242"), ("an ivan@exаmple.com", "ivan@exаmple.com"),
+        ("pay 4l11 1111 1l11 1111 now", "4l11 1111 1l11 1111"), ("6O11 OOO9 9O13 9424", "6O11 OOO9 9O13 9424"), ("pay 4242 4242 4242 424Z", None), ("call +l 555 O55 5555.", "+l 555 O55 5555"), ("host 1O.0.0.1 up", "1O.0.0.1"), ("4532O15112830366", "4532O15112830366"),
         ("look at the dot on map", None), ("he was at home dot the", None), ("one two three", None), ("plain words", None),
     ],
 )
