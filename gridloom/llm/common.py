@@ -52,11 +52,11 @@ def release() -> None:
             return
 
 
-def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of SLICE bytes at most, or of one text."""
+def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of so many bytes at most, or of one text."""
     a, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > SLICE:
+        if size and size + len(t) > most:
             yield a, i
             a, size = i, 0
         size += len(t) + 1
@@ -94,6 +94,19 @@ def map_text(df: DataFrame, fn: Callable[[list[bytes]], list], fields: str, text
     return source.mapInArrow(run, schema)
 
 
+def filter_text(df: DataFrame, fn: Callable[[list[bytes]], list[bool]], text: str = "text") -> DataFrame:
+    """The rows that fn keeps, judging slices of whole texts (null: empty); all columns stay as they are."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column(at))
+            for a, b in slices(texts):
+                yield batch.slice(a, b - a).filter(pa.array(fn(texts[a:b]), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow(t: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices
+from .common import as_bytes, filter_text, slices
 from .kernels import NOT_ALNUM, RUN_KEYS, U64, mix, words
 
 #: Fixed masks, all of four looked-at positions.
@@ -155,19 +155,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap no item, with all their columns."""
-    found = list(blocks(benchmark))
 
     def without(df: DataFrame, block: Block) -> DataFrame:
-        at = df.columns.index("text")
+        def fn(texts: list[bytes]) -> list[bool]:
+            bad = {r[0] for r in block.search(texts)}
+            return [i not in bad for i in range(len(texts))]
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = as_bytes(batch.column(at))
-                for a, b in slices(texts):
-                    bad = {r[0] for r in block.search(texts[a:b])}
-                    part = batch.slice(a, b - a)
-                    yield part.filter(pa.array([i not in bad for i in range(b - a)])) if bad else part
-
-        return df.mapInArrow(run, df.schema)
+        return filter_text(df, fn)
 
-    return reduce(without, found, docs)
+    return reduce(without, blocks(benchmark), docs)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, labelled, map_text, slices, stage
+from .common import as_bytes, filter_text, labelled, map_text, slices, stage
 from .kernels import NOT_ALNUM, words
 from .learn import platt, sigmoid
 
@@ -217,3 +217,8 @@ def frequencies(docs: DataFrame, model: Model) -> None:
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """Adds score, evidence (ids of nearest examples) and evidence_cosines."""
     return map_text(docs, model.scores, "score double, evidence array<long>, evidence_cosines array<double>", keep=keep)
+
+
+def civil(docs: DataFrame, model: Model, toxic_at: float) -> DataFrame:
+    """The documents that score less than toxic_at, with all their columns."""
+    return filter_text(docs, lambda texts: [s < toxic_at for s in model.scores(texts)[0]])
