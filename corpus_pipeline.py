@@ -16,7 +16,7 @@ TOXIC_AT = 0.7
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored toxic go. The labels of crc32(doc_id as text) mod 3 = 1 stay out of the fit, as in the operator's query."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), toxicity.TRAIN)
-    return toxicity.score(docs, model).where(F.col("score") < TOXIC_AT).select(*docs.columns)
+    return toxicity.civil(docs, model, TOXIC_AT)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
