@@ -7,18 +7,20 @@
    its order and sorts by all minima after it, wrapping round.  Documents of one
    prefix form a region.  ``depth`` is the largest at which a pair that just
    reaches the similarity misses every tree with a chance under ``MISS``.
-   Neighbours in a region are candidates if enough of their minima agree.  A region
-   of more than ``REGION`` classes is followed deeper: in its sorted order, where
-   those with the longest common prefixes stand together, overlapping blocks of
-   that size are compared.
-3. In each region candidates are compared on their full sets.  Documents that are
-   linked already, over others of the region, aren't compared again, so that a
+   Neighbours in a region are candidates if enough of their minima agree.  A small
+   region is one block.  One of more than two chunks (of ``CHUNK`` classes) is
+   followed deeper: in its order, where those with the longest common prefixes
+   stand together, every two neighbouring chunks are a block.
+3. In each block candidates are compared on their full sets.  Documents that are
+   linked already, over others of the block, aren't compared again, so that a
    group of n near copies takes some n comparisons.  A pair belongs to its first
    common tree and is compared there only.
-4. Links of all regions give the components.
+4. Links of all blocks give components.  In large regions, what is outside the
+   largest component is then compared with every chunk, so that chunks lose no
+   pair; further links complete the components.
 
-What meets in one task: a region's signatures, then a block's sets (REGION at
-most).  What is shuffled: a signature, 16 short forest rows for each class, and
+What meets in one task: a region's short rows (136 bytes a class), then the sets
+of a block (two chunks at most).  What is shuffled: a signature, 16 short forest rows for each class, and
 sets of classes that have candidates; texts aren't.  A bitmap of fixed size at
 most tells the second reading of the texts which of them have candidates.
 
@@ -42,7 +44,8 @@ from .common import as_bytes, map_text, slices, stage
 from .components import components
 from .kernels import RUN_KEYS, U64, mix, shingle_sets, stream
 
-HASHES, REGION, MISS, WORDS, MAX_BITS = 64, 4096, 1e-5, 5, 26
+HASHES, CHUNK, MISS, WORDS, MAX_BITS = 64, 256, 1e-5, 5, 26
+SEAT = "block long, region long, tree int, rep long, minima binary, component long"
 KEYS = stream(HASHES, 5)
 
 
@@ -58,10 +61,11 @@ def agreeing(percent: int) -> int:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
+    """16 bits of each of the 64 minima."""
     least = np.full(HASHES, np.iinfo(np.uint64).max, U64)
     for i in range(0, len(shingles), 8192):
         np.minimum(least, (shingles[None, i : i + 8192] * KEYS[:, None]).min(1), out=least)
-    return (mix(least) >> U64(32)).astype(np.uint32)
+    return (mix(least) >> U64(48)).astype(np.uint16)
 
 
 def _sign(texts: list[bytes]) -> list:
@@ -74,15 +78,19 @@ def _sign(texts: list[bytes]) -> list:
 
 
 def _plant(depth: int):
-    """Signatures to forest rows: region (its last five bits are the tree), rep, minima (a byte of each)."""
+    """Signatures to forest rows: region (its last five bits are the tree), rep, minima (16 bits of each).
+
+    Regions are made of the same 16 bits, so that two rows with equal minima at a
+    tree's places are in one region of that tree, without exception.
+    """
     trees = HASHES // depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)
-            short = pa.array([x.tobytes() for x in (sig & 255).astype(np.uint8)], pa.binary())
+            sig = _matrix(batch.column(1))
+            short = batch.column(1)
             for t in range(trees):
                 own = sig[:, t * depth : (t + 1) * depth].astype(U64)
                 key = mix((own * RUN_KEYS[:depth]).sum(1, dtype=U64) + U64(t)) & ~U64(31) | U64(t)
@@ -128,31 +136,88 @@ def candidates(minima: np.ndarray, tree: int, depth: int, least: int) -> Iterato
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
+
+
+def _sorted(region: pa.Table, tree: int, depth: int) -> np.ndarray:
+    """The tree's order of a region's rows: those with the longest common prefixes stand together."""
+    reps, minima = region.column("rep").to_numpy(), _matrix(region.column("minima"))
+    return np.lexsort((reps, *np.roll(minima, -tree * depth, axis=1).T[::-1]))
+
+
+def _rows(block: int | None, region: int, tree: int, reps: np.ndarray, minima: np.ndarray, component: np.ndarray | None = None) -> pa.RecordBatch:
+    n = len(reps)
+    columns = [pa.array([block] * n, pa.int64()), pa.array([region] * n, pa.int64()), pa.array([tree] * n, pa.int32()), pa.array(reps, pa.int64())]
+    columns += [pa.array([x.tobytes() for x in minima], pa.binary()), pa.array([None] * n if component is None else component, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SEAT.split(", ")])
+
+
+def _name(*parts: int) -> int:
+    return int(mix(np.array([sum(p * int(k) for p, k in zip(parts, RUN_KEYS.tolist(), strict=False)) & (1 << 64) - 1], U64)).view(np.int64)[0])
 
 
 def _seat(depth: int, least: int):
-    """Forest rows to the blocks in which classes are compared on full sets: block, tree, rep, minima."""
+    """Forest rows to the blocks in which classes are compared on full sets.
+
+    A region of more than two chunks goes deeper: blocks are every two
+    neighbouring chunks of its order.  Its rows are given once more, without a
+    block, for _seat_rest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in _runs(batches):
             if region.num_rows < 2:
                 continue
-            key, reps, minima = region.column(0)[0].as_py(), region.column(1).to_numpy(), _matrix(region.column(2))
+            key = region.column(0)[0].as_py()
             tree = key & 31
-            order = np.lexsort((reps, *np.roll(minima, -tree * depth, axis=1).T[::-1]))
-            reps, minima = reps[order], minima[order]
-            step = REGION // 2 if len(reps) > REGION else REGION
-            for k, a in enumerate(range(0, max(1, len(reps) - (REGION - step)), step)):
-                own, m = reps[a : a + REGION], minima[a : a + REGION]
+            order = _sorted(region, tree, depth)
+            reps, minima = region.column("rep").to_numpy()[order], _matrix(region.column("minima"))[order]
+            large = len(reps) > 2 * CHUNK
+            for a in range(0, len(reps) - CHUNK, CHUNK) if large else [0]:
+                m, own = minima[a : a + 2 * CHUNK], reps[a : a + 2 * CHUNK]
                 seated = np.zeros(len(own), bool)
                 for i, near in candidates(m, tree, depth, least):
                     seated[i] = True
                     seated[near] = True
-                if n := int(seated.sum()):
-                    block = int(mix(np.array([key + (k << 5)], np.int64).view(U64))[0].view(np.int64))
-                    rows = [pa.array([block] * n, pa.int64()), pa.array([tree] * n, pa.int32()), pa.array(own[seated], pa.int64()), pa.array([x.tobytes() for x in m[seated]], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(rows, names=["block", "tree", "rep", "minima"])
+                if seated.any():
+                    yield _rows(_name(key, a), key, tree, own[seated], m[seated])
+            if large:
+                yield _rows(None, key, tree, reps, minima)
+
+    return run
+
+
+def _seat_rest(depth: int, least: int):
+    """Rows of large regions, with the components so far, to blocks of what no block has compared.
+
+    Rows of the region's largest component need no comparison with one another.
+    All others are compared, chunk by chunk, with every chunk of the region, so
+    that no pair that meets in the region is lost.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for region in _runs(batches):
+            key, tree = region.column(0)[0].as_py(), region.column("tree")[0].as_py()
+            order = _sorted(region, tree, depth)
+            reps, minima, component = (x[order] for x in (region.column("rep").to_numpy(), _matrix(region.column("minima")), region.column("component").to_numpy()))
+            names, sizes = np.unique(component, return_counts=True)
+            rest = np.flatnonzero(component != names[np.argmax(sizes)])
+            for i in range(0, len(rest), CHUNK):
+                some = rest[i : i + CHUNK]
+                for j in range(0, len(reps), CHUNK):
+                    chunk = np.arange(j, min(j + CHUNK, len(reps)))
+                    seated: set[int] = set()
+                    for r in some.tolist():
+                        same = minima[chunk] == minima[r]
+                        near = (np.count_nonzero(same, axis=1) >= least) & (component[chunk] != component[r])
+                        if tree:
+                            near &= ~same[:, : tree * depth].reshape(len(chunk), tree, depth).all(2).any(1)
+                        if near.any():
+                            seated.add(r)
+                            seated.update(chunk[near].tolist())
+                    if seated:
+                        at = np.array(sorted(seated))
+                        yield _rows(_name(key, i, j, 1), key, tree, reps[at], minima[at], component[at])
 
     return run
 
@@ -175,14 +240,16 @@ def _verify(depth: int, least: int, percent: int):
         for block in _runs(batches):
             if block.num_rows < 2:
                 continue
-            tree, reps, minima = block.column(1)[0].as_py(), block.column(2).to_pylist(), _matrix(block.column(3))
-            sets = [np.frombuffer(x, U64) for x in block.column(4).to_pylist()]
-            root = np.arange(len(reps))
+            tree, reps, minima = block.column("tree")[0].as_py(), block.column("rep").to_pylist(), _matrix(block.column("minima"))
+            sets = [np.frombuffer(x, U64) for x in block.column("shingles").to_pylist()]
+            root, first = np.arange(len(reps)), {}
+            for i, c in enumerate(block.column("component").to_pylist()):
+                if c is not None:  # what is in one component already
+                    root[i] = first.setdefault(c, i)
             for i, near in candidates(minima, tree, depth, least):
                 for j in near.tolist():
                     if root[i] != root[j] and similar(sets[i], sets[j], percent):
-                        a, b = sorted((int(root[i]), int(root[j])), key=lambda r: reps[r])
-                        root[root == b] = a
+                        root[root == root[j]] = root[i]
             linked = np.flatnonzero(root != np.arange(len(reps))).tolist()
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i in linked], pa.int64()), pa.array([reps[root[i]] for i in linked], pa.int64())], names=["a", "b"])
@@ -245,11 +312,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = stage(full.join(classes, ["n_shingles", "f1", "f2"]).select("doc_id", "n_shingles", "rep", own), "members")
     forest = members.where("signature IS NOT NULL").select("rep", "signature").mapInArrow(_plant(depth), "region long, rep long, minima binary")
     dealt = forest.repartition("region").sortWithinPartitions("region")
-    seats = stage(dealt.mapInArrow(_seat(depth, least), "block long, tree int, rep long, minima binary"), "seats")
-    named_docs = docs.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep")
-    sets = named_docs.mapInArrow(_sets(*wanted(seats.select("rep"))), "rep long, shingles binary")
-    blocks = seats.join(sets, "rep").select("block", "tree", "rep", "minima", "shingles").repartition("block").sortWithinPartitions("block")
-    found = components(blocks.mapInArrow(_verify(depth, least, percent), "a long, b long"))
+    placed = stage(dealt.mapInArrow(_seat(depth, least), SEAT), "seats")
+
+    def links(seats: DataFrame) -> DataFrame:
+        texts = docs.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep")
+        sets = texts.mapInArrow(_sets(*wanted(seats.select("rep"))), "rep long, shingles binary")
+        blocks = seats.join(sets, "rep").select("block", "tree", "rep", "minima", "component", "shingles").repartition("block").sortWithinPartitions("block")
+        return stage(blocks.mapInArrow(_verify(depth, least, percent), "a long, b long"), "links")
+
+    found_links = links(placed.where("block IS NOT NULL"))
+    found = components(found_links)
+    large = placed.where("block IS NULL").drop("block", "component")
+    if not large.isEmpty():
+        labelled = large.join(found, large["rep"] == found["node"], "left").select("region", "tree", "rep", "minima", F.coalesce("component", "rep").alias("component"))
+        again = labelled.repartition("region").sortWithinPartitions("region").mapInArrow(_seat_rest(depth, least), SEAT)
+        found = components(found_links.unionByName(links(stage(again, "rest"))))
     named = members.join(found, members["rep"] == found["node"], "left").select("doc_id", "n_shingles", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
     alone = signed.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return named.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -80,7 +80,7 @@ def test_forest_against_brute_force(spark, percent):
 
 def test_large_regions_are_compared_in_blocks(spark, monkeypatch):
     texts = near_copies()
-    monkeypatch.setattr(lsh_forest, "REGION", 16)
+    monkeypatch.setattr(lsh_forest, "CHUNK", 4)
     rows = lsh_forest.near_duplicates(documents(spark, texts), 85).orderBy("doc_id").collect()
     assert [(r.doc_id, r.n_shingles, r.component_id) for r in rows] == brute_components(texts, 85)
 
@@ -235,3 +235,15 @@ def test_overlap_query_against_brute_force(spark, duck):
             if any(sum(k in s for k in range(a, a + size)) >= need for s in same.values() if len(s) >= need for a in range(len(b) - size + 1)):
                 wanted.add((d, i))
     assert {(r.doc_id, r.item_id) for r in op5_decontamination(spark, DATA).collect()} == wanted
+
+
+def test_rows_share_a_region_just_if_their_minima_agree():
+    import pyarrow as pa
+
+    sig = rng.integers(0, 3, (200, 64)).astype(np.uint16)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary())], names=["rep", "signature"])
+    for depth in (3, 4):
+        for t, made in enumerate(lsh_forest._plant(depth)(iter([batch]))):
+            region = made.column(0).to_pylist()
+            part = [x.tobytes() for x in sig[:, t * depth : (t + 1) * depth]]
+            assert len(set(region)) == len(set(part)) == len(set(zip(region, part, strict=True))) and {r & 31 for r in region} == {t}
