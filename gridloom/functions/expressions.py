@@ -11,16 +11,25 @@ from pyspark.sql import functions as F
 AM, PM = "오전", "오후"
 YEAR, MONTH = "년", "월"
 TIME_KO, GENERATOR_KO, CODE_KO, ESTIMATED_KO = "시간", "발전기", "코드", "상태추정"
-#: Texts that stand for a missing value when a file is read as text.
+# Patterns of months in titles (in words, in digits, alone) and of publication dates.
+TITLE_IN_WORDS = rf"(20\d{{2}})\s*{YEAR}(?:도)?\s*(\d{{1,2}})\s*{MONTH}"
+TITLE_IN_DIGITS = r"(?<!\d)(20\d{2})(0[1-9]|1[0-2])(?!\d)"
+TITLE_MONTH_ALONE = rf"(?<!\d)(1[0-2]|0?[1-9])\s*{MONTH}"
+PUBLISHED = r"(20\d{2})[./-](\d{1,2})[./-](\d{1,2})"
+# Texts that stand for a missing value when a file is read as text.
 MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 TIMESTAMP = rf"^\s*(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}})(?:[ T]+({AM}|{PM})?\s*(\d{{1,2}})(?::(\d{{1,2}}))?(?::(\d{{1,2}})(?:\.\d*)?)?)?\s*$"
+PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 MONTH_TEXT = r"^20\d{2}-(0[1-9]|1[0-2])$"
 
 
 def parse_ts(text: Column) -> Column:
-    """Year-first date and time texts, with / or -, single digits, and Korean morning or afternoon. Others: null."""
+    """Year-first date and time texts, with / or -, single digits, and Korean morning or afternoon. Others: null.
+
+    Texts in the plain form are cast; only others are taken apart.
+    """
 
     def part(i: int) -> Column:
         found = F.regexp_extract(text, TIMESTAMP, i)
@@ -31,7 +40,7 @@ def parse_ts(text: Column) -> Column:
     hour = F.when(marker == "", hour).otherwise(twelve)
     second = F.coalesce(part(7), F.lit(0))
     made = F.try_make_timestamp_ntz(part(1), part(2), part(3), hour, F.coalesce(part(6), F.lit(0)), second.cast("decimal(16,6)"))
-    return F.when(text.rlike(TIMESTAMP) & hour.between(0, 23) & (second < 60), made)
+    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp_ntz")).when(text.rlike(TIMESTAMP) & hour.between(0, 23) & (second < 60), made)
 
 
 def to_num(text: Column) -> Column:
@@ -59,13 +68,11 @@ def month_of_title(title: Column, published: Column | None = None) -> Column:
         found = F.regexp_extract(text, pattern, i)
         return F.when(found != "", found)
 
-    in_words, compact = rf"(20\d{{2}})\s*{YEAR}(?:도)?\s*(\d{{1,2}})\s*{MONTH}", r"(?<!\d)(20\d{2})(0[1-9]|1[0-2])(?!\d)"
     pad = lambda c: F.lpad(c.cast("int").cast("string"), 2, "0")
-    tiers = [F.concat(group(title, p, 1), F.lit("-"), pad(group(title, p, 2))) for p in (in_words, compact)]
+    tiers = [F.concat(group(title, p, 1), F.lit("-"), pad(group(title, p, 2))) for p in (TITLE_IN_WORDS, TITLE_IN_DIGITS)]
     if published is not None:
-        alone, date = rf"(?<!\d)(1[0-2]|0?[1-9])\s*{MONTH}", r"(20\d{2})[./-](\d{1,2})[./-](\d{1,2})"
-        month = group(title, alone, 1).cast("int")
-        year = group(published, date, 1).cast("int") - F.when(month > group(published, date, 2).cast("int"), 1).otherwise(0)
+        month = group(title, TITLE_MONTH_ALONE, 1).cast("int")
+        year = group(published, PUBLISHED, 1).cast("int") - F.when(month > group(published, PUBLISHED, 2).cast("int"), 1).otherwise(0)
         tiers.append(F.concat(year.cast("string"), F.lit("-"), pad(month)))
     return F.coalesce(*tiers)
 
