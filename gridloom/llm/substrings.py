@@ -32,6 +32,7 @@ from .common import as_bytes, slices, stage
 from .kernels import NOT_ALNUM, U64, mix, words
 
 SEVERAL, LEAST, CUT, LONGEST = 2, 15, 12, 32
+AT_ONCE = 1 << 20  # bytes of text, each of which takes some 40 bytes of arrays
 END = np.zeros(256, bool)
 END[list(b".!?\n")] = True
 RADIX = U64(0x9E3779B97F4A7C55)
@@ -83,7 +84,7 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
-        for a, b in slices(texts):
+        for a, b in slices(texts, AT_ONCE):
             key, of, start, end, again = runs(texts[a:b])
             made = [pa.array(key.view(np.int64)), pa.array(ids[a:b][of]), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(again)]
             yield pa.RecordBatch.from_arrays(made, names=["hash", "doc_id", "start", "end", "again"])
