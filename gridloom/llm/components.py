@@ -11,13 +11,13 @@ from .common import stage
 def _large(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked with the least of the node and its neighbours."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(links: DataFrame) -> DataFrame:
     """Each node's smaller neighbours, and the node, are linked with the least of them. Links go from a to the smaller b."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(links.groupBy("a").agg(F.min("b").alias("m")), "least")
     pairs = links.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return pairs.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -26,7 +26,9 @@ def components(links: DataFrame) -> DataFrame:
     """links: a, b (long).  One row (node, component) for each node but the least of its component, which gives the name.
 
     Each round is written to the shared folder; only its size and a checksum
-    come to the driver.  Links of a node with itself, or with null, don't count.
+    come to the driver.  So are the least neighbours, of one row a node: the join
+    with them then shuffles both sides, and Spark can split a node of very many
+    links.  Links of a node with itself, or with null, don't count.
     """
     a, b = F.greatest("a", "b"), F.least("a", "b")
     links = stage(links.where("a != b").select(a.alias("a"), b.alias("b")).distinct(), "links")
@@ -36,4 +38,4 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = state
-        links = stage(_small(_large(links)), "links")
+        links = stage(_small(stage(_large(links), "links")), "links")
