@@ -22,20 +22,23 @@ def _small(links: DataFrame) -> DataFrame:
     return pairs.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _done(links: DataFrame) -> bool:
+    """Whether all links are stars: each node has one smaller neighbour, which has none itself."""
+    nodes = links.select(F.col("a").alias("node"), F.lit(1).alias("down")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("down")))
+    by_node = nodes.groupBy("node").agg(F.sum("down").alias("down"), F.count_if(F.col("down") == 0).alias("up"))
+    return by_node.where("down > 1 OR (down > 0 AND up > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """links: a, b (long).  One row (node, component) for each node but the least of its component, which gives the name.
 
-    Each round is written to the shared folder; only its size and a checksum
-    come to the driver.  So are the least neighbours, of one row a node: the join
+    Each round is written to the shared folder; only whether it was the last
+    comes to the driver.  So are the least neighbours, of one row a node: the join
     with them then shuffles both sides, and Spark can split a node of very many
     links.  Links of a node with itself, or with null, don't count.
     """
     a, b = F.greatest("a", "b"), F.least("a", "b")
     links = stage(links.where("a != b").select(a.alias("a"), b.alias("b")).distinct(), "links")
-    seen = None
-    while True:
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == seen or not state[0]:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        seen = state
+    while not _done(links):
         links = stage(_small(stage(_large(links), "links")), "links")
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
