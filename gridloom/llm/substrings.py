@@ -1,19 +1,21 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut into sentences: after each of . ! ? and new line, and, so that text
-without them has ends of its own too, after words whose hash is a multiple of
-CUT and, failing that, every LONGEST words.  From every sentence on, the shortest
-run of several sentences with LEAST words in all is hashed.  Equal hashes are
-joined over all documents.  The occurrence in the least doc_id, and there the
-first, stays; what other occurrences cover is removed.
-
-A run that occurs again within its text is marked where the text is read; the
-others meet as (hash, least doc_id, number), aggregated before they are shuffled,
-and only hashes of several documents are joined with their places.  That join has
-one row for each hash on one side, so a hash of very many places is split by
-adaptive execution.
-
-Edge cases.  Null and empty texts, and those of fewer sentences, have no runs.
+Every word may end a sentence, as passages without punctuation have no other ends
+and ends that depend on what stands before a passage differ between documents.
+So from every word on, the run of LEAST words is hashed, and each longer run of
+sentences is covered by such runs.  Equal hashes are joined over all documents.
+The occurrence in the least doc_id, and there the first, stays; what other
+occurrences cover is removed.
+
+A run that occurs again within its text is marked where the text is read.  The
+others meet as (hash, least and largest doc_id), aggregated before they are
+shuffled.  Hashes of several documents set bits in a map of BITS bits at most, and
+the texts are read a second time for the places of runs whose bit is set; only
+those are joined with the hashes.  (In a corpus so large that the map fills, more
+runs go into that join, and none is lost.)  The join has one row for each hash on
+one side, so a hash of very many places is split by adaptive execution.
+
+Edge cases.  Null and empty texts, and those of fewer words, have no runs.
 Texts are taken whole.  Letter case, punctuation and white space don't count.
 Repeated rows of one doc_id are one document.  Rows without doc_id are ignored.
 Other columns are ignored.
@@ -31,10 +33,10 @@ from pyspark.sql import functions as F
 from .common import as_bytes, slices, stage
 from .kernels import NOT_ALNUM, U64, mix, words
 
-SEVERAL, LEAST, CUT, LONGEST = 2, 15, 12, 32
+#: Sentences and words of a run at least; a sentence ends after words whose hash is a multiple of CUT, which are all, and so before LONGEST words.
+SEVERAL, LEAST, CUT, LONGEST = 2, 15, 1, 32
 AT_ONCE = 1 << 20  # bytes of text, each of which takes some 40 bytes of arrays
-END = np.zeros(256, bool)
-END[list(b".!?\n")] = True
+BITS = 1 << 28
 RADIX = U64(0x9E3779B97F4A7C55)
 _INVERSE = U64(pow(int(RADIX), -1, 1 << 64))
 
@@ -51,22 +53,10 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     doc = np.repeat(np.arange(len(texts)), np.diff(before))
     base = np.cumsum([0] + [len(t) + 1 for t in texts])
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    stops = np.concatenate([[0], np.cumsum(END[buf], dtype=np.int64)])
     first, last = starts + base[doc], ends + base[doc]
-    new = np.ones(n, bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (stops[first[1:]] > stops[last[:-1]]) | (h[:-1] % U64(CUT) == 0)
-    at = np.flatnonzero(new)
-    size = np.diff(np.append(at, n))
-    if (size > LONGEST).any():
-        more = -(-size // LONGEST)
-        at = np.repeat(at, more) + LONGEST * (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more))
-    bound = np.append(at, n)
-    of = doc[at]
-    stop = np.searchsorted(of, np.arange(len(texts)), side="right")[of]  # the sentence after the text's last
-    reach = np.searchsorted(bound, at + LEAST)  # the first bound with LEAST words before it
-    reach = np.maximum(reach, np.arange(len(at)) + SEVERAL)
-    ok = reach <= stop
-    at, of, to = at[ok], of[ok], bound[reach[ok]]
+    at = np.arange(max(n - LEAST + 1, 0))
+    at = at[doc[at] == doc[at + LEAST - 1]]
+    of, to = doc[at], at + LEAST
     power = np.cumprod(np.full(n + 1, RADIX), dtype=U64)
     total = np.concatenate([np.zeros(1, U64), np.cumsum(h * power[:n], dtype=U64)])
     back = np.cumprod(np.full(n + 1, _INVERSE), dtype=U64)
@@ -81,44 +71,71 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return key, of, start, end, again
 
 
-def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of each document's runs, each once."""
     for batch in batches:
         ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
         for a, b in slices(texts, AT_ONCE):
-            key, of, start, end, again = runs(texts[a:b])
-            made = [pa.array(key.view(np.int64)), pa.array(ids[a:b][of]), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(again)]
-            yield pa.RecordBatch.from_arrays(made, names=["hash", "doc_id", "start", "end", "again"])
+            key, of, _, _, again = runs(texts[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array(key[~again].view(np.int64)), pa.array(ids[a:b][of[~again]], pa.int64())], names=["hash", "doc_id"])
+
+
+def _places(bits: np.ndarray):
+    """Runs that occur again in their text, and those whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
+            for a, b in slices(texts, AT_ONCE):
+                key, of, start, end, again = runs(texts[a:b])
+                slot = (key & U64(BITS - 1)).astype(np.int64)
+                some = again | (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+                made = [pa.array(key[some].view(np.int64)), pa.array(ids[a:b][of[some]], pa.int64()), pa.array(start[some], pa.int64()), pa.array(end[some], pa.int64()), pa.array(again[some])]
+                yield pa.RecordBatch.from_arrays(made, names=["hash", "doc_id", "start", "end", "again"])
+
+    return run
+
+
+def _bits(shared: DataFrame) -> np.ndarray:
+    """A bit for each value of the last digits of the hashes, as bytes; the map is gathered in blocks of 4 KB that hold a set bit."""
+    slot = F.col("hash").bitwiseAND(F.lit(BITS - 1)).cast("long")
+    blocks = shared.groupBy(F.shiftright(slot, 15).alias("block")).agg(F.bitmap_construct_agg(slot.bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros(BITS >> 3, np.uint8)
+    for r in blocks.toLocalIterator():
+        out[r.block << 12 : (r.block + 1) << 12] = np.frombuffer(r.bits, np.uint8)
+    return out
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, spans: array of struct(start, end), in code points, merged and in order: what is to be removed. Documents without any are left out."""
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = stage(source.mapInArrow(_emit, "hash long, doc_id long, start long, end long, again boolean"), "runs")
-    once = found.where("NOT again")
+    once = source.mapInArrow(_once, "hash long, doc_id long")
     shared = once.groupBy("hash").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("other > keeper").select("hash", "keeper")
     shared = stage(shared, "shared")
-    later = once.join(shared, "hash").where("doc_id > keeper").select("doc_id", "start", "end")
-    spans = later.unionByName(found.where("again").select("doc_id", "start", "end"))
-    sorted_spans = F.array_sort(F.collect_list(F.struct("start", "end")))
-    return _merged(spans.groupBy("doc_id").agg(sorted_spans.alias("spans")))
+    found = source.mapInArrow(_places(_bits(shared)), "hash long, doc_id long, start long, end long, again boolean")
+    spans = found.join(shared, "hash", "left").where("again OR doc_id > keeper").select("doc_id", "start", "end")
+    return _merged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
-    """Joins overlapping and touching spans of a sorted array, in one pass."""
+    """Sorts each document's spans, and joins overlapping and touching ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            out = []
-            for row in batch.column(1).to_pylist():
-                done: list[dict] = []
-                for s in row:
-                    if done and done[-1]["end"] >= s["start"]:
-                        done[-1]["end"] = max(done[-1]["end"], s["end"])
-                    else:
-                        done.append(dict(s))
-                out.append(done)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
+            flat = batch.column(1).flatten()
+            start, end = (np.asarray(x, np.int64) for x in flat.flatten())
+            row = np.repeat(np.arange(len(batch)), batch.column(1).value_lengths().to_numpy())
+            order = np.lexsort((start, row))
+            start, end = start[order], end[order]
+            far = int(end.max(initial=0)) + 1
+            reach = np.maximum.accumulate(end + row * far) - row * far  # the largest end so far in the row
+            new = np.ones(len(start), bool)
+            new[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(start))[: len(first)] - 1
+            made = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(reach[last])], names=["start", "end"])
+            cut = np.searchsorted(row[first], np.arange(len(batch) + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), made)], names=["doc_id", "spans"])
 
     return spans.mapInArrow(run, "doc_id long, spans array<struct<start:long,end:long>>")
 

@@ -171,6 +171,16 @@ def test_spans_edges(spark):
     assert substrings.repeated_spans(docs.unionByName(docs)).count() == 0  # one document, twice
 
 
+def test_passages_of_51_words_without_punctuation_go_whole(spark):
+    passages = [" ".join(words(51)) for _ in range(60)] + [" ".join(words(5) * 11)]
+    texts = [" ".join([*words(int(rng.integers(0, 80))), p, *words(int(rng.integers(0, 80)))]) for p in passages * 2]
+    rows = substrings.repeated_spans(documents(spark, texts)).collect()
+    covered = {r.doc_id: {c for s in r.spans for c in range(s.start, s.end)} for r in rows}
+    for d in range(len(passages), len(texts)):
+        at = texts[d].index(passages[d - len(passages)])
+        assert set(range(at, at + len(passages[d - len(passages)]))) <= covered[d]
+
+
 # ---- benchmark overlaps
 
 
