@@ -1,8 +1,11 @@
 """License scans by sentence-rule recognition, in DataFrame functions only.
 
-A text is split into sentences, each is normalised (small letters, runs of other
-characters than letters and digits are one space), and sentences of known licence
-texts become identifiers.  Ordered rules name sequences of identifiers; a rule
+A text is normalised (small letters, runs of other characters than letters and
+digits are one space, or one new line where a sentence may end), and sentences of
+known licence texts become identifiers.  A known sentence begins and ends where
+sentences may end; between its words any space, new line or sign may stand, so
+that texts wrapped at a line width, comment marks and the semicolons and points
+within official wordings don't matter.  Ordered rules name sequences of identifiers; a rule
 takes each place where its sequence stands, without other identifiers between,
 and what it has taken is out of reach of later rules.  So whole licence texts come
 before the notices that are parts of them.
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 #: Sentences end at . ! ? before white space or the end, and at new lines and semicolons.
 SENTENCE_END = r"[.!?]+(?:[\x20\x09-\x0D]+|$)|[\n;]"
 OTHER = r"[^a-z0-9]+"
+#: The ends above, and colons: some official texts go on after one where others end.
+MAY_END = SENTENCE_END.replace("[\\n;]", "[\\n;:]")
 
 # Sentences of licence texts and notices, normalised, and their identifiers.
 SENTENCES = {
@@ -88,11 +93,18 @@ def _sequence(names: tuple[str, ...]) -> str:
     return "".join(f"<{n}>" for n in names)
 
 
+def _any_sentence() -> str:
+    """Pattern of every known sentence in a normalised text, the longest first."""
+    return r"(?<![a-z0-9\x20])(?:" + "|".join(s.replace(" ", r"[\x20\n]") for s in sorted(SENTENCES, key=len, reverse=True)) + r")(?![a-z0-9\x20])"
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of a text's known sentences, in order."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    normal = F.transform(F.split(text, SENTENCE_END), lambda s: F.trim(F.regexp_replace(F.lower(s), OTHER, " ")))
-    found = F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), MAY_END, "\n"), r"[^a-z0-9\n]+", " ")
+    lines = F.regexp_replace(lines, r"^[\x20\n]+|[\x20\n]+$|\x20*\n[\x20\n]*", "\n")
+    said = F.regexp_extract_all(lines, F.lit(_any_sentence()), F.lit(0))
+    found = F.transform(said, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
     return F.when(text.rlike(HAS_ANCHOR), found).otherwise(F.array().cast("array<string>"))
 
 

@@ -37,3 +37,55 @@ def test_no_python_in_the_plan(spark):
 
 def test_query(spark, duck):
     agrees(spark, duck, op3_licenses, licenses.oracle())
+
+
+MIT_WRAPPED = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD_WRAPPED = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL_WRAPPED = """# This program is free software{0} you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation{1} either version {2} of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details."""
+
+
+def test_official_texts_wrapped_at_a_line_width(spark):
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."
+    apache = '   Licensed under the Apache License, Version 2.0 (the "License");\n   you may not use this file except in compliance with the License.\n   You may obtain a copy of the License at\n\n       http://www.apache.org/licenses/LICENSE-2.0\n\n   Unless required by applicable law or agreed to in writing, software\n   distributed under the License is distributed on an "AS IS" BASIS,\n   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n   See the License for the specific language governing permissions and\n   limitations under the License.\n'
+    texts = [MIT_WRAPPED, BSD_WRAPPED, BSD_WRAPPED[: BSD_WRAPPED.index("3.")], isc, GPL_WRAPPED.format(":", ",", 3), GPL_WRAPPED.format(";", ";", 2), mpl, apache, "some words\nAll rights\nreserved", "we said all rights reserved to nobody"]
+    rows = licenses.scan(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r.licenses for r in rows] == [["MIT"], ["BSD-3-Clause"], ["BSD-2-Clause"], ["ISC"], ["GPL-3.0-or-later"], ["GPL-2.0-or-later"], ["MPL-2.0"], ["Apache-2.0"], ["LicenseRef-Proprietary"], []]
+    assert rows[0].sentence_ids == ["mit-grant", "mit-notice-kept", "mit-as-is", "mit-liability"] and len(rows[4].sentence_ids) == 5 == len(rows[5].sentence_ids)
+    assert rows[7].sentence_ids == ["apache-2-notice", "apache-2-compliance", "apache-2-copy", "apache-2-as-is", "apache-2-limits"]
