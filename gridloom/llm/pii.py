@@ -94,7 +94,8 @@ _LOOK_ALIKE_RE = re.compile("[" + "".join(map(re.escape, _LOOK_ALIKE)) + "]")
 
 # Letters that stand for digits among digits.
 _DIGIT_LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
-_CONFUSED_HINT = re.compile(r"[0-9][ -]?[OolI][0-9OolI. -]")
+#: What _CONFUSED matches with a digit and a letter holds both side by side, or with signs between.
+_CONFUSED_HINT = re.compile(r"[0-9][.()\x20-]*[OolI]|[OolI][.()\x20-]*[0-9]")
 _CONFUSED = re.compile(r"(?<![A-Za-z0-9.])\+?[0-9OolI][0-9OolI.()\x20-]{5,}[0-9OolI](?![A-Za-z0-9])")
 
 # Digit words of the corpus's languages.
@@ -105,6 +106,8 @@ _WORDS = {
     **dict(zip("cero uno dos tres cuatro cinco seis siete ocho nueve".split(), "0123456789", strict=True)),
 }
 _TIMES = {"double": 2, "triple": 3}
+#: Letters that patterns take for ASCII ones where case doesn't count.
+_FOLD = str.maketrans("\u017f\u0130\u0131\u212a", "siik")
 _DOT_WORDS = r"dot|punkt|punto|point"
 _DIGIT_WORD = "|".join(sorted(_WORDS, key=len, reverse=True))
 _DOT = rf"\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT_WORDS}|\.)\s{{0,3}}[\])}}>]\s{{0,3}}|[\x20]+(?:{_DOT_WORDS})[\x20]+"
@@ -116,21 +119,13 @@ _NAME = r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*"
 _DISGUISED = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_DOT}){_NAME})*(?P<at>{_AT}|@)(?P<host>[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)+)", re.I)
 _DOTTED = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _AT_RE, _DOT_RE = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-_HINTS = ("dot", "punkt", "punto", "point", "(at", "[at", "{at", "<at", "( at", "[ at", "arroba", "[@", "(@", "[.", "(.")
-_DIGIT_WORDS = frozenset(_WORDS) | frozenset(_TIMES)
+#: Every _DOT, and every _AT but a bare "at" (which counts only beside a _DOT), holds one of these; every run of spelled digits holds a digit word.
+_AT_DOT_HINT = re.compile(rf"{_DOT_WORDS}|arroba|[\[({{<]\s{{0,3}}(?:at|@|\.)", re.I)
+_SPELLED_HINT = re.compile(rf"(?<![^\W_])(?:{_DIGIT_WORD})(?![^\W_])", re.I)
 # Last labels of host names that bare "at" and "dot" are believed before.
 _TOP = frozenset("com org net edu gov mil int info biz io co ai app dev me tv us uk eu de fr es it nl be ch at pl pt br mx ar ru ua jp kr cn in au ca nz ie se no fi dk cz test example invalid local".split())
 
 
-def _spelled_here(low: str) -> bool:
-    """Whether two digit words stand side by side, or with a dot word between."""
-    tokens = low.replace(",", " ").replace("-", " ").split()
-    if _DIGIT_WORDS.isdisjoint(tokens):
-        return False
-    at = [i for i, w in enumerate(tokens) if w in _DIGIT_WORDS]
-    return any(b - a <= 2 for a, b in zip(at, at[1:], strict=False))
-
-
 class Tape:
     """A text under way: chars, and the source span of each."""
 
@@ -156,12 +151,16 @@ class Tape:
 def _homoglyphs(tape: Tape) -> None:
     if not tape.text.isascii():
         tape.rewrite([(m.start(), m.end(), _LOOK_ALIKE[m[0]]) for m in _LOOK_ALIKE_RE.finditer(tape.text)])
+    tape.rewrite(_confused(tape.text))
+
+
+def _confused(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    for m in _CONFUSED.finditer(tape.text):
-        letters = [i for i in range(m.start(), m.end()) if tape.text[i] in _DIGIT_LIKE]
+    for m in _CONFUSED.finditer(text):
+        letters = [i for i in range(m.start(), m.end()) if text[i] in _DIGIT_LIKE]
         if letters and sum(c.isdigit() for c in m[0]) >= 2 * len(letters):
-            edits += [(i, i + 1, _DIGIT_LIKE[tape.text[i]]) for i in letters]
-    tape.rewrite(edits)
+            edits += [(i, i + 1, _DIGIT_LIKE[text[i]]) for i in letters]
+    return edits
 
 
 def _spelled(tape: Tape) -> None:
@@ -170,7 +169,7 @@ def _spelled(tape: Tape) -> None:
         own, digits, spelled = [], 0, False
         for m in _SPELLED_PART.finditer(tape.text, run.start(), run.end()):
             if m["word"] or m["digits"]:
-                new = (_WORDS[m["word"].lower()] if m["word"] else m["digits"]) * _TIMES.get((m["times"] or "").lower(), 1)
+                new = (_WORDS[m["word"].translate(_FOLD).lower()] if m["word"] else m["digits"]) * _TIMES.get((m["times"] or "").translate(_FOLD).lower(), 1)
                 digits, spelled = digits + len(new), spelled or bool(m["word"])
             else:
                 new = "." if m["dot"] else "+" if m["plus"] else ""
@@ -203,10 +202,17 @@ def _at_dot(tape: Tape) -> None:
 
 def disguised(text: str) -> list[Span]:
     """Identifiers in the normalised text, as spans of the source; none if nothing was normalised."""
-    if text.isascii() or _LOOK_ALIKE_SET.isdisjoint(text):
-        low = text.lower()
-        if not any(h in low for h in _HINTS) and not _spelled_here(low) and not _CONFUSED_HINT.search(text):
-            return []
+    return _normalised(text) if _may_be_disguised(text) else []
+
+
+def _may_be_disguised(text: str) -> bool:
+    """False only for texts that no transducer changes."""
+    if not text.isascii() and not _LOOK_ALIKE_SET.isdisjoint(text):
+        return True
+    return bool(_AT_DOT_HINT.search(text) or _SPELLED_HINT.search(text) or (_CONFUSED_HINT.search(text) and _confused(text)))
+
+
+def _normalised(text: str) -> list[Span]:
     tape = Tape(text)
     _homoglyphs(tape)
     _spelled(tape)

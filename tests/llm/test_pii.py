@@ -75,3 +75,17 @@ def test_query_against_brute_force(spark, duck):
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for x, _, _ in base) for k in pii.KINDS]
         assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r.spans.split(","))
+
+
+PIECES = ["10", "O", "l", "l92", "168", ".", "0", "I5", "+l", "2025550147", "+1", " ", "  ", "-", "(", ")", "[", "{", "<", "]", "}", ">", "@", "at", "AT", "dot", "Punkt", "arroba", "jane", "host", "com", "Four", "two", "double", "cinq", "plus ", "4242", ",", "_", "\n", "\t", "é", "ſix"]
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=16).map("".join))
+def test_texts_that_are_passed_over_hold_no_disguise(text):
+    assert pii.disguised(text) == pii._normalised(text)
+
+
+@pytest.mark.parametrize("text", ["l92.168.1.1", "192.l68.1.2", "10.0.O.15", "+l2025550147", "+1 202 five 550147", "(four, two four two four two four two four two four two four two four two)", "jane {  at } host.com", "jane <@> host.com", "10{.}0{.}0{.}1"])
+def test_disguises_without_another_hint(text):
+    assert pii.disguised(text)
