@@ -188,7 +188,7 @@ def _at_dot(tape: Tape) -> None:
         bare = tape.text[a:b].strip().isalpha()
         if (bare and not in_host) or (not dots and tape.text[a:b] == "@"):
             continue
-        words_only = bare or all(tape.text[d.start() : d.end()].strip().isalpha() for d in in_host)
+        words_only = bare or (in_host and all(tape.text[d.start() : d.end()].strip().isalpha() for d in in_host))
         if words_only and re.split(r"[^A-Za-z0-9-]+", m["host"])[-1].lower() not in _TOP:
             continue
         edits += [(d.start(), d.end(), ".") for d in dots] + [(a, b, "@")] * (tape.text[a:b] != "@")

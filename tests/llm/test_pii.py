@@ -89,3 +89,8 @@ def test_texts_that_are_passed_over_hold_no_disguise(text):
 @pytest.mark.parametrize("text", ["l92.168.1.1", "192.l68.1.2", "10.0.O.15", "+l2025550147", "+1 202 five 550147", "(four, two four two four two four two four two four two four two four two)", "jane {  at } host.com", "jane <@> host.com", "10{.}0{.}0{.}1"])
 def test_disguises_without_another_hint(text):
     assert pii.disguised(text)
+
+
+@pytest.mark.parametrize("text", ["jane (at) firma.online", "jane[at]mail.example.xyz", "jane[at]firma[dot]online"])
+def test_bracketed_at_needs_no_known_last_label(text):
+    assert pii.disguised(text) == [("email", 0, len(text))]
