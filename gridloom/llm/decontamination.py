@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, filter_text, slices
-from .kernels import NOT_ALNUM, RUN_KEYS, U64, mix, words
+from .kernels import NOT_ALNUM, RUN_KEYS, U64, lower_in_place, mix, words
 
 #: Fixed masks, all of four looked-at positions.
 MASKS = ("1111", "11011", "110101", "1010011")
@@ -39,9 +39,7 @@ FIELDS = "doc_id long, item_id long, start long, end long, n_matched long, n_wor
 
 
 def _words(texts: list[bytes], places: bool = False):
-    low = [t if t.isascii() else t.decode().lower().encode() for t in texts]
-    low = [a if len(a) == len(b) else b for a, b in zip(low, texts, strict=True)]
-    return words(low, NOT_ALNUM, lower=True, places=places)
+    return words([lower_in_place(t) for t in texts], NOT_ALNUM, lower=True, places=places)
 
 
 def seeds(h: np.ndarray, mask: str) -> np.ndarray:

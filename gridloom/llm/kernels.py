@@ -7,6 +7,9 @@ text, however long a single text is.
 
 from __future__ import annotations
 
+import re
+from functools import cache
+
 import numpy as np
 
 CHUNK = 1 << 21
@@ -22,6 +25,18 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+@cache
+def _plain_runs() -> re.Pattern:
+    """Runs of characters whose small letter has as many bytes of UTF-8. No letter beyond the range has a small one."""
+    odd = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x1F000)]) if len(c.lower().encode()) != len(c.encode())]
+    return re.compile("[^" + "".join(map(re.escape, odd)) + "]+")
+
+
+def lower_in_place(text: bytes) -> bytes:
+    """Small letters, but for characters whose length would change, so that a place stays a place; ASCII texts as they are."""
+    return text if text.isascii() else _plain_runs().sub(lambda m: m[0].lower(), text.decode()).encode()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (in place): every input bit reaches every output bit."""
     h ^= h >> U64(32)

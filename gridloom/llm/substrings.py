@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, slices, stage
-from .kernels import NOT_ALNUM, U64, mix, words
+from .kernels import NOT_ALNUM, U64, lower_in_place, mix, words
 
 #: Sentences and words of a run at least; a sentence ends after words whose hash is a multiple of CUT, which are all, and so before LONGEST words.
 SEVERAL, LEAST, CUT, LONGEST = 2, 15, 1, 32
@@ -43,9 +43,7 @@ _INVERSE = U64(pow(int(RADIX), -1, 1 << 64))
 
 def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """Hash, text number, start and end (code points) of every run, in order, and whether it occurred before in its text."""
-    low = [t if t.isascii() else t.decode().lower().encode() for t in texts]
-    low = [a if len(a) == len(b) else b for a, b in zip(low, texts, strict=True)]  # a place must stay a place
-    h, before, starts, ends = words(low, NOT_ALNUM, lower=True, places=True)
+    h, before, starts, ends = words([lower_in_place(t) for t in texts], NOT_ALNUM, lower=True, places=True)
     n = len(h)
     if not n:
         none = np.empty(0, np.int64)

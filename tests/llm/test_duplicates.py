@@ -257,3 +257,13 @@ def test_rows_share_a_region_just_if_their_minima_agree():
             region = made.column(0).to_pylist()
             part = [x.tobytes() for x in sig[:, t * depth : (t + 1) * depth]]
             assert len(set(region)) == len(set(part)) == len(set(zip(region, part, strict=True))) and {r & 31 for r in region} == {t}
+
+
+def test_letters_of_other_lengths_leave_the_rest_in_small_letters(spark):
+    item = [f"é{w}" for w in words(20)]
+    text = "İ ẞ \u212a Ⱥ " + " ".join(item).upper()
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = decontamination.contaminated(documents(spark, [text]), benchmark).collect()
+    assert [(text[r.start : r.end], r.n_matched) for r in rows] == [(" ".join(item).upper(), 20)]
+    spans = substrings.repeated_spans(documents(spark, [" ".join(item), text])).collect()
+    assert [[text[s.start : s.end] for s in r.spans] for r in spans] == [[" ".join(item).upper()]]
