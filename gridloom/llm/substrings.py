@@ -2,7 +2,7 @@
 
 Every word may end a sentence, as passages without punctuation have no other ends
 and ends that depend on what stands before a passage differ between documents.
-So from every word on, the run of LEAST words is hashed, and each longer run of
+So from every word on, the run of LEAST words (a parameter) is hashed, and each longer run of
 sentences is covered by such runs.  Equal hashes are joined over all documents.
 The occurrence in the least doc_id, and there the first, stays; what other
 occurrences cover is removed.
@@ -41,7 +41,7 @@ RADIX = U64(0x9E3779B97F4A7C55)
 _INVERSE = U64(pow(int(RADIX), -1, 1 << 64))
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def runs(texts: list[bytes], least: int = LEAST) -> tuple[np.ndarray, ...]:
     """Hash, text number, start and end (code points) of every run, in order, and whether it occurred before in its text."""
     h, before, starts, ends = words([lower_in_place(t) for t in texts], NOT_ALNUM, lower=True, places=True)
     n = len(h)
@@ -52,9 +52,9 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     base = np.cumsum([0] + [len(t) + 1 for t in texts])
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     first, last = starts + base[doc], ends + base[doc]
-    at = np.arange(max(n - LEAST + 1, 0))
-    at = at[doc[at] == doc[at + LEAST - 1]]
-    of, to = doc[at], at + LEAST
+    at = np.arange(max(n - least + 1, 0))
+    at = at[doc[at] == doc[at + least - 1]]
+    of, to = doc[at], at + least
     power = np.cumprod(np.full(n + 1, RADIX), dtype=U64)
     total = np.concatenate([np.zeros(1, U64), np.cumsum(h * power[:n], dtype=U64)])
     back = np.cumprod(np.full(n + 1, _INVERSE), dtype=U64)
@@ -69,23 +69,27 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return key, of, start, end, again
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _once(least: int):
     """The hashes of each document's runs, each once."""
-    for batch in batches:
-        ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
-        for a, b in slices(texts, AT_ONCE):
-            key, of, _, _, again = runs(texts[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array(key[~again].view(np.int64)), pa.array(ids[a:b][of[~again]], pa.int64())], names=["hash", "doc_id"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
+            for a, b in slices(texts, AT_ONCE):
+                key, of, _, _, again = runs(texts[a:b], least)
+                yield pa.RecordBatch.from_arrays([pa.array(key[~again].view(np.int64)), pa.array(ids[a:b][of[~again]], pa.int64())], names=["hash", "doc_id"])
 
-def _places(bits: np.ndarray):
+    return run
+
+
+def _places(bits: np.ndarray, least: int):
     """Runs that occur again in their text, and those whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), as_bytes(batch.column(1))
             for a, b in slices(texts, AT_ONCE):
-                key, of, start, end, again = runs(texts[a:b])
+                key, of, start, end, again = runs(texts[a:b], least)
                 slot = (key & U64(BITS - 1)).astype(np.int64)
                 some = again | (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
                 made = [pa.array(key[some].view(np.int64)), pa.array(ids[a:b][of[some]], pa.int64()), pa.array(start[some], pa.int64()), pa.array(end[some], pa.int64()), pa.array(again[some])]
@@ -104,13 +108,15 @@ def _bits(shared: DataFrame) -> np.ndarray:
     return out
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, spans: array of struct(start, end), in code points, merged and in order: what is to be removed. Documents without any are left out."""
+def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """least: words of a run; repeats of fewer words stay.
+
+    doc_id, spans: array of struct(start, end), in code points, merged and in order: what is to be removed. Documents without any are left out."""
     source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    once = source.mapInArrow(_once, "hash long, doc_id long")
+    once = source.mapInArrow(_once(least), "hash long, doc_id long")
     shared = once.groupBy("hash").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("other > keeper").select("hash", "keeper")
     shared = stage(shared, "shared")
-    found = source.mapInArrow(_places(_bits(shared)), "hash long, doc_id long, start long, end long, again boolean")
+    found = source.mapInArrow(_places(_bits(shared), least), "hash long, doc_id long, start long, end long, again boolean")
     spans = found.join(shared, "hash", "left").where("again OR doc_id > keeper").select("doc_id", "start", "end")
     return _merged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
 

@@ -267,3 +267,12 @@ def test_letters_of_other_lengths_leave_the_rest_in_small_letters(spark):
     assert [(text[r.start : r.end], r.n_matched) for r in rows] == [(" ".join(item).upper(), 20)]
     spans = substrings.repeated_spans(documents(spark, [" ".join(item), text])).collect()
     assert [[text[s.start : s.end] for s in r.spans] for r in spans] == [[" ".join(item).upper()]]
+
+
+def test_least_length_is_a_parameter(spark):
+    footer = "Follow us here every day. Sign up for our letter. Thank you."
+    docs = documents(spark, [f"{' '.join(words(20))}. {footer} {' '.join(words(20))}" for _ in range(3)])
+    rows = {r.doc_id: r.spans for r in substrings.repeated_spans(docs, 12).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {d: [texts[d][s.start : s.end] for s in spans] for d, spans in rows.items()} == dict.fromkeys((1, 2), [footer[:-1]])
+    assert substrings.repeated_spans(docs).count() == 0
