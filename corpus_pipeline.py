@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontamination, lsh_forest, packing, pii, toxicity
-from gridloom.llm.common import stage, table
+from gridloom.llm.common import release, stage, staged, table
 from gridloom.llm.queries import tokenizer_path
 
 #: Documents that score this much or more go.
@@ -45,8 +45,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents; each stage's result is written to the shared folder and read again."""
+    """All stages over the table documents; each stage's result is written to the shared folder and read again, and what it was made of is deleted."""
     docs = table(spark, sf_dir, "documents")
+    first = staged()
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
+        release(first, staged() - 1)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset and all runs in one process (tests)."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="gridloom-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -34,17 +38,23 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes a frame to the shared folder and reads it again: lineage ends here and lost executors cost only what they held."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/gridloom/{uuid.uuid4().hex}-{name}"
+    path = f"{shared_dir(spark)}/gridloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{name}"
     df.write.parquet(path)
     _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged() -> int:
+    """How many tables are staged so far."""
+    return len(_staged)
+
+
 @atexit.register
-def release() -> None:
-    """Deletes all staged tables. Frames that read them can't be evaluated afterwards."""
-    while _staged:
-        spark, path = _staged.pop()
+def release(first: int = 0, last: int | None = None) -> None:
+    """Deletes staged tables from number first to before last (all). Frames that read them can't be evaluated afterwards."""
+    gone = _staged[first:last]
+    del _staged[first:last]
+    for spark, path in gone:
         try:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
@@ -114,12 +124,13 @@ def _arrow(t: T.DataType) -> pa.DataType:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, where=None) -> DataFrame:
-    """At most max_rows rows (doc_id, text, label, part) of labelled documents.
+    """At most max_rows rows (doc_id, text, label, part) of labelled documents, one for each doc_id.
 
     A document with several labels takes the largest; null ids and labels don't
-    count.  Which rows: those with the least hashes of their ids, so that the
-    sample is random and the same each time.  part: a hash from 0 to 99.
-    The broadcast side has max_rows rows of two numbers at most.
+    count.  Of rows of one doc_id, that with the least hash of its text counts.
+    Which documents: those with the least hashes of their ids, so that the sample
+    is random and the same each time.  part: a hash from 0 to 99.  The broadcast
+    side has max_rows rows of two numbers at most.
     """
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     if where is not None:
@@ -128,7 +139,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, wher
     at = F.xxhash64("doc_id", F.lit("sample"))
     chosen = chosen.orderBy(at, "doc_id").limit(max_rows)
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(100)).cast("int").alias("part")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", part)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "label", part)
 
 
 def remainder(by: int):

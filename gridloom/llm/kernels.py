@@ -141,6 +141,13 @@ def _long(text: bytes, sep: np.ndarray, lower: bool):
     return np.concatenate(hashes), np.concatenate(starts), np.concatenate(ends)
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the half-open ranges, one range after the other, and the number of the range of each."""
+    size = ends - starts
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) + (starts - np.cumsum(size) + size)[of], of
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of n consecutive hashes, over text bounds too; see within()."""
     if len(h) < n:

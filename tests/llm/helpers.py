@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -21,3 +23,7 @@ def empty(spark):
 
 #: Names that clash with columns the operators make.
 CLASHES = dict.fromkeys(["score", "spans", "length", "kept", "licenses", "rep", "label", "value", "__text_", "hash", "n_words", "signature"], "x")
+
+
+def crc32(doc_id) -> int:
+    return zlib.crc32(str(doc_id).encode())

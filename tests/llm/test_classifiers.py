@@ -12,6 +12,7 @@ from gridloom.llm.common import labelled, remainder
 from gridloom.llm.learn import platt, sigmoid
 from gridloom.llm.queries import op2_quality_rules, op8_toxicity, op9_attention
 
+from ..conftest import DATA
 from .helpers import CLASHES, documents, empty
 
 LARGE = "/root/testdata/sf0.1"
@@ -67,10 +68,12 @@ def test_quality_edges(spark):
 # ---- toxicity
 
 
-def test_nearest_against_brute_force():
+@pytest.mark.parametrize("head", [1e-9, 8, 1e9])  # all terms by postings, some, all dense
+def test_nearest_against_brute_force(monkeypatch, head):
+    monkeypatch.setattr(toxicity, "HEAD", head)
     rng = np.random.default_rng(3)
     n, terms = 400, 30
-    dense = np.where(rng.random((n, terms)) < 0.12, rng.random((n, terms)), 0)
+    dense = np.where(rng.random((n, terms)) < np.linspace(0.02, 0.3, terms), rng.random((n, terms)), 0)
     dense[200:230] = dense[:30]  # ties
     dense = dense[dense.any(1)]
     dense /= np.linalg.norm(dense, axis=1, keepdims=True)
@@ -80,7 +83,8 @@ def test_nearest_against_brute_force():
     m.count, m.toxic, m.ids = rng.integers(1, 4, len(dense)).astype(float), np.zeros(len(dense)), np.arange(len(dense))
     m.build()
     for q in range(0, len(dense), 7):
-        entries, sims = m.nearest(rows[q], dense[q][rows[q]])
+        vector = rows[q], dense[q][rows[q]]
+        entries, sims = m.nearest(*vector, m.partial([vector])[0])
         all_sims = np.round(dense @ dense[q], 9)
         order = np.lexsort((np.arange(len(dense)), -all_sims))
         order = order[all_sims[order] > 0]
@@ -90,6 +94,57 @@ def test_nearest_against_brute_force():
         assert sorted(entries) == sorted(wanted) and np.allclose(sims, all_sims[entries])
 
 
+def test_toxicity_query_against_dense_brute_force(spark, duck):
+    """Every score of the query from dense vectors over all terms of the examples, with a sort instead of an index."""
+    from .helpers import crc32
+
+    docs = dict(duck.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall())
+    label = {i: y for i, y in duck.execute("SELECT doc_id, toxic FROM labels WHERE toxic IS NOT NULL").fetchall() if crc32(i) % 3 != 1 and i in docs}
+    bags = {i: Counter(re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())) for i, t in docs.items()}
+    terms = {w: k for k, w in enumerate(sorted({w for i in label for w in bags[i]}))}
+    n, pos, df = np.zeros(len(terms)), np.zeros(len(terms)), np.zeros(len(terms))
+    for i, bag in bags.items():
+        for w in bag:
+            if w in terms:
+                df[terms[w]] += 1
+                n[terms[w]] += i in label
+                pos[terms[w]] += label.get(i, 0)
+    share = (sum(label.values()) + 0.5) / (len(label) + 1)
+    weight = (np.log((1 + len(docs)) / (1 + df)) + 1) * toxicity.dependence(n, pos, share)
+
+    def vector(i):
+        v = np.zeros(len(terms))
+        for w, c in bags[i].items():
+            if w in terms:
+                v[terms[w]] = (1 + np.log(c)) * weight[terms[w]]
+        return v / max(np.linalg.norm(v), 1e-12)
+
+    ids = [i for i in label if vector(i).any()]
+    index, y = np.stack([vector(i) for i in ids]), np.array([label[i] for i in ids], float)
+
+    def vote(i):
+        sims = np.round(index @ vector(i), 9)
+        sims = np.where([j == i and i in label and leave for j in ids], 0, sims)
+        kth = np.sort(sims)[::-1][toxicity.NEIGHBOURS - 1] if len(ids) >= toxicity.NEIGHBOURS else 0
+        near = sims >= max(kth, 1e-12)
+        return (sims * y)[near].sum() / sims[near].sum() if near.any() else None
+
+    leave = True
+    told = [(v, label[i]) for i in sorted(ids) if (v := vote(i)) is not None]
+    a, b = platt(*map(np.array, zip(*told, strict=True)))
+    leave = False
+    empty_labels = [label[i] for i in label if i not in ids]
+    prior = (sum(empty_labels) + share) / (len(empty_labels) + 1)
+    scores = {r.doc_id: r.score for r in op8_toxicity(spark, DATA).collect()}
+    wanted = {i: prior if (v := vote(i)) is None else float(sigmoid(a * v + b)) for i in docs}
+    assert scores.keys() == wanted.keys() and all(scores[i] == pytest.approx(s, abs=1e-6) for i, s in wanted.items())
+
+
+def test_few_texts_are_without_a_vector(spark):
+    rows = op8_toxicity(spark, LARGE).join(spark.read.parquet(f"{LARGE}/documents.parquet").where("length(text) > 0").select("doc_id"), "doc_id")
+    assert rows.where("size(evidence) = 0").count() < 0.01 * rows.count()
+
+
 def test_toxicity_held_out(spark):
     rows = op8_toxicity(spark, LARGE).join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.95
@@ -120,6 +175,8 @@ def test_samples_are_bounded_and_labels_unique(spark):
     made = labelled(docs, labels, "toxic", 20).collect()
     assert len(made) == 20 == len({r.doc_id for r in made})
     assert {r.doc_id: r.label for r in labelled(docs, labels, "toxic", 100).collect()} == {i: i % 2 for i in range(50)}
+    often = docs.crossJoin(spark.range(100).withColumnRenamed("id", "copy")).withColumn("text", F.concat("text", F.col("copy").cast("string")))
+    assert sorted(r.doc_id for r in labelled(often, labels, "toxic", 20).collect()) == sorted(r.doc_id for r in made)
 
 
 # ---- attention
