@@ -2,44 +2,49 @@
 
 A mask over consecutive words looks at some positions and ignores the others, so
 that a seed survives a word that was replaced there.  Seeds of all benchmark items
-are hashed; the words of every document are hashed under the same masks, and where
-a hash is found, document and item are laid over one another at that place.  An
-overlap counts if some window of ``WINDOW`` words of the item (the whole item if
-it is shorter) agrees in ``AGREE`` hundredths of its words or more; of items under
-``SHORT`` words every word must agree.
-
-The benchmark goes to the tasks in blocks of at most ``BLOCK`` words (or one item),
-so what is broadcast is bounded; the documents are read once for each block, and
-every pair of hash and hash meets.
+and of all documents are hashed under the same masks and joined on the hash.  Each
+side brings the hashes of the words around its seed (REACH to the left and to the
+right), and where two seeds meet, item and document are laid over one another
+there: an overlap counts if some window of WINDOW words of the item (the whole item
+if it is shorter) agrees in AGREE hundredths of its words or more; of items under
+SHORT words every word must agree.
+
+A Bloom filter of the items' seeds, of BITS bits at most, keeps other seeds of
+documents out of the join; where a benchmark fills it, more seeds go into the join
+and none is lost.  Equal surroundings of one seed within a text, or an item, are
+taken once, so that repeats don't multiply.  Whether a text overlaps depends on the
+text alone: what is found is kept by two hashes of the text and joined with the
+rows afterwards.  The documents are read twice, whatever the size of the benchmark.
 
 Edge cases.  Null and empty texts and items match nothing.  Words are runs of
 letters and digits, in small letters.  Texts are taken whole.  Repeated rows give
-repeated rows.  Rows without doc_id or item_id are ignored, other columns too.  An
-empty benchmark gives no rows.
+repeated rows.  Rows without doc_id have no row in ``contaminated``, but ``clean``
+judges them as others; rows without item_id are ignored, and other columns too.
+An empty benchmark gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, filter_text, slices
+from .common import as_bytes, slices, stage
 from .kernels import NOT_ALNUM, RUN_KEYS, U64, lower_in_place, mix, words
 
 #: Fixed masks, all of four looked-at positions.
 MASKS = ("1111", "11011", "110101", "1010011")
-WINDOW, AGREE, SHORT, BLOCK = 20, 80, 8, 250_000
-BITS = 20
-FIELDS = "doc_id long, item_id long, start long, end long, n_matched long, n_words long"
+WINDOW, AGREE, SHORT, REACH, BITS = 20, 80, 8, 32, 28
+#: Texts that are removed by a broadcast join, 16 bytes each; beyond that Spark chooses.
+MOST_BROADCAST = 1_000_000
+KEY = ["text_key", "text_key_2"]
 
 
-def _words(texts: list[bytes], places: bool = False):
-    return words([lower_in_place(t) for t in texts], NOT_ALNUM, lower=True, places=places)
+def _words(texts: list[bytes]):
+    return words([lower_in_place(t) for t in texts], NOT_ALNUM, lower=True)
 
 
 def seeds(h: np.ndarray, mask: str) -> np.ndarray:
@@ -54,111 +59,158 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-def overlap(item: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """(first word, word after the last, agreeing words) of the item's parts that count, laid over the text at shift (text word = item word + shift)."""
-    m = len(item)
-    same = np.zeros(m, np.int64)
-    a, b = max(0, -shift), min(m, len(text) - shift)
-    same[a:b] = item[a:b] == text[a + shift : b + shift]
-    size = min(WINDOW, m)
-    need = m if m < SHORT else -(-AGREE * size // 100)
-    total = np.concatenate([[0], np.cumsum(same)])
-    good = np.flatnonzero(total[size:] - total[:-size] >= need)
-    if not len(good):
-        return None
-    covered = np.zeros(m + 1, np.int64)
-    np.add.at(covered, good, 1)
-    np.add.at(covered, good + size, -1)
-    inside = np.flatnonzero((np.cumsum(covered)[:m] > 0) & (same > 0))
-    return int(inside[0]) + shift, int(inside[-1]) + 1 + shift, len(inside)
-
-
-class Block:
-    """Seeds of some benchmark items."""
-
-    def __init__(self, items: list[tuple[int, bytes]]):
-        self.ids = [i for i, _ in items]
-        h, before = _words([t for _, t in items])
-        self.words = [h[a:b] for a, b in zip(before[:-1], before[1:], strict=True)]
-        keys, item, place = [], [], []
-        for mask in MASKS:
-            for k, w in enumerate(self.words):
-                s = seeds(w, mask)
-                keys.append(s)
-                item.append(np.full(len(s), k))
-                place.append(np.arange(len(s)))
-        for k, w in enumerate(self.words):  # items that no mask fits into
-            if 0 < len(w) < len(MASKS[0]):
-                keys.append(w[:1])
-                item.append(np.full(1, k))
-                place.append(np.zeros(1, np.int64))
-        keys, item, place = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, item, place))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.item, self.place = keys[order], item[order], place[order]
-        self.short = any(0 < len(w) < len(MASKS[0]) for w in self.words)
-        self.there = np.zeros(1 << BITS, bool)
-        self.there[(self.keys >> U64(64 - BITS)).astype(np.int64)] = True
-
-    def search(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int, int]]:
-        """(text number, item number, start byte, end byte, agreeing words, the item's words), one for each pair: its best overlap."""
-        if not len(self.keys):
-            return []
-        h, before, starts, ends = _words(texts, places=True)
-        pairs = []
-        for mask in (*MASKS, *[None] * self.short):
-            s = h if mask is None else seeds(h, mask)
-            at = np.flatnonzero(self.there[(s >> U64(64 - BITS)).astype(np.int64)])
-            lo, hi = np.searchsorted(self.keys, s[at]), np.searchsorted(self.keys, s[at], side="right")
-            n = hi - lo
-            k = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            p = np.repeat(at, n)
-            doc = np.searchsorted(before, p, side="right") - 1
-            pairs.append(np.stack([doc, self.item[k], p - before[doc] - self.place[k]], 1))
-        best: dict[tuple[int, int], tuple] = {}
-        for doc, item, shift in np.unique(np.concatenate(pairs), axis=0).tolist():
-            a, b = before[doc], before[doc + 1]
-            found = overlap(self.words[item], h[a:b], shift)
-            if found and found[2] > best.get((doc, item), (0, 0, 0))[2]:
-                best[doc, item] = found
-        return [(d, i, int(starts[before[d] + x]), int(ends[before[d] + y - 1]), n, len(self.words[i])) for (d, i), (x, y, n) in best.items()]
-
-
-def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[Block]:
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text")
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = -(-total // size)
-    for i in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect()
-        yield Block(sorted((r.item_id, r.text.encode()) for r in rows))
+class Bloom:
+    """Bits of 64-bit hashes: four for each, 32 bits of room for each and 2^BITS at most."""
+
+    def __init__(self, bits: int):
+        self.bits, self.held = bits, np.zeros(1 << bits - 3, np.uint8)
+
+    def _slots(self, keys: np.ndarray, k: int) -> np.ndarray:
+        return (mix(keys * RUN_KEYS[k] + U64(k)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        for k in range(4):
+            at = self._slots(keys, k)
+            np.bitwise_or.at(self.held, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys that may be among those added."""
+        left = np.arange(len(keys))
+        for k in range(4):
+            at = self._slots(keys[left], k)
+            left = left[self.held[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+        return left
+
+
+def bloom(seeds: DataFrame) -> Bloom:
+    """Of the column seed. Tasks set bits in a map each and send the bytes that aren't empty, which are merged before any comes to the driver."""
+    bits = min(BITS, max(12, (32 * seeds.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Bloom(bits)
+        for batch in batches:
+            own.add(batch.column(0).to_numpy().view(U64))
+        words = own.held.view(np.int64)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], names=["word", "bits"])
+
+    made, out = seeds.select("seed").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")), Bloom(bits)
+    found = made.toArrow()
+    out.held.view(np.int64)[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def placed(h: np.ndarray, filled: Bloom | None, short: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Seeds of one text's words, their places and the words around (REACH before, REACH from there on; 0 beyond the text).
+
+    filled: only seeds that it may hold.  short: single words too, for items that
+    no mask fits into.  Each seed with equal surroundings is given once.
+    """
+    found = [h[:1] if filled is None and 0 < len(h) < len(MASKS[0]) else h if short else h[:0]]
+    found += [seeds(h, mask) for mask in MASKS]
+    at = [np.arange(len(x)) if filled is None else filled.find(x) for x in found]
+    key, place = np.concatenate([x[i] for x, i in zip(found, at, strict=True)]), np.concatenate(at)
+    if not len(key):
+        return key, place, np.zeros((0, 2 * REACH), np.uint32)
+    low = np.concatenate([np.zeros(REACH, np.uint32), (h & U64(0xFFFFFFFF)).astype(np.uint32), np.zeros(REACH, np.uint32)])
+    around = low[place[:, None] + np.arange(2 * REACH)]
+    rows = np.concatenate([key.view(np.uint32).reshape(-1, 2), around], 1)
+    _, once = np.unique(rows, axis=0, return_index=True)
+    once.sort()
+    return key[once], place[once], around[once]
+
+
+def _seeded(filled: Bloom | None, short: bool, names: list[str]):
+    """Rows (..., text) to rows (seed, ..., place, n_words, around), one for each seed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = as_bytes(batch.column(batch.num_columns - 1))
+            for a, b in slices(texts):
+                h, before = _words(texts[a:b])
+                for i, (x, y) in enumerate(zip(before[:-1], before[1:], strict=True)):
+                    key, place, around = placed(h[x:y], filled, short)
+                    if len(key):
+                        held = [pa.array([batch.column(c)[a + i].as_py()] * len(key), pa.int64()) for c in range(batch.num_columns - 1)]
+                        made = [pa.array(key.view(np.int64)), *held, pa.array(place), pa.array(np.full(len(key), y - x)), pa.array([r.tobytes() for r in around], pa.binary())]
+                        yield pa.RecordBatch.from_arrays(made, names=names)
+
+    return run
+
+
+def laid_over(item: np.ndarray, text: np.ndarray, place: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of surroundings in rows, seed over seed: the first agreeing word of windows that count and the place after the last (from the seed), and how many agree; 0 of them: no overlap.
+
+    place, n_words: the seed's word in the item, and the item's words.
+    """
+    at = np.arange(2 * REACH)
+    first, last = np.maximum(REACH - place, 0), np.minimum(REACH - place + n_words, 2 * REACH)
+    same = (item == text) & (at >= first[:, None]) & (at < last[:, None])
+    total = np.concatenate([np.zeros((len(same), 1), np.int64), np.cumsum(same, axis=1)], axis=1)
+    begins, ends, agreeing = np.zeros(len(same), np.int64), np.zeros(len(same), np.int64), np.zeros(len(same), np.int64)
+    sizes = np.minimum(n_words, WINDOW)
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        need = np.where(n_words[rows] < SHORT, size, -(-AGREE * size // 100))
+        start = np.arange(2 * REACH - size + 1)
+        good = (total[rows, size:] - total[rows, : len(start)] >= need[:, None]) & (start >= first[rows, None]) & (start + size <= last[rows, None])
+        edge = np.zeros((len(rows), 2 * REACH + 1), np.int64)
+        edge[:, : len(start)] += good
+        edge[:, size : size + len(start)] -= good
+        inside = same[rows] & (np.cumsum(edge, axis=1)[:, :-1] > 0)
+        agreeing[rows] = inside.sum(1)
+        begins[rows], ends[rows] = inside.argmax(1) - REACH, 2 * REACH - inside[:, ::-1].argmax(1) - REACH
+    return begins, ends, agreeing
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            get = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            item, text = (np.frombuffer(b"".join(get[n].to_pylist()), np.uint32).reshape(-1, 2 * REACH) for n in ("item_around", "around"))
+            begins, ends, agreeing = laid_over(item, text, get["item_place"].to_numpy(), get["item_words"].to_numpy())
+            place = get["place"].to_numpy()
+            made = [*(get[k] for k in [*KEY, "item_id"]), *map(pa.array, (place + begins, place + ends, agreeing)), get["item_words"]]
+            yield pa.RecordBatch.from_arrays(made, names=_FOUND).filter(pa.array(agreeing > 0))
+
+
+_FOUND = [*KEY, "item_id", "first_word", "end_word", "n_matched", "n_words"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Adds two hashes of the text, null for a null text."""
+    return docs.withColumns({KEY[0]: F.when(F.col("text").isNotNull(), F.xxhash64("text")), KEY[1]: F.when(F.col("text").isNotNull(), F.xxhash64(F.lit(7), "text"))})
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row for each text and item that overlap: the text's hashes, item_id, first_word and end_word (numbers of words of the text, the end exclusive), n_matched (agreeing words), n_words (the item's)."""
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    names = ["seed", "item_id", "item_place", "item_words", "item_around"]
+    sown = stage(items.mapInArrow(_seeded(None, False, names), "seed long, item_id long, item_place long, item_words long, item_around binary"), "items")
+    short = not sown.where(F.col("item_words") < len(MASKS[0])).isEmpty()
+    texts = keyed(docs.select(F.col("text").cast("string"))).where("text IS NOT NULL").select(*KEY, "text")
+    hits = texts.mapInArrow(_seeded(bloom(sown), short, ["seed", *KEY, "place", "words", "around"]), "seed long, text_key long, text_key_2 long, place long, words long, around binary")
+    met = hits.join(sown, "seed").select(*KEY, "place", "around", "item_id", "item_place", "item_words", "item_around")
+    found = met.mapInArrow(_met, ", ".join(f"{n} long" for n in _FOUND))
+    best = F.max_by(F.struct("first_word", "end_word", "n_matched"), F.struct("n_matched", -F.col("first_word"), -F.col("end_word"))).alias("best")
+    return found.groupBy(*KEY, "item_id").agg(best, F.max("n_words").alias("n_words")).select(*KEY, "item_id", "best.*", "n_words")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document and item that overlap: doc_id, item_id, start and end (code points of the document), n_matched (agreeing words), n_words (the item's)."""
-    source = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    def searched(block: Block) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-                for a, b in slices(texts):
-                    rows = [(ids[a + d], block.ids[i], len(texts[a + d][:x].decode()), len(texts[a + d][:y].decode()), n, m) for d, i, x, y, n, m in block.search(texts[a:b])]
-                    if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=[f.split()[0] for f in FIELDS.split(", ")])
-
-        return source.mapInArrow(run, FIELDS)
-
-    found = [searched(b) for b in blocks(benchmark)]
-    return reduce(DataFrame.unionByName, found) if found else source.sparkSession.createDataFrame([], FIELDS)
+    """One row for each document and item that overlap: doc_id and what ``overlaps`` gives."""
+    found = stage(overlaps(docs, benchmark), "overlaps")
+    rows = keyed(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))).drop("text")
+    return rows.join(found, KEY).drop(*KEY)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap no item, with all their columns."""
-
-    def without(df: DataFrame, block: Block) -> DataFrame:
-        def fn(texts: list[bytes]) -> list[bool]:
-            bad = {r[0] for r in block.search(texts)}
-            return [i not in bad for i in range(len(texts))]
-
-        return filter_text(df, fn)
-
-    return reduce(without, blocks(benchmark), docs)
+    """The documents that overlap no item, with all their columns.
+
+    Texts that go are broadcast if they are MOST_BROADCAST at most; else the join is Spark's to plan.
+    """
+    bad = stage(overlaps(docs, benchmark).select(*[F.col(k).alias(f"__{k}") for k in KEY]).distinct(), "overlaps")
+    made = keyed(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text")))
+    if bad.count() <= MOST_BROADCAST:
+        bad = F.broadcast(bad)
+    kept = made.join(bad, (made[KEY[0]] == bad[f"__{KEY[0]}"]) & (made[KEY[1]] == bad[f"__{KEY[1]}"]), "left_anti")
+    return kept.select("row.*")

@@ -1,6 +1,7 @@
 """Near duplicates, repeated spans and benchmark overlaps, against brute force."""
 
 import re
+import time
 
 import numpy as np
 import pytest
@@ -199,22 +200,32 @@ def test_overlaps(spark):
     rows = decontamination.contaminated(docs, benchmark).collect()
     assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 1), (1, 1), (2, 1), (7, 2), (8, 1)]
     by = {(r.doc_id, r.item_id): r for r in rows}
-    assert texts[0][by[0, 1].start : by[0, 1].end] == " ".join(item) and by[0, 1].n_matched == by[0, 1].n_words == 40
-    assert by[1, 1].n_matched == 34 and texts[1][by[1, 1].start : by[1, 1].end].lower() == " ".join(changed)
+    assert texts[0].split()[by[0, 1].first_word : by[0, 1].end_word] == item and by[0, 1].n_matched == by[0, 1].n_words == 40
+    assert by[1, 1].n_matched == 34 and (by[1, 1].first_word, by[1, 1].end_word) == (1, 41)
     left = decontamination.clean(docs, benchmark)
     assert sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6] and left.columns == docs.columns
 
 
-def test_benchmark_in_blocks(spark, monkeypatch):
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
     items = [words(20) for _ in range(30)]
     docs = documents(spark, [" ".join(i) for i in items])
     benchmark = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
-    assert len(list(decontamination.blocks(benchmark, 100))) == 6
-    monkeypatch.setattr(decontamination.blocks, "__defaults__", (100,))
+    monkeypatch.setattr(decontamination, "BITS", 6)
+    monkeypatch.setattr(decontamination, "MOST_BROADCAST", 0)
     assert sorted((r.doc_id, r.item_id) for r in decontamination.contaminated(docs, benchmark).collect()) == [(k, k) for k in range(30)]
     assert decontamination.clean(docs, benchmark).count() == 0
 
 
+def test_repeats_do_not_multiply(spark):
+    """An item of one word, 500 times, against a document of that word, 100,000 times: few surroundings differ."""
+    key, place, around = decontamination.placed(decontamination._words([b"a " * 100_000])[0], None, False)
+    assert len(key) < 500
+    benchmark = spark.createDataFrame([(1, "a " * 500)], "item_id long, text string")
+    began = time.time()
+    rows = decontamination.contaminated(documents(spark, ["a " * 100_000, "b " * 100_000]), benchmark).collect()
+    assert [(r.doc_id, r.item_id) for r in rows] == [(0, 1)] and time.time() - began < 60
+
+
 def test_overlap_edges(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = documents(spark, ["a b c"])
@@ -264,7 +275,7 @@ def test_letters_of_other_lengths_leave_the_rest_in_small_letters(spark):
     text = "İ ẞ \u212a Ⱥ " + " ".join(item).upper()
     benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     rows = decontamination.contaminated(documents(spark, [text]), benchmark).collect()
-    assert [(text[r.start : r.end], r.n_matched) for r in rows] == [(" ".join(item).upper(), 20)]
+    assert [(r.first_word, r.end_word, r.n_matched) for r in rows] == [(4, 24, 20)]
     spans = substrings.repeated_spans(documents(spark, [" ".join(item), text])).collect()
     assert [[text[s.start : s.end] for s in r.spans] for r in spans] == [[" ".join(item).upper()]]
 
