@@ -110,15 +110,16 @@ _TIMES = {"double": 2, "triple": 3}
 _FOLD = str.maketrans("\u017f\u0130\u0131\u212a", "siik")
 _DOT_WORDS = r"dot|punkt|punto|point"
 _DIGIT_WORD = "|".join(sorted(_WORDS, key=len, reverse=True))
-_DOT = rf"\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT_WORDS}|\.)\s{{0,3}}[\])}}>]\s{{0,3}}|[\x20]+(?:{_DOT_WORDS})[\x20]+"
-_AT = r"\s{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>]\s{0,3}|[\x20]+(?:at|arroba)[\x20]+"
+_DOT = rf"\s{{0,3}}[\[({{<]\s{{0,3}}(?:{_DOT_WORDS}|\.)\s{{0,3}}[\])}}>]\s{{0,3}}|[\x20]{{1,3}}(?:{_DOT_WORDS})[\x20]{{1,3}}"
+_AT = r"\s{0,3}[\[({<]\s{0,3}(?:at|arroba|@)\s{0,3}[\])}>]\s{0,3}|[\x20]{1,3}(?:at|arroba)[\x20]{1,3}"
 _ONE = rf"(?:(?:double|triple)[\x20-]+)?(?:(?:{_DIGIT_WORD})(?![^\W_])|[0-9]+)"
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus[\x20]+|\+[\x20]?)?{_ONE}(?:(?:{_DOT}|[\x20,-]{{1,3}}){_ONE})+)", re.I)
 _SPELLED_PART = re.compile(rf"(?P<dot>{_DOT})|(?P<plus>plus[\x20]+|\+[\x20]?)|(?:(?P<times>double|triple)[\x20-]+)?(?:(?P<word>(?:{_DIGIT_WORD})(?![^\W_]))|(?P<digits>[0-9]+))|(?P<gap>[\x20,-]+)", re.I)
-_NAME = r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*"
-_DISGUISED = re.compile(rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:(?:{_DOT}){_NAME})*(?P<at>{_AT}|@)(?P<host>[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)+)", re.I)
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-.")
+#: Looked at from an "at" to the right; to its left, text is walked back once.
+_HOST_SAID = re.compile(rf"[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)+", re.I)
 _DOTTED = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
-_AT_RE, _DOT_RE = re.compile(_AT, re.I), re.compile(_DOT, re.I)
+_AT_RE, _DOT_RE = re.compile(rf"{_AT}|@", re.I), re.compile(_DOT, re.I)
 #: Every _DOT, and every _AT but a bare "at" (which counts only beside a _DOT), holds one of these; every run of spelled digits holds a digit word.
 _AT_DOT_HINT = re.compile(rf"{_DOT_WORDS}|arroba|[\[({{<]\s{{0,3}}(?:at|@|\.)", re.I)
 _SPELLED_HINT = re.compile(rf"(?<![^\W_])(?:{_DIGIT_WORD})(?![^\W_])", re.I)
@@ -179,19 +180,44 @@ def _spelled(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def _said(text: str, a: int, done: int, dot_before: dict[int, int]) -> int:
+    """Where the name that ends at a begins: parts of name characters, with spelled dots between; a if there is none. Nothing before done is looked at."""
+    found = at = a
+    while True:
+        start = at
+        while start > done and text[start - 1] in _NAME_CHARS:
+            start -= 1
+        while start < at and text[start] == ".":
+            start += 1
+        if start == at:
+            return found
+        found, at = start, dot_before.get(start, -1)
+        if at <= done or text[at - 1] not in _NAME_CHARS:
+            return found
+
+
 def _at_dot(tape: Tape) -> None:
-    edits = []
-    for m in _DISGUISED.finditer(tape.text):
-        a, b = m.span("at")
-        dots = [d for d in _DOT_RE.finditer(tape.text, m.start(), m.end()) if d.end() <= a or d.start() >= b]
+    """Addresses are looked for at every "at", not at every name, and what lies left of it is walked once."""
+    edits, done, text = [], 0, tape.text
+    dot_before = {d.end(): d.start() for d in _DOT_RE.finditer(text)}
+    for m in _AT_RE.finditer(text):
+        a, b = m.span()
+        host = _HOST_SAID.match(text, b)
+        start = _said(text, a, done, dot_before) if host else a
+        if start == a:
+            continue
+        end = host.end()
+        dots = [d for part in ((start, a), (b, end)) for d in _DOT_RE.finditer(text, *part)]
         in_host = [d for d in dots if d.start() >= b]
-        bare = tape.text[a:b].strip().isalpha()
-        if (bare and not in_host) or (not dots and tape.text[a:b] == "@"):
+        bare = text[a:b].strip().isalpha()
+        done = b
+        if (bare and not in_host) or (not dots and text[a:b] == "@"):
             continue
-        words_only = bare or (in_host and all(tape.text[d.start() : d.end()].strip().isalpha() for d in in_host))
-        if words_only and re.split(r"[^A-Za-z0-9-]+", m["host"])[-1].lower() not in _TOP:
+        words_only = bare or (in_host and all(text[d.start() : d.end()].strip().isalpha() for d in in_host))
+        if words_only and re.split(r"[^A-Za-z0-9-]+", host[0])[-1].lower() not in _TOP:
             continue
-        edits += [(d.start(), d.end(), ".") for d in dots] + [(a, b, "@")] * (tape.text[a:b] != "@")
+        edits += [(d.start(), d.end(), ".") for d in dots] + [(a, b, "@")] * (text[a:b] != "@")
+        done = end
     taken = sorted(edits)
     for m in _DOTTED.finditer(tape.text):
         dots = list(_DOT_RE.finditer(tape.text, *m.span()))
