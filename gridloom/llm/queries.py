@@ -49,7 +49,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(*probe.columns).unionByName(probe)
-    return chat.read_back(chat.format_conversations(chat.from_rows(rows)))
+    return chat.read_back(chat.format_conversations(chat.replayed(rows)))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
