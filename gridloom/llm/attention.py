@@ -6,9 +6,9 @@ attention gives each passage a weight, and the weighted mean of the encodings is
 scored.  All weights are learned from document labels alone; probabilities are
 calibrated on labelled rows that aren't trained on.
 
-Bounds.  At most ``max_examples`` labelled rows are fitted on, and of one longer
-than ``MAX_PASSAGES`` passages as many, evenly spaced, train; scoring takes every
-passage of every text.
+Bounds.  At most ``max_examples`` labelled rows are fitted on, with every passage of
+theirs; scoring takes every passage of every text.  Scores are rounded to nine
+digits, so that they don't depend on what else is in a batch.
 
 Edge cases.  A null or empty text is one passage without words.  Without labelled
 rows every score is one half.  Null labels don't count.  Repeated rows are scored
@@ -26,7 +26,7 @@ from .common import labelled, map_text
 from .kernels import words
 from .learn import Adam, platt, sigmoid
 
-PASSAGE, MAX_EXAMPLES, MAX_PASSAGES, CALIBRATE = 64, 3000, 64, 20
+PASSAGE, MAX_EXAMPLES, CALIBRATE = 64, 3000, 20
 HIDDEN, GATE, EPOCHS = 24, 12, 20
 #: Byte classes: small letters, capitals, digits, space, new line, some signs, other languages' bytes, all else.
 CLASS = np.full(256, 15, np.int64)
@@ -102,17 +102,16 @@ class Model:
     def scores(self, texts: list[bytes]) -> list:
         """Scores, and the number of the passage that weighs most in each text."""
         x, bag = passages(texts)
-        f = self.forward(x, bag)
-        top = [int(np.argmax(f["w"][a:b])) for a, b in zip(bag[:-1], bag[1:], strict=True)]
-        return [sigmoid(self.a * f["raw"] + self.b).tolist(), top]
+        f = self.forward(x.astype(np.float64), bag)
+        top = [int(np.argmax(np.round(f["w"][a:b], 9))) for a, b in zip(bag[:-1], bag[1:], strict=True)]
+        return [np.round(sigmoid(self.a * f["raw"] + self.b), 9).tolist(), top]
 
 
 def _bags(texts: list[bytes]) -> list:
     x, bag = passages(texts)
     out = []
     for a, b in zip(bag[:-1], bag[1:], strict=True):
-        some = np.unique(np.linspace(a, b - 1, min(b - a, MAX_PASSAGES)).astype(np.int64))
-        out.append(x[some].astype(np.float16).tobytes())
+        out.append(x[a:b].astype(np.float16).tobytes())
     return [out]
 
 
@@ -139,7 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, max_examples: int = MAX_
         for i in range(0, len(order), 64):
             adam.step(model.gradient(*batch(order[i : i + 64]), y[order[i : i + 64]]))
     held = np.array([i for i, r in enumerate(rows) if r.part < CALIBRATE] or learnt)
-    model.a, model.b = platt(model.forward(*batch(held))["raw"], y[held])
+    raw = [model.forward(*batch(held[i : i + 64]))["raw"] for i in range(0, len(held), 64)]
+    model.a, model.b = platt(np.concatenate(raw), y[held])
+    model.params = {k: v.astype(np.float64) for k, v in model.params.items()}
     return model
 
 

@@ -216,6 +216,48 @@ def test_passages_hold_all_words():
     assert np.allclose(x, np.concatenate(alone))
 
 
+def test_attention_query_against_plain_loops(spark, duck):
+    """Features and the forward pass of some texts, written out in loops, against the query's scores of all."""
+    docs = duck.execute("SELECT doc_id, text FROM documents ORDER BY length(text), doc_id").fetchall()
+    model = attention.fit(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"), remainder(4) != 2)
+    scores = {r.doc_id: r.score for r in op9_attention(spark, DATA).collect()}
+    assert scores.keys() == {i for i, _ in docs}
+    p = model.params
+
+    def features(part, n, repeats):
+        pairs = Counter((int(attention.CLASS[a]), int(attention.CLASS[b])) for a, b in zip(part, part[1:], strict=False))
+        total = max(sum(pairs.values()), 1)
+        x = np.zeros(attention.FEATURES)
+        for (a, b), c in pairs.items():
+            x[16 * a + b] = np.float32(np.sqrt(c / total))
+        x[256:] = np.array([repeats / max(n, 1), min(len(part) / max(n, 1), 40) / 20, n / attention.PASSAGE, 1], np.float32)
+        return x
+
+    for i, text in docs[::3]:
+        data = (text or "").encode()
+        found = list(re.finditer(rb"[^\x20\x09-\x0D]+", data))
+        bag = []
+        for k in range(0, max(len(found), 1), attention.PASSAGE):
+            some = found[k : k + attention.PASSAGE]
+            begin = some[0].start() if k else 0
+            end = found[k + attention.PASSAGE].start() if k + attention.PASSAGE < len(found) else len(data)
+            said = [m[0].lower() for m in some]
+            x = features(data[begin : end + 1], len(some), len(said) - len(set(said)))
+            x[257] = np.float32(min((end - begin) / max(len(some), 1), 40) / 20)
+            bag.append(np.tanh(x @ p["enc"] + p["enc_b"]))
+        e = np.array([np.tanh(h @ p["tan"]) * sigmoid(h @ p["gate"]) @ p["att"] for h in bag])
+        w = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+        raw = (w[:, None] * bag).sum(0) @ p["out"] + p["out_b"][0]
+        assert scores[i] == pytest.approx(float(sigmoid(model.a * raw + model.b)), abs=1e-6), i
+
+
+def test_attention_scores_do_not_depend_on_the_batch(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = attention.fit(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    assert model.scores(texts)[0] == [model.scores([t])[0][0] for t in texts]
+
+
 def test_attention_held_out(spark):
     rows = op9_attention(spark, LARGE).join(spark.read.parquet(f"{LARGE}/labels.parquet"), "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
