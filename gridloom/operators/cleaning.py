@@ -59,14 +59,14 @@ def _drop_ambiguous(df: DataFrame, keys: list[str], value: str, item: dict) -> t
     for stamp, text in zip(stamps, wanted, strict=True):
         r = found.get(text)
         if r is None:
-            raise GateError(f"configured ambiguous timestamp {stamp} is absent")
+            raise GateError(f"{stamp} is in the catalogue, but no rows are at it")
         if (r["least"], r["most"]) != (2, 2):
-            raise GateError(f"{stamp}: expected every key to have exactly two rows")
+            raise GateError(f"{stamp}: not every key stands there twice")
         if not r["conflicting"]:
-            raise GateError(f"{stamp}: all duplicate keys are exact")
+            raise GateError(f"{stamp}: both rows of every key are equal")
         for name, now in (("rows_at_timestamp", r["rows"]), ("unique_candidate_keys", r["keys"]), ("conflicting_candidate_keys", r["conflicting"])):
             if evidence.get(name) is not None and int(evidence[name]) != now:
-                raise GateError(f"{stamp}: evidence changed: {name} is {now}, not {evidence[name]}")
+                raise GateError(f"{stamp}: {name} is {now}, the catalogue says {evidence[name]}")
         done.append(
             {"action": item["action"], "timestamp": stamp, "rows_removed": r["rows"], "unique_candidate_keys": r["keys"], "conflicting_candidate_keys": r["conflicting"],
              "exact_candidate_keys": r["keys"] - r["conflicting"], "reason": item.get("reason"), "evidence": evidence}
@@ -84,7 +84,7 @@ def apply_exceptions(df: DataFrame, keys: list[str], value: str, source: str, mo
         if (item.get("source"), item.get("month")) == (source, month):
             action = ACTIONS.get(item.get("action"))
             if action is None:
-                raise GateError(f"{source} {month}: unsupported action {item.get('action')!r}")
+                raise GateError(f"{source} {month}: nothing is known to do for {item.get('action')!r}")
             df, new = action(df, keys, value, item)
             done += new
     return df, done

@@ -28,7 +28,7 @@ def read_unified(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = UNIFIED) -> DataFrame:
     """Typed CSV of the contract; a bad number or timestamp fails the scan."""
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    return spark.read.schema(nullable).option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    return spark.read.schema(nullable).option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("escape", '"').csv(path)
 
 
 def read_manifests(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -52,10 +52,21 @@ def count_lines(spark: SparkSession, path: str) -> int:
 
 
 def read_nanos(spark: SparkSession, path: str, column: str = "timestamp") -> DataFrame:
-    """Parquet whose timestamps count nanoseconds, which Spark reads as numbers only: to microseconds without zone."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(path)
+    """Parquet whose timestamps count nanoseconds, which Spark reads as numbers only: to microseconds without zone. The session's own setting stays as it was."""
+    name = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        df = spark.read.parquet(path)
+        schema = df.schema
+    finally:
+        spark.conf.set(name, before)
     if dict(df.dtypes)[column] != "bigint":
         return df
     micros = F.floor(F.col(column) / F.lit(1000))
-    return df.withColumn(column, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)")))
+    return spark.read.schema(schema).option("nanosAsLong", "true").parquet(path).withColumn(column, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)")))
+
+
+def read_dicts(spark: SparkSession, path: str) -> DataFrame:
+    """CSV as a dictionary reader gives it: names from the header, every value a text, blanks and the ends of short rows empty."""
+    return spark.read.option("header", True).option("inferSchema", False).option("emptyValue", "").option("multiLine", True).option("escape", '"').csv(path).na.fill("")

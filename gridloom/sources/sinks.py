@@ -26,14 +26,38 @@ def write_single(unified: DataFrame, path: str) -> None:
     ordered.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def write_csv(unified: DataFrame, path: str) -> None:
-    """CSV of the contract as text parts, each with its header: texts quoted, numbers bare, null blank."""
-    header = F.lit(CSV_HEADER)
-    lines = csv_rows(unified)
-    parts = lines.withColumn("__part", F.spark_partition_id())
-    heads = parts.select("__part").distinct().select(header.alias("value"), "__part", F.lit(0).alias("__at"))
-    body = parts.select("value", "__part", F.lit(1).alias("__at"))
-    heads.unionByName(body).repartition("__part").sortWithinPartitions("__part", "__at").select("value").write.mode("overwrite").text(path)
+def write_csv(unified: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV of the contract as text parts, each with its header: texts quoted, numbers bare, null blank.
+
+    Spark's writer quotes a value or doesn't; its ``quoteAll`` would quote numbers
+    and blanks too.  So lines are built and written as the one column, named like
+    the header, of a CSV without quoting; nothing is shuffled.
+    """
+    lines = csv_rows(unified).withColumnRenamed("value", CSV_HEADER)
+    # neither sign can stand in a text: no separator is needed for one column, and no quote
+    writer = lines.write.mode(mode).option("header", True).option("sep", "\x01").option("quote", "\u0000").option("escapeQuotes", False).option("emptyValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def write_csv_months(unified: DataFrame, path: str, months: list[str]) -> list[str]:
+    """The contract's CSV in a folder for each month (month=YYYY-MM), one file in each, in order; the months that were written.
+
+    A month that a run before has finished, which its _SUCCESS file tells, is
+    passed over, so a run that was cut off goes on with the first month that is missing.
+    Rows of one month come to one task, as one file is asked for.
+    """
+    spark = unified.sparkSession
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    for month in months:
+        place = f"{path}/month={month}"
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")):
+            continue
+        first = F.expr(f"TIMESTAMP_NTZ '{month}-01 00:00:00'")
+        rows = unified.where((F.col("timestamp") >= first) & (F.col("timestamp") < F.expr(f"TIMESTAMP_NTZ '{month}-01 00:00:00' + INTERVAL 1 MONTH")))
+        write_csv(rows.coalesce(1).sortWithinPartitions("timestamp", "source", "generator_id"), place)
+        done.append(month)
+    return done
 
 
 def write_csv_typed(unified: DataFrame, path: str) -> None:
@@ -48,7 +72,7 @@ def write_slice(unified: DataFrame, path: str, start: str, end: str) -> dict[str
     from ..schema import SIGNALS
 
     seen = Observation()
-    span = F.col("timestamp").between(F.expr(f"TIMESTAMP_NTZ '{start}'"), F.expr(f"TIMESTAMP_NTZ '{end}'")) & (F.col("timestamp") < F.expr(f"TIMESTAMP_NTZ '{end}'"))
+    span = (F.col("timestamp") >= F.expr(f"TIMESTAMP_NTZ '{start}'")) & (F.col("timestamp") < F.expr(f"TIMESTAMP_NTZ '{end}'"))
     rows = unified.where(span).observe(seen, *[F.count_if(F.col("source") == s).alias(s) for s in SIGNALS])
     write_csv_typed(rows, path)
     return seen.get

@@ -35,8 +35,8 @@ def test_number_texts(spark):
 
 def test_month_of_titles(spark):
     rows = [
-        ("2026년 7월 5분단위경제급전", None, "2026-07"), ("2026년도 7월 5분 수요예측 자료", None, "2026-07"), ("5분수요예측_201509", None, "2015-09"), ("상태추정_201508", None, "2015-08"),
-        ("8월분 실적", "2015/09/30", "2015-08"), ("12월분 실적", "2016/01/28", "2015-12"), ("2015년 8월 발전기별 상태추정", None, "2015-08"), ("unrelated", "2016/01/28", None), (None, None, None),
+        ("2031년 3월 급전 자료", None, "2031-03"), ("자료 (2031년도 11월)", "2032.01.05", "2031-11"), ("급전203107", None, "2031-07"), ("120310 203113 5분", None, None),
+        ("4월 실적", "2031-05-02", "2031-04"), ("11월 실적", "2031.01.15", "2030-11"), ("2031년 자료", "2031-05-02", None), ("13월", "2031/05/02", None), ("5월", None, None), (None, None, None),
     ]
     df = spark.createDataFrame(rows, "title string, published string, wanted string")
     got = df.select("wanted", X.month_of_title(F.col("title"), F.col("published")).alias("month")).collect()
@@ -50,9 +50,12 @@ def test_months_are_newest_first(spark):
 
 
 def test_attachment_name(spark):
-    header = "attachment; filename*=UTF-8''%EB%B0%9C%EC%A0%84%EA%B8%B0%EB%B3%84_5%EB%B6%84_%EA%B2%BD%EC%A0%9C%EA%B8%89%EC%A0%84.txt"
-    df = spark.createDataFrame([(header,), ('attachment; filename="a.zip"',), (None,)], "h string").select(X.attachment_name(F.col("h")))
-    assert [r[0] for r in df.collect()] == ["발전기별_5분_경제급전.txt", "a.zip", None]
+    from urllib.parse import quote
+
+    names = ["수요 2030-07 (2).zip", "a+b%20.txt"]
+    headers = [f"inline; FileName* = UTF-8'ko'{quote(n)}" for n in names] + ['attachment; filename="b.zip"; size=3', "attachment", None]
+    df = spark.createDataFrame([(h,) for h in headers], "h string").select(X.attachment_name(F.col("h")))
+    assert [r[0] for r in df.collect()] == [*names, "b.zip", None, None]
 
 
 def test_normalize_and_unify(spark):
@@ -74,53 +77,59 @@ def test_csv_text(spark):
     assert [r.value for r in normalize.csv_rows(df).collect()] == ['"2026-07-01 00:05:00","state_estimation","G""2",42.0', '"2026-07-01 00:05:00","demand",,']
 
 
-def snapshot(spark, rows):
-    return spark.createDataFrame([(at(f"2016-06-03 {t}"), g, v) for t, g, v in rows], CANON)
+def readings(spark, *rows):
+    """Rows (minute of the hour, generator, value) of one hour."""
+    return spark.createDataFrame([(datetime(2031, 8, 9, 4, m), g, v) for m, g, v in rows], CANON)
+
+
+#: Minute 30 stands twice, for three generators of which two changed; minute 35 once.
+TWICE = [(30, g, v) for g, v in (("p", 10.0), ("p", 11.0), ("q", 5.0), ("q", 5.0), ("r", None), ("r", 3.0))] + [(35, g, 1.0) for g in "pqr"]
+COUNTED = {"rows_at_timestamp": 6, "unique_candidate_keys": 3, "conflicting_candidate_keys": 2}
 
 
-FULL = [("17:15", "A", 1.0), ("17:15", "B", 2.0), ("17:20", "A", 1.1), ("17:20", "A", 1.2), ("17:20", "B", 2.0), ("17:20", "B", 2.0), ("17:25", "A", 1.3), ("17:25", "B", 2.1)]
+def listed(*minutes, action="drop_ambiguous_duplicate_timestamp", **evidence):
+    return {"source": STATE, "month": "2031-08", "action": action, "timestamps": [f"2031-08-09T04:{m:02d}:00" for m in minutes], "evidence": evidence}
 
 
-def rule(**evidence):
-    return [{"source": STATE, "month": "2016-06", "action": "drop_ambiguous_duplicate_timestamp", "timestamps": ["2016-06-03T17:20:00"], "reason": "two runs", "evidence": evidence}]
+def applied(df, *items, month="2031-08"):
+    return cleaning.apply_exceptions(df, KEYS, "estimated_generation_mw", STATE, month, list(items))
 
 
 def test_ambiguous_snapshot_goes_whole(spark):
-    good = {"rows_at_timestamp": 4, "unique_candidate_keys": 2, "conflicting_candidate_keys": 1}
-    left, done = cleaning.apply_exceptions(snapshot(spark, FULL), KEYS, "estimated_generation_mw", STATE, "2016-06", rule(**good))
-    assert left.count() == 4
-    assert [(d["rows_removed"], d["unique_candidate_keys"], d["conflicting_candidate_keys"], d["exact_candidate_keys"]) for d in done] == [(4, 2, 1, 1)]
-    for name in good:
-        with pytest.raises(cleaning.GateError, match="evidence changed"):
-            cleaning.apply_exceptions(snapshot(spark, FULL), KEYS, "estimated_generation_mw", STATE, "2016-06", rule(**(good | {name: 9})))
-    other, done = cleaning.apply_exceptions(snapshot(spark, FULL), KEYS, "estimated_generation_mw", STATE, "2016-07", rule(**good))
-    assert other.count() == 8 and not done
-
-
-@pytest.mark.parametrize(
-    ("rows", "catalogue", "message"),
-    [
-        ([("17:20", "A", 1.0), ("17:20", "A", 1.1), ("17:20", "B", 2.0)], rule(), "exactly two rows"),
-        ([("17:15", "A", 1.0)], rule(), "absent"),
-        ([("17:20", "A", 1.0), ("17:20", "A", 1.0)], rule(), "exact"),
-        (FULL, [rule()[0] | {"action": "guess"}], "unsupported"),
-    ],
-)
-def test_ambiguous_snapshot_errors(spark, rows, catalogue, message):
-    with pytest.raises(cleaning.GateError, match=message):
-        cleaning.apply_exceptions(snapshot(spark, rows), KEYS, "estimated_generation_mw", STATE, "2016-06", catalogue)
+    df = readings(spark, *TWICE)
+    left, done = applied(df, listed(30, **COUNTED))
+    assert sorted((r.timestamp.minute, r.generator_id) for r in left.collect()) == [(35, g) for g in "pqr"]
+    assert len(done) == 1 and {k: done[0][k] for k in ("rows_removed", "unique_candidate_keys", "conflicting_candidate_keys", "exact_candidate_keys")} == dict(zip(("rows_removed", "unique_candidate_keys", "conflicting_candidate_keys", "exact_candidate_keys"), (6, 3, 2, 1), strict=True))
+    for name, n in COUNTED.items():
+        with pytest.raises(cleaning.GateError, match=name):
+            applied(df, listed(30, **COUNTED | {name: n + 1}))
+    same, done = applied(df, listed(30, **COUNTED), month="2031-09")
+    assert same.count() == 9 and not done
+    nulls = df.unionByName(df.limit(1).withColumn("timestamp", F.lit(None).cast("timestamp_ntz")))
+    assert applied(nulls, listed(30))[0].count() == 4
+
+
+def test_ambiguous_snapshot_errors(spark):
+    df = readings(spark, *TWICE)
+    for item, message in ((listed(35), "twice"), (listed(40), "no rows"), (listed(30, 40), "no rows"), (listed(30, action="average"), "average")):
+        with pytest.raises(cleaning.GateError, match=message):
+            applied(df, item)
+    with pytest.raises(cleaning.GateError, match="equal"):
+        applied(readings(spark, (5, "p", 2.0), (5, "p", 2.0), (5, "q", None), (5, "q", None)), listed(5))
+    with pytest.raises(cleaning.GateError, match="twice"):
+        applied(readings(spark, *TWICE, (30, "s", 1.0)), listed(30))
 
 
 def test_null_counts_as_a_value(spark):
-    df = snapshot(spark, [("17:20", "A", None), ("17:20", "A", 1.0), ("17:20", "B", None), ("17:20", "B", None)])
-    assert {r.generator_id: r.n_values for r in cleaning.conflicts(df, KEYS, "estimated_generation_mw").collect()} == {"A": 2, "B": 1}
+    df = readings(spark, (0, "p", None), (0, "p", 1.0), (0, "q", None), (0, "q", None))
+    assert {r.generator_id: r.n_values for r in cleaning.conflicts(df, KEYS, "estimated_generation_mw").collect()} == {"p": 2, "q": 1}
 
 
 def test_exact_duplicates_go_and_others_fail(spark):
-    df = snapshot(spark, [("17:15", "A", 1.0), ("17:15", "A", 1.0), ("17:15", None, None), ("17:15", None, None)])
+    df = readings(spark, (0, "p", 1.0), (0, "p", 1.0), (0, None, None), (0, None, None))
     assert cleaning.dedup_exact(df, KEYS).count() == 2
     with pytest.raises(cleaning.GateError):
-        cleaning.dedup_exact(snapshot(spark, [("17:15", "A", 1.0), ("17:15", "A", 1.1)]), KEYS)
+        cleaning.dedup_exact(readings(spark, (0, "p", 1.0), (0, "p", 1.1)), KEYS)
     assert cleaning.dedup_exact(df.limit(0), KEYS).count() == 0
 
 
