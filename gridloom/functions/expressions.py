@@ -86,9 +86,17 @@ def slot(ts: Column) -> Column:
     return F.window(ts, "5 minutes")["start"]
 
 
-def exact_sum(value: Column, scale: int = 2) -> Column:
-    """A sum of doubles with at most so many decimals that doesn't depend on the order of rows."""
-    return F.sum(value.cast(f"decimal(18,{scale})")).cast("double")
+def exact_sum(value: Column, scale: int = 6) -> Column:
+    """A sum of doubles that doesn't depend on the order of rows as far as values have so many decimals.
+
+    Those go through decimals; what a value has beyond them, if anything, is summed
+    as doubles and added, so no digit is dropped.  NaN, infinities and numbers of
+    1e18 and more take part as doubles, with the results that those have; nulls don't count.
+    """
+    plain = F.abs(value) < 1e18  # not so for NaN, which is the largest number to Spark
+    fixed = F.when(plain, value).cast(f"decimal({18 + scale},{scale})")
+    rest = F.sum(F.when(plain, value - fixed.cast("double")).otherwise(value))
+    return F.coalesce(F.sum(fixed).cast("double"), F.when(rest.isNotNull(), 0.0)) + rest
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import exact_sum, share
+from .cleaning import quantiles
 
 
 def by_timestamp(df: DataFrame, value: str, prefix: str) -> DataFrame:
@@ -49,11 +50,20 @@ def hhi(summary: DataFrame, value: str = "sum_mw") -> DataFrame:
 
 
 def difference_summary(pairs: DataFrame, difference: str) -> DataFrame:
+    """One row: how many, mean, median, mean of absolute values, and quantiles; null where nothing is to be summed up."""
     c = F.col(difference)
-    return pairs.where(c.isNotNull()).agg(
-        F.count("*").alias("n"), F.avg(c).alias("mean"), F.median(c).alias("median"), F.avg(F.abs(c)).alias("mae"),
-        *[F.percentile(c, F.lit(q)).alias(f"q{int(100 * q):02d}") for q in (0.01, 0.5, 0.99)],
-    )
+    some = pairs.where(c.isNotNull())
+    sums = some.agg(F.count("*").alias("n"), F.avg(c).alias("mean"), F.avg(F.abs(c)).alias("mae"))
+    at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile")))
+    found = quantiles(some, difference, [0.01, 0.5, 0.99]).agg(at(0.5).alias("median"), at(0.01).alias("q01"), at(0.5).alias("q50"), at(0.99).alias("q99"))
+    return sums.join(F.broadcast(found)).select("n", "mean", "median", "mae", "q01", "q50", "q99")
+
+
+def spread(long: DataFrame, by: str, value: str) -> DataFrame:
+    """For each group: how many values, mean, median, least and largest."""
+    c = F.col(value)
+    sums = long.groupBy(by).agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.min(c).alias("min"), F.max(c).alias("max"))
+    return sums.join(quantiles(long, value, [0.5], [by]).select(by, F.col("quantile").alias("median")), by, "left")
 
 
 def jaccard(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from ..sources.tables import shipments, signals, table
 from .registry import query
 from .scans import RECONCILED, three, unified
 
-DEC = "CAST(SUM(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
+DEC = "CAST(SUM(CAST({} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def r6(name: str):
@@ -73,9 +73,8 @@ def a08_share_by_source(spark, sf_dir):
 def a19_gap_summary(spark, sf_dir):
     names = ["dispatch_minus_demand", "state_minus_demand", "state_minus_dispatch"]
     long = three(spark, sf_dir).unpivot("timestamp", names, "metric", "gap")
-    g = F.col("gap")
-    stats = {"mean": F.avg(g), "median": F.median(g), "min": F.min(g), "max": F.max(g)}
-    return long.groupBy("metric").agg(F.count(g).alias("n"), *[F.round(c, 6).alias(k) for k, c in stats.items()])
+    made = analytics.spread(long, "metric", "gap")
+    return made.select("metric", "n", *[r6(c) for c in ("mean", "median", "min", "max")])
 
 
 @query(f"WITH {RECONCILED}, x AS (SELECT state_mw - demand_mw AS d FROM three WHERE state_mw - demand_mw IS NOT NULL) SELECT COUNT(*) AS n, ROUND(AVG(d), 6) AS mean, ROUND(MEDIAN(d), 6) AS median, ROUND(AVG(ABS(d)), 6) AS mae, ROUND(quantile_cont(d, 0.01), 6) AS q01, ROUND(quantile_cont(d, 0.5), 6) AS q50, ROUND(quantile_cont(d, 0.99), 6) AS q99 FROM x")
@@ -182,7 +181,7 @@ def c05_peak_day(spark, sf_dir):
     return rows.join(F.broadcast(peak), F.to_date("timestamp") == F.col("day")).select("timestamp", "demand_mw", "dispatch_mw", "state_mw")
 
 
-@query("SELECT time_bucket(INTERVAL '5 minutes', ts) AS slot, event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL", signals=False)
+@query("SELECT time_bucket(INTERVAL '5 minutes', ts) AS slot, event_type, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total FROM events GROUP BY ALL", signals=False)
 def x05_slots(spark, sf_dir):
     from ..functions.expressions import slot
 
@@ -190,6 +189,19 @@ def x05_slots(spark, sf_dir):
     return e.groupBy(slot(F.col("ts")).alias("slot"), "event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
 
 
+FINE = "fine AS (SELECT event_type, CASE WHEN event_type = 'error' AND event_id % 50 = 3 THEN 'NaN'::DOUBLE WHEN event_type = 'view' AND event_id % 90 = 1 THEN 'Infinity'::DOUBLE WHEN event_id % 11 = 0 THEN NULL ELSE value / 100 END AS v FROM events)"
+
+
+@query(f"WITH {FINE}, t AS (SELECT event_type, SUM(v) AS t FROM fine GROUP BY 1) SELECT event_type, CASE WHEN isfinite(t) THEN ROUND(t, 6) END AS total, isnan(t) AS is_nan, isinf(t) AS is_infinite FROM t", signals=False)
+def a01_sum_of_fine_values(spark, sf_dir):
+    """Sums of values of four decimals, some of them no numbers: nothing is rounded before it is added."""
+    k, kind, t = F.col("event_id"), F.col("event_type"), F.col("t")
+    v = F.when((kind == "error") & (k % 50 == 3), float("nan")).when((kind == "view") & (k % 90 == 1), float("inf")).when(k % 11 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 100)
+    sums = table(spark, sf_dir, "events").select("event_type", v.alias("v")).groupBy("event_type").agg(exact_sum(F.col("v")).alias("t"))
+    finite = ~F.isnan(t) & (F.abs(t) < float("inf"))
+    return sums.select("event_type", F.when(finite, F.round(t, 6)).alias("total"), F.isnan(t).alias("is_nan"), (F.abs(t) == float("inf")).alias("is_infinite"))
+
+
 # ---- the same operators over line items, for volume
 
 

@@ -24,7 +24,7 @@ def missing_by_day(spark, sf_dir):
     return lineage.left_default(days.crossJoin(F.broadcast(sources)), n, ["source", "day"], "missing", 0)
 
 
-@query("SELECT source, COUNT(*) AS n, CAST(SUM(CAST(value_mw AS DECIMAL(18,2))) AS DOUBLE) AS total_mw FROM unified GROUP BY GROUPING SETS ((source), ())")
+@query("SELECT source, COUNT(*) AS n, CAST(SUM(CAST(value_mw AS DECIMAL(38,6))) AS DOUBLE) AS total_mw FROM unified GROUP BY GROUPING SETS ((source), ())")
 def a21_grouping_sets(spark, sf_dir):
     return lineage.totals(unified(spark, sf_dir), "source", n=F.count("*"), total_mw=exact_sum(F.col("value_mw")))
 
@@ -127,7 +127,7 @@ def q05_accounting(spark, sf_dir):
     return a.join(b, "source").withColumn("equal", F.col("loaded") == F.col("processed"))
 
 
-@query("SELECT l_returnflag, l_linestatus, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag), ())", signals=False)
+@query("SELECT l_returnflag, l_linestatus, COUNT(*) AS n, CAST(SUM(CAST(l_quantity AS DECIMAL(38,6))) AS DOUBLE) AS quantity FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag), ())", signals=False)
 def v_a21_rollup(spark, sf_dir):
     r = table(spark, sf_dir, "lineitem").rollup("l_returnflag", "l_linestatus")
     return r.agg(F.count("*").alias("n"), exact_sum(F.col("l_quantity")).alias("quantity"))

@@ -14,7 +14,7 @@ ORACLE_SQL: dict[str, str] = {}
 #: The signals, as sources.tables makes them.
 SIGNALS_SQL = """
 e AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS timestamp, event_type, user_id, value FROM events),
-demand AS (SELECT timestamp, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS demand_forecast_mw FROM e WHERE event_type = 'view' GROUP BY timestamp),
+demand AS (SELECT timestamp, CAST(SUM(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS demand_forecast_mw FROM e WHERE event_type = 'view' GROUP BY timestamp),
 dispatch AS (SELECT timestamp, CAST(user_id AS VARCHAR) AS generator_id, value AS dispatch_mw FROM e WHERE event_type IN ('click', 'purchase')),
 state AS (SELECT timestamp, 'IJ' || user_id AS generator_id, value AS estimated_generation_mw FROM e WHERE event_type IN ('signup', 'error')),
 unified AS (

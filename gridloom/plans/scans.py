@@ -59,8 +59,8 @@ def p05_csv_text(spark, sf_dir):
 
 
 RECONCILED = """
-p AS (SELECT timestamp, CAST(SUM(CAST(dispatch_mw AS DECIMAL(18,2))) AS DOUBLE) AS dispatch_mw, COUNT(*) AS dispatch_rows FROM dispatch WHERE dispatch_mw IS NOT NULL GROUP BY timestamp),
-s AS (SELECT timestamp, CAST(SUM(CAST(estimated_generation_mw AS DECIMAL(18,2))) AS DOUBLE) AS state_mw, COUNT(*) AS state_rows FROM state WHERE estimated_generation_mw IS NOT NULL GROUP BY timestamp),
+p AS (SELECT timestamp, CAST(SUM(CAST(dispatch_mw AS DECIMAL(38,6))) AS DOUBLE) AS dispatch_mw, COUNT(*) AS dispatch_rows FROM dispatch WHERE dispatch_mw IS NOT NULL GROUP BY timestamp),
+s AS (SELECT timestamp, CAST(SUM(CAST(estimated_generation_mw AS DECIMAL(38,6))) AS DOUBLE) AS state_mw, COUNT(*) AS state_rows FROM state WHERE estimated_generation_mw IS NOT NULL GROUP BY timestamp),
 three AS (SELECT timestamp, demand_forecast_mw AS demand_mw, dispatch_mw, dispatch_rows, state_mw, state_rows
   FROM demand FULL JOIN p USING (timestamp) FULL JOIN s USING (timestamp))
 """
@@ -82,7 +82,7 @@ def p06_signal_gaps(spark, sf_dir):
     return three(spark, sf_dir).select("timestamp", *[F.round(n, 6).alias(n) for n in names])
 
 
-@query("SELECT generator_id, ROUND(CAST(SUM(CAST(dispatch_mw AS DECIMAL(18,2))) AS DOUBLE) * (5.0 / 60.0), 6) AS energy_mwh FROM dispatch GROUP BY generator_id")
+@query("SELECT generator_id, ROUND(CAST(SUM(CAST(dispatch_mw AS DECIMAL(38,6))) AS DOUBLE) * (5.0 / 60.0), 6) AS energy_mwh FROM dispatch GROUP BY generator_id")
 def p07_energy_proxy(spark, sf_dir):
     d = signals(spark, sf_dir)[DISPATCH]
     return d.groupBy("generator_id").agg(F.round(exact_sum(F.col("dispatch_mw")) * (5.0 / 60.0), 6).alias("energy_mwh"))
@@ -204,7 +204,7 @@ def w04_longest_gap(spark, sf_dir):
     return completeness.longest_run(m, ["source", "month"])
 
 
-@query("SELECT timestamp, demand_mw, dispatch_mw, ROUND(dispatch_mw - demand_mw, 6) AS difference FROM (SELECT timestamp, demand_forecast_mw AS demand_mw, d.mw AS dispatch_mw FROM demand JOIN (SELECT timestamp, CAST(SUM(CAST(dispatch_mw AS DECIMAL(18,2))) AS DOUBLE) AS mw FROM dispatch GROUP BY timestamp) d USING (timestamp)) WHERE demand_mw IS NOT NULL AND dispatch_mw IS NOT NULL")
+@query("SELECT timestamp, demand_mw, dispatch_mw, ROUND(dispatch_mw - demand_mw, 6) AS difference FROM (SELECT timestamp, demand_forecast_mw AS demand_mw, d.mw AS dispatch_mw FROM demand JOIN (SELECT timestamp, CAST(SUM(CAST(dispatch_mw AS DECIMAL(38,6))) AS DOUBLE) AS mw FROM dispatch GROUP BY timestamp) d USING (timestamp)) WHERE demand_mw IS NOT NULL AND dispatch_mw IS NOT NULL")
 def j02_inner_diff(spark, sf_dir):
     t = signals(spark, sf_dir)
     d = t[DISPATCH].groupBy("timestamp").agg(exact_sum(F.col("dispatch_mw")).alias("dispatch_mw"))
@@ -239,11 +239,11 @@ def u08_union_distinct(spark, sf_dir):
     return t[DISPATCH].select("generator_id").union(t[STATE].select("generator_id")).distinct()
 
 
-@query("SELECT c_custkey AS member, 'left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)", signals=False)
+@query("WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_mktsegment <> 'BUILDING'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') SELECT k AS member, 'left' AS side FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, 'right' FROM b WHERE k NOT IN (SELECT k FROM a)", signals=False)
 def u09_set_equality(spark, sf_dir):
     from ..operators.gates import equal_sets
 
-    return equal_sets(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").select("o_custkey"))
+    return equal_sets(table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select("c_custkey"), table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_custkey"))
 
 
 @query("SELECT timestamp, source FROM unified")

@@ -41,6 +41,12 @@ def month_folders(df: DataFrame, start: str, end: str, column: str = "month") ->
     return df.where(F.col(column).between(start, end))
 
 
+def month_range(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
+    """Rows of a range of months, YYYY-MM, both included, as a half-open range of a timestamp column."""
+    first, last = (F.expr(f"TIMESTAMP_NTZ '{m}-01 00:00:00'") for m in (start, end))
+    return df.where((F.col(column) >= first) & (F.col(column) < last + F.expr("INTERVAL 1 MONTH")))
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """name, bytes and SHA-256 of every file below a folder (of 2 GB at most each)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

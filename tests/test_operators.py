@@ -162,6 +162,26 @@ def test_quantiles_and_quality_ignore_what_is_not_finite(spark):
     assert tuple(cleaning.numeric_quality(df, "v").first()) == (7, 1, 1, 1, 1, 1, 1, 3)
 
 
+def test_sums_lose_no_digit(spark):
+    cases = {"a": [0.004] * 1000, "b": [1e-9, 2e-9], "c": [1e300, 1.0], "d": [float("nan"), 1.0], "e": [float("inf"), -1.0], "f": [None, None], "g": [0.1] * 10, "h": [-0.25, 123456789.125], "i": [None, 2.5]}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, v double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(X.exact_sum(F.col("v")).alias("s")).collect()}
+    assert got.pop("d") != got.get("d") and got == {"a": 4.0, "b": pytest.approx(3e-9, rel=1e-12), "c": 1e300, "e": float("inf"), "f": None, "g": 1.0, "h": 123456788.875, "i": 2.5}
+
+
+def test_quantiles_of_any_shape(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    shapes = {"smooth": rng.normal(size=3000), "few": rng.integers(0, 3, 500).astype(float), "far": np.array([1e300, -1e308, 0.0, 1.0, 2.0, 1.7e308]), "one": np.array([7.0]), "same": np.full(50, -2.5), "log": 10 ** rng.uniform(-300, 300, 800), "two": np.array([1.0, 2.0])}
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame([(None if k == "two" else k, float(v)) for k, vs in shapes.items() for v in vs], "k string, v double").repartition(7)
+    got = {(r.k, r.probability): r.quantile for r in cleaning.quantiles(df, "v", probabilities, ["k"]).collect()}
+    wanted = {(None if k == "two" else k, p): float(np.quantile(vs / 2, p) * 2) for k, vs in shapes.items() for p in probabilities}
+    assert got.keys() == wanted.keys() and all(got[k] == pytest.approx(v, rel=1e-9) for k, v in wanted.items() if np.isfinite(v))
+    assert cleaning.quantiles(df.limit(0), "v", probabilities, ["k"]).count() == 0
+
+
 def test_difference_summary_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "d double")
     assert tuple(analytics.difference_summary(df, "d").first()) == (0, None, None, None, None, None, None)
