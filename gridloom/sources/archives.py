@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 import pyarrow.csv as arrow_csv
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.expressions import CODE_KO, ESTIMATED_KO, GENERATOR_KO, TIME_KO
 from ..schema import DEMAND, DISPATCH, STATE
@@ -258,8 +259,22 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
 
 
-def blocks(spark: SparkSession, path: str, signal: str) -> DataFrame:
-    """The texts of all archives below a folder, in blocks, with how to read them."""
+def packed(texts: DataFrame, name: str, encoding: str = "utf-8") -> DataFrame:
+    """Archives (path, content) of texts (path, text), each with one member of that name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for where, text in zip(*batch.columns, strict=True):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(name, (text.as_py() or "").encode(encoding))
+                yield pa.RecordBatch.from_arrays([pa.array([where.as_py()]), pa.array([out.getvalue()])], names=["path", "content"])
+
+    return texts.select("path", "text").mapInArrow(run, "path string, content binary")
+
+
+def blocks(files: DataFrame, signal: str) -> DataFrame:
+    """The texts of archives (path, content), in blocks, with how to read them."""
     schema = _arrow_schema(BLOCK_FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,11 +285,16 @@ def blocks(spark: SparkSession, path: str, signal: str) -> DataFrame:
                     row = [where.as_py(), found.name, found.encoding, found.preamble, n, found.width, list(found.keep), data]
                     yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
-    return archives(spark, path).select("path", "content").mapInArrow(run, BLOCK_FIELDS)
+    return files.select("path", "content").mapInArrow(run, BLOCK_FIELDS)
 
 
 def decode(spark: SparkSession, path: str, signal: str) -> DataFrame:
-    """All archives below a folder as rows of texts, with where they came from; ordinal gives the order of a file's rows (its block * 2^32 + the row's place there)."""
+    """All archives below a folder as rows of texts."""
+    return decoded(archives(spark, path), signal)
+
+
+def decoded(files: DataFrame, signal: str) -> DataFrame:
+    """Archives (path, content) as rows of texts, with where they came from; ordinal gives the order of a file's rows (its block * 2^32 + the row's place there)."""
     schema = _arrow_schema(FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +308,7 @@ def decode(spark: SparkSession, path: str, signal: str) -> DataFrame:
                 for part in pa.Table.from_arrays([*known, ordinal, *columns], schema=schema).to_batches(max_chunksize=50_000):
                     yield part
 
-    return blocks(spark, path, signal).repartition("path", "block").mapInArrow(run, FIELDS)
+    return blocks(files, signal).repartition("path", "block").mapInArrow(run, FIELDS)
 
 
 def _arrow_schema(fields: str) -> pa.Schema:
@@ -299,7 +319,11 @@ def _arrow_schema(fields: str) -> pa.Schema:
 
 
 def probe(spark: SparkSession, path: str, signal: str) -> DataFrame:
-    """A light look at each archive: member, kind, encoding, and what is wrong with it (a member whose checksum fails, or no member that fits); no row is parsed."""
+    return probed(archives(spark, path), signal)
+
+
+def probed(files: DataFrame, signal: str) -> DataFrame:
+    """A light look at each archive (path, content): member, kind, encoding, and what is wrong with it (a member whose checksum fails, or no member that fits); no row is parsed."""
     fields = "path string, bytes long, member string, format string, encoding string, problem string"
     schema = _arrow_schema(fields)
 
@@ -316,4 +340,4 @@ def probe(spark: SparkSession, path: str, signal: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return archives(spark, path).select("path", "length", "content").mapInArrow(run, fields)
+    return files.select("path", F.octet_length("content").cast("long"), "content").mapInArrow(run, fields)

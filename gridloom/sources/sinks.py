@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import CSV_HEADER, csv_rows
+from .scratch import filesystem
 
 
 def write_partitioned(unified: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -46,12 +50,11 @@ def write_csv_months(unified: DataFrame, path: str, months: list[str]) -> list[s
     passed over, so a run that was cut off goes on with the first month that is missing.
     Rows of one month come to one task, as one file is asked for.
     """
-    spark = unified.sparkSession
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = []
+    spark, done = unified.sparkSession, []
     for month in months:
         place = f"{path}/month={month}"
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")):
+        fs, mark = filesystem(spark, f"{place}/_SUCCESS")
+        if fs.exists(mark):
             continue
         first = F.expr(f"TIMESTAMP_NTZ '{month}-01 00:00:00'")
         rows = unified.where((F.col("timestamp") >= first) & (F.col("timestamp") < F.expr(f"TIMESTAMP_NTZ '{month}-01 00:00:00' + INTERVAL 1 MONTH")))
@@ -82,3 +85,40 @@ def write_manifest(files: DataFrame, path: str) -> None:
     """One JSON document: files with rows, bytes and hash, and totals. A row for each file comes to one task."""
     listed = F.array_sort(F.collect_list(F.struct("name", "rows", "bytes", "sha256")))
     files.agg(F.count("*").alias("n_files"), F.sum("rows").alias("total_rows"), F.sum("bytes").alias("total_bytes"), listed.alias("files")).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_small(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file of the driver's (a manifest, a report), whole or not at all: it is written beside its place and renamed."""
+    fs, at = filesystem(spark, path)
+    _, beside = filesystem(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    fs.delete(at, False)
+    if not fs.rename(beside, at):
+        raise OSError(f"{path} couldn't be put in place")
+
+
+def write_json(spark: SparkSession, path: str, document: dict) -> None:
+    write_small(spark, path, (json.dumps(document, ensure_ascii=False, indent=2, sort_keys=True) + "\n").encode())
+
+
+def release_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A release of finished Parquet files as a table over them where they are: nothing is copied, and dropping the table leaves the files."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` USING parquet LOCATION '{path}'")
+    return spark.table(f"`{name}`")
+
+
+def package(spark: SparkSession, files: list[str], folder: str) -> list[str]:
+    """Copies of finished files in a release's folder, for stores without tables; those of equal name and size stay as they are. The names that were copied."""
+    copied = []
+    for source in files:
+        fs, at = filesystem(spark, source)
+        to_fs, to = filesystem(spark, f"{folder}/{at.getName()}")
+        if not (to_fs.exists(to) and to_fs.getFileStatus(to).getLen() == fs.getFileStatus(at).getLen()):
+            if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, to_fs, to, False, True, spark.sparkContext._jsc.hadoopConfiguration()):
+                raise OSError(f"{source} couldn't be copied")
+            copied.append(at.getName())
+    return copied

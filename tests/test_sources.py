@@ -15,7 +15,7 @@ from gridloom.operators import normalize
 from gridloom.plans import scans
 from gridloom.schema import DEMAND, DISPATCH, STATE, UNIFIED
 from gridloom.sources import archives, readers, sinks, workbooks
-from gridloom.streaming import incremental
+from gridloom.streaming import collection, incremental
 
 from .conftest import DATA
 
@@ -306,3 +306,46 @@ def test_incremental_runs_take_each_file_once(spark, tmp_path):
     totals = incremental.slot_totals(incremental.new_files(spark, source, nullable), "value_mw")
     assert totals.isStreaming and totals.columns == ["slot", "source", "total_mw", "n"]
     assert u.agg(F.count("*")).first()[0] == 50
+
+
+def test_retries_wait_longer_each_time():
+    waited, failures = [], iter([OSError("a"), OSError("b")])
+
+    def action():
+        if error := next(failures, None):
+            raise error
+        return "done"
+
+    assert collection.with_retries(action, wait=0.5, sleep=waited.append) == ("done", 2) and waited == [0.5, 1.0]
+    with pytest.raises(OSError):
+        collection.with_retries(lambda: (_ for _ in ()).throw(OSError("x")), attempts=2, sleep=waited.append)
+    with pytest.raises(KeyError):
+        collection.with_retries(lambda: {}["x"], sleep=waited.append)
+    with pytest.raises(ValueError):
+        collection.with_retries(lambda: 1, attempts=0)
+
+
+def test_what_is_to_be_fetched(spark):
+    manifest = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), ("d", None)], "name string, sha256 string")
+    files = spark.createDataFrame([("a", "1"), ("b", "9"), ("d", "4"), ("e", "5")], "name string, sha256 string")
+    got = {r.name: (r.action, r.fetch) for r in collection.to_fetch(manifest, files).collect()}
+    assert got == {"a": ("skip", False), "b": ("changed", True), "c": ("missing", True), "d": ("changed", True)}
+    assert collection.to_fetch(manifest, files.limit(0)).where("fetch").count() == 4
+
+
+def test_small_files_and_release_tables(spark, tmp_path):
+    at = str(tmp_path / "m" / "manifest.json")
+    for n in (1, 2):
+        sinks.write_json(spark, at, {"n": n, "text": "é"})
+    assert json.loads((tmp_path / "m" / "manifest.json").read_text()) == {"n": 2, "text": "é"} and not list((tmp_path / "m").glob("*.part"))
+    u = scans.unified(spark, DATA)
+    sinks.write_single(u, str(tmp_path / "u"))
+    made = sinks.release_table(spark, "release_of_a_test", str(tmp_path / "u"))
+    assert made.count() == u.count()
+    spark.sql("DROP TABLE release_of_a_test")
+    assert spark.read.parquet(str(tmp_path / "u")).count() == u.count()
+
+
+def test_nanos_leave_the_session_alone(spark, tmp_path):
+    test_nanoseconds(spark, tmp_path)
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false") == "false"
