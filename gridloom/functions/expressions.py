@@ -20,6 +20,8 @@ PUBLISHED = r"(20\d{2})[./-](\d{1,2})[./-](\d{1,2})"
 MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 TIMESTAMP = rf"^\s*(\d{{4}})[-/](\d{{1,2}})[-/](\d{{1,2}})(?:[ T]+({AM}|{PM})?\s*(\d{{1,2}})(?::(\d{{1,2}}))?(?::(\d{{1,2}})(?:\.\d*)?)?)?\s*$"
+#: Stands between the parts of a text that is taken apart.
+MARK = "\x01"
 PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 MONTH_TEXT = r"^20\d{2}-(0[1-9]|1[0-2])$"
@@ -28,19 +30,20 @@ MONTH_TEXT = r"^20\d{2}-(0[1-9]|1[0-2])$"
 def parse_ts(text: Column) -> Column:
     """Year-first date and time texts, with / or -, single digits, and Korean morning or afternoon. Others: null.
 
-    Texts in the plain form are cast; only others are taken apart.
+    Texts in the plain form are cast; only others are taken apart, by one pass of
+    the pattern that sets marks between the parts.
     """
+    parts = F.split(F.regexp_replace(text, TIMESTAMP, MARK.join(f"${i}" for i in range(1, 8))), MARK)
 
-    def part(i: int) -> Column:
-        found = F.regexp_extract(text, TIMESTAMP, i)
-        return F.when(found != "", found.cast("int"))
+    def made(p: Column) -> Column:
+        number = lambda i, default=None: F.coalesce(F.get(p, i).try_cast("int"), F.lit(default))
+        marker, said = F.get(p, 3), number(4, 0)
+        hour = F.when(marker == "", said).when(said.between(1, 12), said % 12 + F.when(marker == PM, 12).otherwise(0))
+        second = number(6, 0)
+        return F.when(second < 60, F.try_make_timestamp_ntz(number(0), number(1), number(2), hour, number(5, 0), second.cast("decimal(16,6)")))
 
-    marker, hour = F.regexp_extract(text, TIMESTAMP, 4), F.coalesce(part(5), F.lit(0))
-    twelve = F.when(hour.between(1, 12), hour % 12 + F.when(marker == PM, 12).otherwise(0))
-    hour = F.when(marker == "", hour).otherwise(twelve)
-    second = F.coalesce(part(7), F.lit(0))
-    made = F.try_make_timestamp_ntz(part(1), part(2), part(3), hour, F.coalesce(part(6), F.lit(0)), second.cast("decimal(16,6)"))
-    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp_ntz")).when(text.rlike(TIMESTAMP) & hour.between(0, 23) & (second < 60), made)
+    taken_apart = F.get(F.transform(F.array(parts), made), F.lit(0))
+    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp_ntz")).when(~F.contains(text, F.lit(MARK)), taken_apart)
 
 
 def to_num(text: Column) -> Column:
