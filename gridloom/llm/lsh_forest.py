@@ -7,22 +7,30 @@
    its order and sorts by all minima after it, wrapping round.  Documents of one
    prefix form a region.  ``depth`` is the largest at which a pair that just
    reaches the similarity misses every tree with a chance under ``MISS``.
-   Neighbours in a region are candidates if enough of their minima agree.  A small
-   region is one block.  One of more than two chunks (of ``CHUNK`` classes) is
-   followed deeper: in its order, where those with the longest common prefixes
-   stand together, every two neighbouring chunks are a block.
+   All regions of all trees are sorted together and dealt to tasks by ranges of
+   that order, so that a large region is spread; a task slides over its rows with
+   two chunks of CHUNK classes in hand.  What stands within them has the longest
+   common prefixes: such neighbours are candidates if enough of their minima agree,
+   and they are one block.
 3. In each block candidates are compared on their full sets.  Documents that are
    linked already, over others of the block, aren't compared again, so that a
    group of n near copies takes some n comparisons.  A pair belongs to its first
    common tree and is compared there only.
-4. Links of all blocks give components.  In large regions, what is outside the
-   largest component is then compared with every chunk, so that chunks lose no
-   pair; further links complete the components.
-
-What meets in one task: a region's short rows (136 bytes a class), then the sets
-of a block (two chunks at most).  What is shuffled: a signature, 16 short forest rows for each class, and
-sets of classes that have candidates; texts aren't.  A bitmap of fixed size at
-most tells the second reading of the texts which of them have candidates.
+4. Links of all blocks give components.  A region that two chunks didn't hold whole
+   is open.  If it has several components it goes deeper: its rows are dealt anew by
+   ``inner`` more minima of any place, each place giving a region of its own, and
+   those of several components go through steps 2 to 4 again.  So depth follows
+   each region.  A pair belongs to the first deeper place at which it agrees, and
+   meets there.  After DEEPEST rounds, in which pairs at the similarity are missed
+   with a chance under MISS, classes outside the largest component of an open region
+   are compared with all of it.
+
+What is held in one task: two chunks of short rows (150 bytes a class), or the sets
+of a block (two chunks at most); after DEEPEST rounds, the short rows of a region
+whose classes agree in that many places and yet fall apart.  What is shuffled: a
+signature and the short forest rows of each class, and sets of classes that have
+candidates; texts aren't.  A bitmap of fixed size at most tells the second reading
+of the texts which of them have candidates.
 
 Edge cases.  Null texts, and texts without words, have the empty set: they are
 linked with nothing and kept.  Shorter texts are one shingle.  Texts are taken
@@ -37,15 +45,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_bytes, map_text, slices, stage
 from .components import components
 from .kernels import RUN_KEYS, U64, mix, shingle_sets, stream
 
-HASHES, CHUNK, MISS, WORDS, MAX_BITS = 64, 256, 1e-5, 5, 26
-SEAT = "block long, region long, tree int, rep long, minima binary, component long"
+HASHES, CHUNK, MISS, WORDS, MAX_BITS, DEEPEST = 64, 256, 1e-5, 5, 26, 3
+#: A class at a place of the forest: which tree, the deeper places taken last and now (-1: none), and its minima.
+PLACE = "region long, tree int, last int, band int, rep long, minima binary"
+#: task: of a row without a block, the task that saw no more of its region than two chunks hold (-1: there was more).
+SEAT = f"block long, {PLACE}, component long, task int"
 KEYS = stream(HASHES, 5)
 
 
@@ -77,24 +89,65 @@ def _sign(texts: list[bytes]) -> list:
     return out
 
 
+def inner_bands(tree: int, depth: int) -> list[np.ndarray]:
+    """Places of the minima by which a region of a tree is dealt anew, some fewer at a time than the tree's own, which aren't among them."""
+    inner = max(1, depth - 1)
+    own = range(tree * depth, (tree + 1) * depth)
+    made = [np.arange(i, i + inner) for i in range(0, HASHES - inner + 1, inner)]
+    return [b for b in made if not set(b.tolist()) & set(own)]
+
+
+def _key(minima: np.ndarray, *parts) -> np.ndarray:
+    """Regions of rows that agree in these minima and parts; the same 16 bits make the same region, without exception."""
+    total = (minima.astype(U64) * RUN_KEYS[: minima.shape[1]]).sum(1, dtype=U64)
+    for i, p in enumerate(parts):
+        total += np.asarray([p] if isinstance(p, int) else p, np.int64).view(U64) * RUN_KEYS[20 + i]
+    return mix(total).view(np.int64)
+
+
+def _order(minima: np.ndarray, first: int) -> list[bytes]:
+    """Minima from a place on, wrapping round, as bytes that sort as they do."""
+    return [x.tobytes() for x in np.roll(minima, -first, axis=1).astype(">u2")]
+
+
 def _plant(depth: int):
-    """Signatures to forest rows: region (its last five bits are the tree), rep, minima (16 bits of each).
+    """Signatures to forest rows, one for each tree, with what sorts them within their region."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sig = _matrix(batch.column(1))
+                for t in range(HASHES // depth):
+                    yield _forest(_key(sig[:, t * depth : (t + 1) * depth], t), t, -1, -1, batch.column(0), sig, t * depth)
+
+    return run
+
+
+def _forest(region: np.ndarray, tree, last, band, rep, minima: np.ndarray, first: int) -> pa.RecordBatch:
+    n = len(minima)
+    numbers = [pa.array(np.broadcast_to(np.asarray(x, np.int32), n)) for x in (tree, last, band)]
+    columns = [pa.array(region), pa.array(_order(minima, first), pa.binary()), *numbers, rep if isinstance(rep, pa.Array) else pa.array(rep, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=FOREST_NAMES)
 
-    Regions are made of the same 16 bits, so that two rows with equal minima at a
-    tree's places are in one region of that tree, without exception.
-    """
-    trees = HASHES // depth
+
+FOREST = "region long, sorted binary, tree int, last int, band int, rep long"
+FOREST_NAMES = [f.split()[0] for f in FOREST.split(", ")]
+
+
+def _deepen(depth: int):
+    """Rows of open regions (PLACE, component) to forest rows, one for each deeper place beyond the last one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = _matrix(batch.column(1))
-            short = batch.column(1)
-            for t in range(trees):
-                own = sig[:, t * depth : (t + 1) * depth].astype(U64)
-                key = mix((own * RUN_KEYS[:depth]).sum(1, dtype=U64) + U64(t)) & ~U64(31) | U64(t)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0), short], names=["region", "rep", "minima"])
+            region, tree, band, rep = (batch.column(i).to_numpy() for i in (0, 1, 3, 4))
+            minima = _matrix(batch.column(5))
+            for t in np.unique(tree).tolist():
+                for j, places in enumerate(inner_bands(t, depth)):
+                    some = np.flatnonzero((tree == t) & (band < j))
+                    if len(some):
+                        yield _forest(_key(minima[some][:, places], region[some], j), t, band[some], j, rep[some], minima[some], int(places[0]))
 
     return run
 
@@ -124,13 +177,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def candidates(minima: np.ndarray, tree: int, depth: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row i, the later rows that may be near it and meet it in no earlier tree."""
+def candidates(minima: np.ndarray, place: tuple[int, int, int], depth: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row i, the later rows that may be near it and meet it at no earlier place. place: tree, last and present deeper place."""
+    tree, last, band = place
+    before = [np.arange(t * depth, (t + 1) * depth) for t in range(tree)] + inner_bands(tree, depth)[last + 1 : max(band, 0)]
     for i in range(len(minima) - 1):
         same = minima[i + 1 :] == minima[i]
         near = np.flatnonzero(np.count_nonzero(same, axis=1) >= least)
-        if len(near) and tree:
-            near = near[~same[near, : tree * depth].reshape(len(near), tree, depth).all(2).any(1)]
+        for places in before if len(near) else ():
+            near = near[~same[near][:, places].all(1)]
         if len(near):
             yield i, near + i + 1
 
@@ -139,16 +194,18 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, HASHES)
 
 
-def _sorted(region: pa.Table, tree: int, depth: int) -> np.ndarray:
-    """The tree's order of a region's rows: those with the longest common prefixes stand together."""
-    reps, minima = region.column("rep").to_numpy(), _matrix(region.column("minima"))
-    return np.lexsort((reps, *np.roll(minima, -tree * depth, axis=1).T[::-1]))
+def _natural(table: pa.Table, depth: int) -> tuple[tuple[int, int, int], np.ndarray, np.ndarray]:
+    """A region's place, reps, and minima in their natural order."""
+    place = tuple(table.column(n)[0].as_py() for n in ("tree", "last", "band"))
+    first = place[0] * depth if place[2] < 0 else int(inner_bands(place[0], depth)[place[2]][0])
+    rolled = np.frombuffer(b"".join(table.column("sorted").to_pylist()), ">u2").reshape(-1, HASHES).astype(np.uint16)
+    return place, table.column("rep").to_numpy(), np.roll(rolled, first, axis=1)
 
 
-def _rows(block: int | None, region: int, tree: int, reps: np.ndarray, minima: np.ndarray, component: np.ndarray | None = None) -> pa.RecordBatch:
+def _rows(block: int | None, region: int, place: tuple[int, int, int], reps: np.ndarray, minima: np.ndarray, component: np.ndarray | None = None, task: int | None = None) -> pa.RecordBatch:
     n = len(reps)
-    columns = [pa.array([block] * n, pa.int64()), pa.array([region] * n, pa.int64()), pa.array([tree] * n, pa.int32()), pa.array(reps, pa.int64())]
-    columns += [pa.array([x.tobytes() for x in minima], pa.binary()), pa.array([None] * n if component is None else component, pa.int64())]
+    columns = [pa.array([block] * n, pa.int64()), pa.array([region] * n, pa.int64()), *(pa.array([x] * n, pa.int32()) for x in place), pa.array(reps, pa.int64())]
+    columns += [pa.array([x.tobytes() for x in minima], pa.binary()), pa.array([None] * n if component is None else component, pa.int64()), pa.array([task] * n, pa.int32())]
     return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SEAT.split(", ")])
 
 
@@ -156,50 +213,77 @@ def _name(*parts: int) -> int:
     return int(mix(np.array([sum(p * int(k) for p, k in zip(parts, RUN_KEYS.tolist(), strict=False)) & (1 << 64) - 1], U64)).view(np.int64)[0])
 
 
-def _seat(depth: int, least: int):
-    """Forest rows to the blocks in which classes are compared on full sets.
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Table, str]]:
+    """Rows sorted by region as (region, number, rows, kind): the two chunks in hand at every step of one chunk.
 
-    A region of more than two chunks goes deeper: blocks are every two
-    neighbouring chunks of its order.  Its rows are given once more, without a
-    block, for _seat_rest.
+    kind: they are the whole region, or long, if there is more of it, or the
+    edge, as a task's first and last region may go on in other tasks.
     """
+    key, number, held, first = None, 0, None, True
+
+    def step(last: bool, edge: bool) -> Iterator:
+        nonlocal held, number
+        while held.num_rows > 2 * CHUNK or last:
+            if number and held.num_rows <= CHUNK:  # in hand before
+                break
+            few = last and number == 0 and held.num_rows <= 2 * CHUNK
+            yield key, number, held.slice(0, 2 * CHUNK), "whole" if few and not edge else "edge" if few else "long"
+            held, number = held.slice(CHUNK), number + 1
+            if last and held.num_rows <= CHUNK:
+                break
+        if last:
+            held = None
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy()
+        cut = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cut, cut[1:], strict=False):
+            if held is not None and keys[a] != key:
+                yield from step(True, first)
+                number, first = 0, False
+            key = int(keys[a])
+            part = pa.Table.from_batches([batch.slice(a, b - a)])
+            held = part if held is None else pa.concat_tables([held, part])
+            yield from step(False, first)
+    if held is not None:
+        yield from step(True, True)
+
+
+def _seat(depth: int, least: int):
+    """Sorted forest rows to the blocks in which classes are compared on full sets, and, without a block, the rows of open regions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for region in _runs(batches):
-            if region.num_rows < 2:
-                continue
-            key = region.column(0)[0].as_py()
-            tree = key & 31
-            order = _sorted(region, tree, depth)
-            reps, minima = region.column("rep").to_numpy()[order], _matrix(region.column("minima"))[order]
-            large = len(reps) > 2 * CHUNK
-            for a in range(0, len(reps) - CHUNK, CHUNK) if large else [0]:
-                m, own = minima[a : a + 2 * CHUNK], reps[a : a + 2 * CHUNK]
-                seated = np.zeros(len(own), bool)
-                for i, near in candidates(m, tree, depth, least):
+        task = TaskContext.get().partitionId()
+        for key, number, table, kind in _parts(batches):
+            place, reps, minima = _natural(table, depth)
+            if len(reps) > 1:
+                seated = np.zeros(len(reps), bool)
+                for i, near in candidates(minima, place, depth, least):
                     seated[i] = True
                     seated[near] = True
                 if seated.any():
-                    yield _rows(_name(key, a), key, tree, own[seated], m[seated])
-            if large:
-                yield _rows(None, key, tree, reps, minima)
+                    yield _rows(_name(key, number, int(reps[0])), key, place, reps[seated], minima[seated])
+            if kind != "whole":  # what stood in the chunk before has been given with it
+                own = slice(CHUNK if number else 0, None)
+                yield _rows(None, key, place, reps[own], minima[own], task=-1 if kind == "long" else task)
 
     return run
 
 
 def _seat_rest(depth: int, least: int):
-    """Rows of large regions, with the components so far, to blocks of what no block has compared.
+    """Rows of regions that stay open, with the components so far, to blocks of what no block has compared.
 
     Rows of the region's largest component need no comparison with one another.
-    All others are compared, chunk by chunk, with every chunk of the region, so
-    that no pair that meets in the region is lost.
+    All others are compared, chunk by chunk, with every chunk of the region.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in _runs(batches):
-            key, tree = region.column(0)[0].as_py(), region.column("tree")[0].as_py()
-            order = _sorted(region, tree, depth)
-            reps, minima, component = (x[order] for x in (region.column("rep").to_numpy(), _matrix(region.column("minima")), region.column("component").to_numpy()))
+            key, place = region.column(0)[0].as_py(), tuple(region.column(n)[0].as_py() for n in ("tree", "last", "band"))
+            reps, minima, component = region.column("rep").to_numpy(), _matrix(region.column("minima")), region.column("component").to_numpy()
+            before = [np.arange(t * depth, (t + 1) * depth) for t in range(place[0])] + inner_bands(place[0], depth)[place[1] + 1 : max(place[2], 0)]
             names, sizes = np.unique(component, return_counts=True)
             rest = np.flatnonzero(component != names[np.argmax(sizes)])
             for i in range(0, len(rest), CHUNK):
@@ -210,14 +294,14 @@ def _seat_rest(depth: int, least: int):
                     for r in some.tolist():
                         same = minima[chunk] == minima[r]
                         near = (np.count_nonzero(same, axis=1) >= least) & (component[chunk] != component[r])
-                        if tree:
-                            near &= ~same[:, : tree * depth].reshape(len(chunk), tree, depth).all(2).any(1)
+                        for places in before if near.any() else ():
+                            near &= ~same[:, places].all(1)
                         if near.any():
                             seated.add(r)
                             seated.update(chunk[near].tolist())
                     if seated:
                         at = np.array(sorted(seated))
-                        yield _rows(_name(key, i, j, 1), key, tree, reps[at], minima[at], component[at])
+                        yield _rows(_name(key, i, j, 1), key, place, reps[at], minima[at], component[at])
 
     return run
 
@@ -240,13 +324,13 @@ def _verify(depth: int, least: int, percent: int):
         for block in _runs(batches):
             if block.num_rows < 2:
                 continue
-            tree, reps, minima = block.column("tree")[0].as_py(), block.column("rep").to_pylist(), _matrix(block.column("minima"))
+            place, reps, minima = tuple(block.column(n)[0].as_py() for n in ("tree", "last", "band")), block.column("rep").to_pylist(), _matrix(block.column("minima"))
             sets = [np.frombuffer(x, U64) for x in block.column("shingles").to_pylist()]
             root, first = np.arange(len(reps)), {}
             for i, c in enumerate(block.column("component").to_pylist()):
                 if c is not None:  # what is in one component already
                     root[i] = first.setdefault(c, i)
-            for i, near in candidates(minima, tree, depth, least):
+            for i, near in candidates(minima, place, depth, least):
                 for j in near.tolist():
                     if root[i] != root[j] and similar(sets[i], sets[j], percent):
                         root[root == root[j]] = root[i]
@@ -310,23 +394,44 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     classes = stage(full.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
     own = F.when(F.col("doc_id") == F.col("rep"), F.col("signature")).alias("signature")
     members = stage(full.join(classes, ["n_shingles", "f1", "f2"]).select("doc_id", "n_shingles", "rep", own), "members")
-    forest = members.where("signature IS NOT NULL").select("rep", "signature").mapInArrow(_plant(depth), "region long, rep long, minima binary")
-    dealt = forest.repartition("region").sortWithinPartitions("region")
-    placed = stage(dealt.mapInArrow(_seat(depth, least), SEAT), "seats")
+    forest = members.where("signature IS NOT NULL").select("rep", "signature").mapInArrow(_plant(depth), FOREST)
+
+    def seats(forest: DataFrame) -> DataFrame:
+        dealt = forest.repartitionByRange("region", "sorted", "rep").sortWithinPartitions("region", "sorted", "rep")
+        return stage(dealt.mapInArrow(_seat(depth, least), SEAT), "seats")
 
     def links(seats: DataFrame) -> DataFrame:
         texts = docs.where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "rep")
         sets = texts.mapInArrow(_sets(*wanted(seats.select("rep"))), "rep long, shingles binary")
-        blocks = seats.join(sets, "rep").select("block", "tree", "rep", "minima", "component", "shingles").repartition("block").sortWithinPartitions("block")
+        held = ["block", "tree", "last", "band", "rep", "minima", "component", "shingles"]
+        blocks = seats.join(sets, "rep").select(*held).repartition("block").sortWithinPartitions("block")
         return stage(blocks.mapInArrow(_verify(depth, least, percent), "a long, b long"), "links")
 
-    found_links = links(placed.where("block IS NOT NULL"))
-    found = components(found_links)
-    large = placed.where("block IS NULL").drop("block", "component")
-    if not large.isEmpty():
-        labelled = large.join(found, large["rep"] == found["node"], "left").select("region", "tree", "rep", "minima", F.coalesce("component", "rep").alias("component"))
-        again = labelled.repartition("region").sortWithinPartitions("region").mapInArrow(_seat_rest(depth, least), SEAT)
-        found = components(found_links.unionByName(links(stage(again, "rest"))))
+    def apart(rows: DataFrame, *more: Column) -> DataFrame:
+        """Those of regions with several components, and of which more holds."""
+        sizes = rows.groupBy("region").agg((F.min("component") != F.max("component")).alias("several"), *[c.alias(f"c{i}") for i, c in enumerate(more)])
+        return rows.join(sizes.where(" AND ".join(sizes.columns[1:])).select("region"), "region", "left_semi")
+
+    placed = seats(forest)
+    linked = links(placed.where("block IS NOT NULL"))
+    found = components(linked)
+    for level in range(DEEPEST + 1):
+        open_rows = placed.where("block IS NULL").drop("block", "component")
+        named = open_rows.join(found, open_rows["rep"] == found["node"], "left").select(*open_rows.columns, F.coalesce("component", "rep").alias("component"))
+        is_open = (F.min("task") < 0) | (F.min("task") != F.max("task"))
+        left = stage(apart(named, is_open).drop("task"), "open")
+        if left.isEmpty():
+            break
+        if level == DEEPEST:
+            dealt = left.repartition("region").sortWithinPartitions("region", "rep")
+            more = stage(dealt.mapInArrow(_seat_rest(depth, least), SEAT), "rest")
+        else:
+            deeper = left.drop("component").mapInArrow(_deepen(depth), FOREST)
+            placed = seats(apart(deeper.join(left.select("rep", "component").distinct(), "rep")).select(*FOREST_NAMES))
+            more = placed.where("block IS NOT NULL")
+        if not more.isEmpty():
+            linked = stage(linked.unionByName(links(more)), "links")
+            found = components(linked)
     named = members.join(found, members["rep"] == found["node"], "left").select("doc_id", "n_shingles", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
     alone = signed.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
     return named.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -86,6 +86,19 @@ def test_large_regions_are_compared_in_blocks(spark, monkeypatch):
     assert [(r.doc_id, r.n_shingles, r.component_id) for r in rows] == brute_components(texts, 85)
 
 
+@pytest.mark.parametrize("deepest", [0, 1, 3])
+def test_open_regions_go_deeper(spark, monkeypatch, deepest):
+    """Texts of one template, of which each differs, with pairs of near copies among them: regions are large and hold many components."""
+    monkeypatch.setattr(lsh_forest, "CHUNK", 4)
+    monkeypatch.setattr(lsh_forest, "DEEPEST", deepest)
+    template, texts = words(60), []
+    for _ in range(60):
+        own = [*template, *words(45)]
+        texts += [" ".join(own), " ".join([*own[:-1], "odd"])] if rng.random() < 0.5 else [" ".join(own)]
+    rows = lsh_forest.near_duplicates(documents(spark, texts), 85).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in rows] == brute_components(texts, 85)
+
+
 def test_forest_edges(spark):
     assert lsh_forest.near_duplicates(empty(spark), 85).count() == 0
     docs = documents(spark, ["a b c d e f g", "a b c d e f g", "other text"])
@@ -263,11 +276,23 @@ def test_rows_share_a_region_just_if_their_minima_agree():
 
     sig = rng.integers(0, 3, (200, 64)).astype(np.uint16)
     batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary())], names=["rep", "signature"])
+    seen = set()
     for depth in (3, 4):
         for t, made in enumerate(lsh_forest._plant(depth)(iter([batch]))):
             region = made.column(0).to_pylist()
             part = [x.tobytes() for x in sig[:, t * depth : (t + 1) * depth]]
-            assert len(set(region)) == len(set(part)) == len(set(zip(region, part, strict=True))) and {r & 31 for r in region} == {t}
+            assert len(set(region)) == len(set(part)) == len(set(zip(region, part, strict=True)))
+            assert np.array_equal(lsh_forest._natural(pa.Table.from_batches([made]), depth)[2], sig)
+            seen |= {(depth, r) for r in region}
+            assert len(seen) >= len(set(region))
+
+
+def test_deeper_places_leave_the_tree_out():
+    for depth in (1, 2, 3, 4, 5):
+        for tree in range(64 // depth):
+            bands = lsh_forest.inner_bands(tree, depth)
+            places = np.concatenate(bands)
+            assert len(set(places.tolist())) == len(places) and not set(places.tolist()) & set(range(tree * depth, (tree + 1) * depth))
 
 
 def test_letters_of_other_lengths_leave_the_rest_in_small_letters(spark):
@@ -287,3 +312,25 @@ def test_least_length_is_a_parameter(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert {d: [texts[d][s.start : s.end] for s in spans] for d, spans in rows.items()} == dict.fromkeys((1, 2), [footer[:-1]])
     assert substrings.repeated_spans(docs).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[1], [3, 9, 8, 1], [8], [9], [16], [17], [4, 4, 30, 5, 8], [1, 1, 1]])
+def test_windows_hold_every_neighbouring_chunk(monkeypatch, sizes):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lsh_forest, "CHUNK", 4)
+    keys = np.repeat(np.arange(len(sizes)), sizes)
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(len(keys)))], names=["region", "n"])
+    for cut in (1, 3, 100):
+        seen: dict = {}
+        for key, number, table, kind in lsh_forest._parts(iter([rows.slice(i, cut) for i in range(0, len(keys), cut)])):
+            assert set(table.column("region").to_pylist()) == {key} and table.num_rows <= 8
+            seen.setdefault(key, []).append((number, table.column("n").to_pylist(), kind))
+        assert list(seen) == list(range(len(sizes)))
+        for key, size in enumerate(sizes):
+            own = np.flatnonzero(keys == key).tolist()
+            edge = key in (0, len(sizes) - 1)
+            assert {k for _, _, k in seen[key]} == ({"long"} if size > 8 else {"edge"} if edge else {"whole"})
+            together = {(a, b) for _, held, _ in seen[key] for a in held for b in held}
+            assert {(a, b) for i, a in enumerate(own) for j, b in enumerate(own) if i // 4 - j // 4 in (-1, 0, 1)} <= together
+            assert sum((held[4:] if number else held for number, held, _ in seen[key]), []) == own
