@@ -17,17 +17,18 @@
    group of n near copies takes some n comparisons.  A pair belongs to its first
    common tree and is compared there only.
 4. Links of all blocks give components.  A region that two chunks didn't hold whole
-   is open.  If it has several components it goes deeper: its rows are dealt anew by
-   ``inner`` more minima of any place, each place giving a region of its own, and
-   those of several components go through steps 2 to 4 again.  So depth follows
-   each region.  A pair belongs to the first deeper place at which it agrees, and
-   meets there.  After DEEPEST rounds, in which pairs at the similarity are missed
-   with a chance under MISS, classes outside the largest component of an open region
-   are compared with all of it.
+   is open.  If it has several components and no more than CHUNK classes stand
+   outside the largest one, those are compared with all of it, in parts of PART
+   classes.  If more do, the region goes deeper: its rows are dealt anew by some
+   more minima of any place, each place giving a region of its own, and those of
+   several components go through steps 2 to 4 again.  So depth follows each region.
+   A pair belongs to the first deeper place at which it agrees, and meets there.
+   After DEEPEST rounds, in which pairs at the similarity are missed with a chance
+   under MISS, what is still open is compared like regions with few classes outside.
 
 What is held in one task: two chunks of short rows (150 bytes a class), or the sets
-of a block (two chunks at most); after DEEPEST rounds, the short rows of a region
-whose classes agree in that many places and yet fall apart.  What is shuffled: a
+of a block (two chunks at most), or a part of a region and the classes outside its
+largest component.  What is shuffled: a
 signature and the short forest rows of each class, and sets of classes that have
 candidates; texts aren't.  A bitmap of fixed size at most tells the second reading
 of the texts which of them have candidates.
@@ -56,6 +57,9 @@ from .kernels import RUN_KEYS, U64, mix, shingle_sets, stream
 HASHES, CHUNK, MISS, WORDS, MAX_BITS, DEEPEST = 64, 256, 1e-5, 5, 26, 3
 #: A class at a place of the forest: which tree, the deeper places taken last and now (-1: none), and its minima.
 PLACE = "region long, tree int, last int, band int, rep long, minima binary"
+PLACE_NAMES = [f.split()[0] for f in PLACE.split(", ")]
+#: Rows of a region that are compared in one task with those outside its largest component.
+PART = 4096
 #: task: of a row without a block, the task that saw no more of its region than two chunks hold (-1: there was more).
 SEAT = f"block long, {PLACE}, component long, task int"
 KEYS = stream(HASHES, 5)
@@ -179,8 +183,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def candidates(minima: np.ndarray, place: tuple[int, int, int], depth: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each row i, the later rows that may be near it and meet it at no earlier place. place: tree, last and present deeper place."""
-    tree, last, band = place
-    before = [np.arange(t * depth, (t + 1) * depth) for t in range(tree)] + inner_bands(tree, depth)[last + 1 : max(band, 0)]
+    before = earlier(place, depth)
     for i in range(len(minima) - 1):
         same = minima[i + 1 :] == minima[i]
         near = np.flatnonzero(np.count_nonzero(same, axis=1) >= least)
@@ -243,6 +246,8 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Tab
             if held is not None and keys[a] != key:
                 yield from step(True, first)
                 number, first = 0, False
+            if b - a == 1 and 0 < a and b < len(keys):  # alone in its region, and none at an edge
+                continue
             key = int(keys[a])
             part = pa.Table.from_batches([batch.slice(a, b - a)])
             held = part if held is None else pa.concat_tables([held, part])
@@ -273,39 +278,42 @@ def _seat(depth: int, least: int):
 
 
 def _seat_rest(depth: int, least: int):
-    """Rows of regions that stay open, with the components so far, to blocks of what no block has compared.
-
-    Rows of the region's largest component need no comparison with one another.
-    All others are compared, chunk by chunk, with every chunk of the region.
-    """
+    """Rows of a part of an open region, with the components so far, to blocks of what no block has compared: those outside the region's largest component (``main``) with all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for region in _runs(batches):
-            key, place = region.column(0)[0].as_py(), tuple(region.column(n)[0].as_py() for n in ("tree", "last", "band"))
-            reps, minima, component = region.column("rep").to_numpy(), _matrix(region.column("minima")), region.column("component").to_numpy()
-            before = [np.arange(t * depth, (t + 1) * depth) for t in range(place[0])] + inner_bands(place[0], depth)[place[1] + 1 : max(place[2], 0)]
-            names, sizes = np.unique(component, return_counts=True)
-            rest = np.flatnonzero(component != names[np.argmax(sizes)])
+        for part in _runs(batches):
+            if part.num_rows < 2:
+                continue
+            get = {n: part.column(n) for n in part.column_names}
+            place = tuple(get[n][0].as_py() for n in ("tree", "last", "band"))
+            reps, minima, component = get["rep"].to_numpy(), _matrix(get["minima"]), get["component"].to_numpy()
+            before = earlier(place, depth)
+            rest = np.flatnonzero(component != get["main"][0].as_py())
             for i in range(0, len(rest), CHUNK):
-                some = rest[i : i + CHUNK]
                 for j in range(0, len(reps), CHUNK):
                     chunk = np.arange(j, min(j + CHUNK, len(reps)))
                     seated: set[int] = set()
-                    for r in some.tolist():
+                    for r in rest[i : i + CHUNK].tolist():
                         same = minima[chunk] == minima[r]
-                        near = (np.count_nonzero(same, axis=1) >= least) & (component[chunk] != component[r])
-                        for places in before if near.any() else ():
-                            near &= ~same[:, places].all(1)
-                        if near.any():
+                        near = np.flatnonzero((np.count_nonzero(same, axis=1) >= least) & (component[chunk] != component[r]))
+                        for places in before if len(near) else ():
+                            near = near[~same[near][:, places].all(1)]
+                        if len(near):
                             seated.add(r)
                             seated.update(chunk[near].tolist())
                     if seated:
                         at = np.array(sorted(seated))
-                        yield _rows(_name(key, i, j, 1), key, place, reps[at], minima[at], component[at])
+                        yield _rows(_name(get["piece"][0].as_py(), i, j, 1), get["region"][0].as_py(), place, reps[at], minima[at], component[at])
 
     return run
 
 
+def earlier(place: tuple[int, int, int], depth: int) -> list[np.ndarray]:
+    """Minima that don't all agree in a pair that belongs to a place."""
+    tree, last, band = place
+    return [np.arange(t * depth, (t + 1) * depth) for t in range(tree)] + (inner_bands(tree, depth)[last + 1 : band] if band > 0 else [])
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * size of the intersection >= percent * size of the union, of sorted distinct hashes."""
     if len(a) > len(b):
@@ -408,27 +416,34 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         return stage(blocks.mapInArrow(_verify(depth, least, percent), "a long, b long"), "links")
 
     def apart(rows: DataFrame, *more: Column) -> DataFrame:
-        """Those of regions with several components, and of which more holds."""
-        sizes = rows.groupBy("region").agg((F.min("component") != F.max("component")).alias("several"), *[c.alias(f"c{i}") for i, c in enumerate(more)])
-        return rows.join(sizes.where(" AND ".join(sizes.columns[1:])).select("region"), "region", "left_semi")
+        """Those of regions with several components (and of which more holds), with the largest component, how many rows stand outside it, and all."""
+        by = rows.groupBy("region", "component").agg(F.count("*").alias("n"), *[c.alias(f"c{i}") for i, c in enumerate(more)])
+        sizes = by.groupBy("region").agg(F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("outside"), F.sum("n").alias("size"), *[F.min(f"c{i}").alias(f"c{i}") for i in range(len(more))])
+        return rows.join(sizes.where("outside > 0"), "region")
+
+    def compared_whole(rows: DataFrame) -> DataFrame:
+        """Blocks of what stands outside the largest component of regions and all else there: those rows go to every part of the others."""
+        parts = F.ceil(F.col("size") / PART).cast("int")
+        outside = F.col("component") != F.col("main")
+        part = F.when(outside, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), parts).cast("int")))
+        dealt = rows.withColumn("part", F.explode(part)).withColumn("piece", F.xxhash64("region", "part")).select("piece", *PLACE_NAMES, "component", "main")
+        return stage(dealt.repartition("piece").sortWithinPartitions("piece", "rep").mapInArrow(_seat_rest(depth, least), SEAT), "rest")
 
     placed = seats(forest)
     linked = links(placed.where("block IS NOT NULL"))
     found = components(linked)
     for level in range(DEEPEST + 1):
         open_rows = placed.where("block IS NULL").drop("block", "component")
-        named = open_rows.join(found, open_rows["rep"] == found["node"], "left").select(*open_rows.columns, F.coalesce("component", "rep").alias("component"))
-        is_open = (F.min("task") < 0) | (F.min("task") != F.max("task"))
-        left = stage(apart(named, is_open).drop("task"), "open")
+        labelled = open_rows.join(found, open_rows["rep"] == found["node"], "left").select(*open_rows.columns, F.coalesce("component", "rep").alias("component"))
+        tasks = labelled.groupBy("region").agg(F.min("task").alias("a"), F.max("task").alias("b")).where("a < 0 OR a != b").select("region")
+        left = stage(apart(labelled.drop("task").join(tasks, "region", "left_semi")), "open")
         if left.isEmpty():
             break
-        if level == DEEPEST:
-            dealt = left.repartition("region").sortWithinPartitions("region", "rep")
-            more = stage(dealt.mapInArrow(_seat_rest(depth, least), SEAT), "rest")
-        else:
-            deeper = left.drop("component").mapInArrow(_deepen(depth), FOREST)
-            placed = seats(apart(deeper.join(left.select("rep", "component").distinct(), "rep")).select(*FOREST_NAMES))
-            more = placed.where("block IS NOT NULL")
+        few = F.lit(level == DEEPEST) | (F.col("outside") <= CHUNK)
+        more = compared_whole(left.where(few))
+        deeper = left.where(~few).select(*PLACE_NAMES).mapInArrow(_deepen(depth), FOREST)
+        placed = seats(apart(deeper.join(left.select("rep", "component").distinct(), "rep")).select(*FOREST_NAMES))
+        more = more.unionByName(placed.where("block IS NOT NULL"))
         if not more.isEmpty():
             linked = stage(linked.unionByName(links(more)), "links")
             found = components(linked)

@@ -80,6 +80,14 @@ class Model:
     def __post_init__(self) -> None:
         self.build()
 
+    def __getstate__(self) -> dict:
+        """What goes to tasks: the entries; each task builds the index from them."""
+        return {name: getattr(self, name) for name in self.__dataclass_fields__}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.build()
+
     def vectors(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(term numbers, weights of unit length) of each text."""
         h, before = _terms(texts)
@@ -204,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, where=None, max_examples: int = MAX_
             entries.setdefault((t.tobytes(), w.tobytes()), []).append(i)
     members = sorted(entries.values(), key=lambda m: (vectors[m[0]][0][np.argmax(vectors[m[0]][1])], m[0]))  # like vectors stand in one block
     model.ptr = np.cumsum([0] + [len(vectors[m[0]][0]) for m in members])
-    model.idx = np.concatenate([vectors[m[0]][0] for m in members] or [np.zeros(0, np.int64)])
+    model.idx = np.concatenate([vectors[m[0]][0] for m in members] or [np.zeros(0)]).astype(np.int32)
     model.val = np.concatenate([vectors[m[0]][1] for m in members] or [np.zeros(0)])
     model.count, model.toxic = np.array([float(len(m)) for m in members]), np.array([float(y[m].sum()) for m in members])
     model.ids = np.array([rows[m[0]].doc_id for m in members], np.int64)
