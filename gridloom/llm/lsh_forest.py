@@ -17,14 +17,15 @@
    group of n near copies takes some n comparisons.  A pair belongs to its first
    common tree and is compared there only.
 4. Links of all blocks give components.  A region that two chunks didn't hold whole
-   is open.  If it has several components and no more than CHUNK classes stand
-   outside the largest one, those are compared with all of it, in parts of PART
-   classes.  If more do, the region goes deeper: its rows are dealt anew by some
-   more minima of any place, each place giving a region of its own, and those of
-   several components go through steps 2 to 4 again.  So depth follows each region.
+   is open.  If it has several components, the classes outside the largest one are
+   compared with all of it, in parts of PART classes, where that takes DIRECT pairs
+   of minima at most.  Where it takes more, the region goes deeper: its rows are dealt
+   anew by some more minima of any place, each place giving a region of its own, and
+   those of several components go through steps 2 to 4 again.  So depth follows each
+   region.
    A pair belongs to the first deeper place at which it agrees, and meets there.
    After DEEPEST rounds, in which pairs at the similarity are missed with a chance
-   under MISS, what is still open is compared like regions with few classes outside.
+   under MISS, what is still open is compared in parts all the same.
 
 What is held in one task: two chunks of short rows (150 bytes a class), or the sets
 of a block (two chunks at most), or a part of a region and the classes outside its
@@ -58,8 +59,8 @@ HASHES, CHUNK, MISS, WORDS, MAX_BITS, DEEPEST = 64, 256, 1e-5, 5, 26, 3
 #: A class at a place of the forest: which tree, the deeper places taken last and now (-1: none), and its minima.
 PLACE = "region long, tree int, last int, band int, rep long, minima binary"
 PLACE_NAMES = [f.split()[0] for f in PLACE.split(", ")]
-#: Rows of a region that are compared in one task with those outside its largest component.
-PART = 4096
+#: Rows of a region that are compared in one task with those outside its largest component; and such pairs of one region at most, or it goes deeper.
+PART, DIRECT = 4096, 1 << 24
 #: task: of a row without a block, the task that saw no more of its region than two chunks hold (-1: there was more).
 SEAT = f"block long, {PLACE}, component long, task int"
 KEYS = stream(HASHES, 5)
@@ -439,7 +440,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         left = stage(apart(labelled.drop("task").join(tasks, "region", "left_semi")), "open")
         if left.isEmpty():
             break
-        few = F.lit(level == DEEPEST) | (F.col("outside") <= CHUNK)
+        few = F.lit(level == DEEPEST) | (F.col("outside") * F.col("size") <= DIRECT)
         more = compared_whole(left.where(few))
         deeper = left.where(~few).select(*PLACE_NAMES).mapInArrow(_deepen(depth), FOREST)
         placed = seats(apart(deeper.join(left.select("rep", "component").distinct(), "rep")).select(*FOREST_NAMES))

@@ -86,11 +86,13 @@ def test_large_regions_are_compared_in_blocks(spark, monkeypatch):
     assert [(r.doc_id, r.n_shingles, r.component_id) for r in rows] == brute_components(texts, 85)
 
 
-@pytest.mark.parametrize("deepest", [0, 1, 3])
-def test_open_regions_go_deeper(spark, monkeypatch, deepest):
+@pytest.mark.parametrize(("deepest", "direct"), [(0, 0), (1, 0), (3, 0), (3, 400), (3, 1 << 24)])
+def test_open_regions_go_deeper(spark, monkeypatch, deepest, direct):
     """Texts of one template, of which each differs, with pairs of near copies among them: regions are large and hold many components."""
     monkeypatch.setattr(lsh_forest, "CHUNK", 4)
     monkeypatch.setattr(lsh_forest, "DEEPEST", deepest)
+    monkeypatch.setattr(lsh_forest, "DIRECT", direct)
+    monkeypatch.setattr(lsh_forest, "PART", 16)
     template, texts = words(60), []
     for _ in range(60):
         own = [*template, *words(45)]
