@@ -120,6 +120,14 @@ def placed(h: np.ndarray, filled: Bloom | None, short: bool) -> tuple[np.ndarray
     return key[once], place[once], around[once]
 
 
+def _hit(h: np.ndarray, before: np.ndarray, filled: Bloom | None, short: bool) -> list[int]:
+    """Numbers of the texts with a seed that the filter may hold (some of them by a seed that crosses into the next text); all texts without a filter."""
+    if filled is None:
+        return list(range(len(before) - 1))
+    at = [filled.find(x) for x in ([h] if short else []) + [seeds(h, mask) for mask in MASKS]]
+    return np.unique(np.searchsorted(before, np.concatenate(at), side="right") - 1).tolist()
+
+
 def _seeded(filled: Bloom | None, short: bool, names: list[str]):
     """Rows (..., text) to rows (seed, ..., place, n_words, around), one for each seed."""
 
@@ -128,7 +136,8 @@ def _seeded(filled: Bloom | None, short: bool, names: list[str]):
             texts = as_bytes(batch.column(batch.num_columns - 1))
             for a, b in slices(texts):
                 h, before = _words(texts[a:b])
-                for i, (x, y) in enumerate(zip(before[:-1], before[1:], strict=True)):
+                for i in _hit(h, before, filled, short):
+                    x, y = before[i], before[i + 1]
                     key, place, around = placed(h[x:y], filled, short)
                     if len(key):
                         held = [pa.array([batch.column(c)[a + i].as_py()] * len(key), pa.int64()) for c in range(batch.num_columns - 1)]
