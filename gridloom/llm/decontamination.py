@@ -66,7 +66,8 @@ class Bloom:
         self.bits, self.held = bits, np.zeros(1 << bits - 3, np.uint8)
 
     def _slots(self, keys: np.ndarray, k: int) -> np.ndarray:
-        return (mix(keys * RUN_KEYS[k] + U64(k)) >> U64(64 - self.bits)).astype(np.int64)
+        """The first slot is of the keys themselves, which are mixed already."""
+        return ((mix(keys * RUN_KEYS[k]) if k else keys) >> U64(64 - self.bits)).astype(np.int64)
 
     def add(self, keys: np.ndarray) -> None:
         for k in range(4):
