@@ -307,6 +307,35 @@ def test_letters_of_other_lengths_leave_the_rest_in_small_letters(spark):
     assert [[text[s.start : s.end] for s in r.spans] for r in spans] == [[" ".join(item).upper()]]
 
 
+@pytest.mark.parametrize(("bits", "gathered", "at_once"), [(11, 64, 300), (28, 1, 1), (13, 1 << 21, 1 << 20)])
+def test_spans_do_not_depend_on_the_map_or_on_what_is_sent_at_once(spark, monkeypatch, bits, gathered, at_once):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    wanted = {r.doc_id: r.spans for r in substrings.repeated_spans(docs).collect()}
+    for name, value in (("BITS", bits), ("GATHERED", gathered), ("AT_ONCE", at_once)):
+        monkeypatch.setattr(substrings, name, value)
+    assert {r.doc_id: r.spans for r in substrings.repeated_spans(docs).collect()} == wanted and wanted
+
+
+@pytest.mark.parametrize("buckets", [8, 11])
+def test_shortened_hashes_meet_by_bucket(buckets):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    key = rng.integers(0, 1 << 64, 4000, np.uint64)
+    sent = [substrings._bucketed([key[:3000], key[:10], key[:10]], buckets), substrings._bucketed([key[2900:]], buckets)]
+    rows = pa.Table.from_batches(sent).to_pydict()
+    bits, size = 18, (1 << 18 - buckets) // 8
+    made = np.zeros(size << buckets, np.uint8)
+    for bucket in set(rows["bucket"]):
+        held = [n for b, n in zip(rows["bucket"], rows["numbers"]) if b == bucket]
+        part = substrings._met(bits - buckets)(pa.table({"bucket": pa.array([bucket] * len(held), pa.int32()), "numbers": pa.array(held, pa.binary())}))
+        made[bucket * size : (bucket + 1) * size] = np.frombuffer(part["bits"][0].as_py(), np.uint8)
+    assert sum(len(n) for n in rows["numbers"]) == 4 * (3000 + 10 + 1100)  # of equal ones two at most
+    both = np.concatenate([key[:10], key[2900:3000]])
+    assert substrings._marked(both, made).all()
+    assert np.unpackbits(made).sum() == len(np.unique(both >> np.uint64(64 - bits)))
+
+
 def test_least_length_is_a_parameter(spark):
     footer = "Follow us here every day. Sign up for our letter. Thank you."
     docs = documents(spark, [f"{' '.join(words(20))}. {footer} {' '.join(words(20))}" for _ in range(3)])
