@@ -159,7 +159,7 @@ def _once(bits: np.ndarray, least: int):
 
 
 def _places(bits: np.ndarray, least: int):
-    """Runs that occur again in their text, and those whose bit is set."""
+    """Runs that occur again in their text, and those whose bit is set; place: start * 2^32 + length * 2 + whether it occurs again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,8 +167,9 @@ def _places(bits: np.ndarray, least: int):
             for a, b in slices(texts, AT_ONCE):
                 key, of, start, end, again = runs(texts[a:b], least)
                 some = again | _marked(key, bits)
-                made = [pa.array(key[some].view(np.int64)), pa.array(ids[a:b][of[some]], pa.int64()), pa.array(start[some], pa.int64()), pa.array(end[some], pa.int64()), pa.array(again[some])]
-                yield pa.RecordBatch.from_arrays(made, names=["hash", "doc_id", "start", "end", "again"])
+                place = (start[some] << 32) + ((end - start)[some] << 1) + again[some]
+                made = [pa.array(key[some].view(np.int64)), pa.array(ids[a:b][of[some]], pa.int64()), pa.array(place, pa.int64())]
+                yield pa.RecordBatch.from_arrays(made, names=["hash", "doc_id", "place"])
 
     return run
 
@@ -182,18 +183,19 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     once = source.mapInArrow(_once(bits, least), "hash long, doc_id long")
     shared = once.groupBy("hash").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("other > keeper").select("hash", "keeper")
     shared = stage(shared, "shared")
-    found = source.mapInArrow(_places(bits, least), "hash long, doc_id long, start long, end long, again boolean")
-    spans = found.join(shared, "hash", "left").where("again OR doc_id > keeper").select("doc_id", "start", "end")
-    return _merged(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    found = source.mapInArrow(_places(bits, least), "hash long, doc_id long, place long")
+    spans = found.join(shared, "hash", "left").where("place & 1 = 1 OR doc_id > keeper").select("doc_id", "place")
+    return _merged(spans.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
-    """Sorts each document's spans, and joins overlapping and touching ones."""
+    """Sorts each document's places, and joins overlapping and touching ones to spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(1).flatten()
-            start, end = (np.asarray(x, np.int64) for x in flat.flatten())
+            place = batch.column(1).flatten().to_numpy()
+            start = place >> 32
+            end = start + ((place & 0xFFFFFFFF) >> 1)
             row = np.repeat(np.arange(len(batch)), batch.column(1).value_lengths().to_numpy())
             order = np.lexsort((start, row))
             start, end = start[order], end[order]
