@@ -35,11 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes a frame to the shared folder and reads it again: lineage ends here and lost executors cost only what they held."""
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes a frame to the shared folder and reads it again: lineage ends here and lost executors cost only what they held.
+
+    by: the last column, whose values get partitions of their own.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gridloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, chat, decontamination, licenses, lsh_forest, packing, pii, quality, substrings, toxicity
+from . import attention, centroids, chat, decontamination, licenses, lsh_forest, packing, pii, quality, substrings, toxicity
 from .common import remainder, table
 
 
@@ -68,6 +68,10 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), 85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(*centroids.cluster(centroids.whole(table(spark, sf_dir, "embeddings"))))
+
+
 def _held_out(scored: DataFrame, by: int, rest: int) -> DataFrame:
     return scored.withColumn("held_out", remainder(by) == rest).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
@@ -105,5 +109,5 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.node) AS compo
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op3_licenses": op3_licenses, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest}
-ORACLE_SQL = {"op3_licenses": licenses.oracle(), "op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL}
+QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op3_licenses": op3_licenses, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest, "op13_centroids": op13_centroids}
+ORACLE_SQL = {"op3_licenses": licenses.oracle(), "op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL, "op13_centroids": centroids.oracle()}
