@@ -62,7 +62,7 @@ def first_centroids(whole_vectors: DataFrame, k: int = K) -> np.ndarray:
     """The k vectors whose ids have the least SHA-256 of ``1:<id>``, in that order: a bounded heap in each task."""
     named = F.concat(F.lit("1:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     rows = whole_vectors.select("vector", F.sha2(named, 256).alias("hash")).orderBy("hash", "vector").limit(k).collect()
-    return np.array([r.vector for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.vector for r in rows], np.int64).reshape(len(rows), len(rows[0].vector) if rows else 0)
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
