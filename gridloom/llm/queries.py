@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, centroids, chat, decontamination, licenses, lsh_forest, packing, periodic, pii, quality, substrings, toxicity
+from . import attention, centroids, chat, decontamination, licenses, lsh_forest, packing, periodic, pii, pitman_yor, quality, substrings, toxicity
 from .common import remainder, table
 
 
@@ -72,6 +72,10 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.find_runs(table(spark, sf_dir, "documents"), periodic.planted, keep=["doc_id"]))
 
 
+def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), remainder(7) == 2)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.digest(*centroids.cluster(centroids.whole(table(spark, sf_dir, "embeddings"))))
 
@@ -113,5 +117,5 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.node) AS compo
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op3_licenses": op3_licenses, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest, "op11_periodic": op11_periodic, "op13_centroids": op13_centroids}
+QUERIES = {"op1_pack": op1_pack, "op2_quality_rules": op2_quality_rules, "op3_licenses": op3_licenses, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_chat": op7_chat, "op8_toxicity": op8_toxicity, "op9_attention": op9_attention, "op10_lsh_forest": op10_lsh_forest, "op11_periodic": op11_periodic, "op12_pitman_yor": op12_pitman_yor, "op13_centroids": op13_centroids}
 ORACLE_SQL = {"op3_licenses": licenses.oracle(), "op10_lsh_forest": OP10_SQL, "op7_chat": OP7_SQL, "op11_periodic": periodic.ORACLE_SQL, "op13_centroids": centroids.oracle()}
