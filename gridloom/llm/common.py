@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -77,6 +78,12 @@ def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more; otherwise they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null: empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

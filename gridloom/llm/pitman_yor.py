@@ -13,7 +13,8 @@ customers of one dish in one restaurant are seated anew, given all other seats a
 they were after the last sweep.  A dish with up to EXACT customers gets its number of
 tables from its exact conditional distribution (sizes of tables are summed out); a
 larger one is seated customer by customer, going from new table to new table, and
-TRIES such seatings are a Metropolis chain towards the same distribution.  All
+TRIES such seatings are a Metropolis chain towards the same distribution (an
+approximation where nearly every customer would have a table of their own).  All
 restaurants are seated at once, as is usual where a sampler is spread over machines.
 Predictive probabilities are averaged over the sweeps after BURN.  Discounts follow
 from the numbers of pairs (words) that occur once and twice.
@@ -48,10 +49,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, release, slices, stage, staged
+from .common import as_bytes, release, slices, stage, staged, tidy
 from .kernels import RUN_KEYS, U64, mix, words
 
-SLICE_BYTES, BUCKET = 16 << 20, 1 << 20
+SLICE_BYTES, BUCKET = 8 << 20, 1 << 20
 SWEEPS, BURN, EXACT, TRIES = 3, 1, 32, 4
 THETA = 1.0
 END = U64(0x9D39247E33776D41)  # no word's hash, but for chance
@@ -71,7 +72,7 @@ def _uniform(key: np.ndarray, *parts: int) -> np.ndarray:
 
 
 def log_gamma(z: np.ndarray) -> np.ndarray:
-    """For numbers above 0, to some 1e-12 of the result."""
+    """For numbers above 0, to some 1e-9."""
     low = np.ones_like(z)
     for i in range(8):
         low = low * (z + i)
@@ -91,28 +92,28 @@ def log_ways(discount: float, most: int = EXACT) -> np.ndarray:
 
 
 def _seated(c: np.ndarray, strength: np.ndarray, share: np.ndarray, discount: float, key: np.ndarray, *parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tables when c customers take their seats one after the other, and the log of the product of what their choices were normalised by."""
+    """Tables when c customers take their seats one after the other, and the log of how much likelier these seats are than to be proposed.
+
+    The next new table is opened at a customer drawn from a law whose rate falls as
+    customers come, as it does given that all c are to be seated.
+    """
     tables, weight = np.ones(len(c), np.int64), np.zeros(len(c))
-    some, at = np.arange(len(c)), np.ones(len(c))
-    turn = 0
+    some, at, turn = np.arange(len(c)), np.ones(len(c)), 0
     while len(some):
-        t, s, m = tables[some], strength[some], c[some].astype(np.float64)
-        taken = at - discount * t
-        both = taken + (s + discount * t) * share[some]
-        draw = np.log(_uniform(key[some], *parts, turn))
-        base = log_gamma(both) - log_gamma(taken)
-        low, high = np.zeros(len(some)), m - at  # so many take a seat at the tables there are
-        while (low < high).any():
-            middle = np.ceil((low + high) / 2)
-            stays = base + log_gamma(taken + middle) - log_gamma(both + middle) >= draw
-            low, high = np.where(stays, middle, low), np.where(stays, high, middle - 1)
-        to = np.minimum(at + low + 1, m)
-        weight[some] += log_gamma(both + to - at) - log_gamma(both)
-        new = at + low < m
-        tables[some[new]] += 1
-        some, at, turn = some[new], to[new], turn + 1
-        more = at < c[some]
-        some, at = some[more], at[more]
+        t, m, s = tables[some], c[some].astype(np.float64), share[some]
+        opens = (strength[some] + discount * t) * s
+        power = discount * (1 - s)
+        rate = opens / (power * m**power)
+        since = at**power
+        to = np.floor((since - np.log(_uniform(key[some], *parts, turn)) / rate) ** (1 / power))
+        to = np.minimum(np.maximum(to, at), m)
+        weight[some] += log_gamma(to - discount * t) - log_gamma(at - discount * t) + rate * (to**power - since)
+        new = to < m
+        some, at, opens, rate, power = some[new], to[new], opens[new], rate[new], power[new]
+        weight[some] += np.log(opens) - np.log(-np.expm1(rate * (at**power - (at + 1) ** power)))
+        tables[some] += 1
+        more = at + 1 < c[some]
+        some, at, turn = some[more], at[more] + 1, turn + 1
     return tables, weight
 
 
@@ -185,12 +186,22 @@ def _array(row: dict, name: str, kind) -> np.ndarray:
     return np.frombuffer(row[name], kind)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the largest needs; the first byte says how many."""
+    kind = np.min_scalar_type(int(x.max())) if len(x) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + x.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def _sent(number: int, keys: np.ndarray, bits: int, n: np.ndarray, tables: np.ndarray | None = None, customers: np.ndarray | None = None) -> pa.RecordBatch:
     """A row for each bucket of sorted keys."""
     bucket = (keys >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]])
-    part = lambda x: [None if x is None else x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    return _rows([bucket[cut[:-1]].tolist(), [number] * (len(cut) - 1), part(keys), part(n), part(tables), part(customers)], PARTS)
+    part = lambda x, how=_packed: [None if x is None else how(x[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    return _rows([bucket[cut[:-1]].tolist(), [number] * (len(cut) - 1), part(keys, np.ndarray.tobytes), part(n), part(tables), part(customers)], PARTS)
 
 
 def _bits(n: int, bucket: int) -> int:
@@ -225,7 +236,7 @@ def _count(theta: float, root: dict | None):
 
         def total(name: str) -> np.ndarray:
             sums = np.zeros(len(distinct), np.int64)
-            np.add.at(sums, of, np.frombuffer(b"".join(r[name] for r in rows), np.int64))
+            np.add.at(sums, of, np.concatenate([_unpacked(r[name]) for r in rows]))
             return sums
 
         n, zero = total("n"), np.zeros(0, np.int64)
@@ -244,7 +255,7 @@ def _count(theta: float, root: dict | None):
             counted = customers
         cut = np.cumsum([0] + [len(r["keys"]) // 8 for r in rows])
         columns = [[[r["bucket"] for r in rows], [r["slice"] for r in rows]]]
-        columns += [[[answer[k][a:b].tobytes() if k in answer else None for a, b in zip(cut[:-1], cut[1:], strict=True)] for k in ("n", "tables", "customers", "seats")]]
+        columns += [[[_packed(answer[k][a:b]) if k in answer else None for a, b in zip(cut[:-1], cut[1:], strict=True)] for k in ("n", "tables", "customers", "seats")]]
         sums = [n.sum(), (n > 0).sum(), customers.sum(), seats.sum(), (counted == 1).sum(), (counted == 2).sum()]
         columns += [[[int(x)] + [0] * (len(rows) - 1) for x in sums]]
         return pa.Table.from_batches([_rows(sum(columns, []), COUNTED)])
@@ -264,7 +275,8 @@ def _discount(once: int, twice: int) -> float:
 
 def _answers(group: pa.Table, name: str) -> np.ndarray:
     """What the buckets sent to one slice, in the order of its keys."""
-    return np.frombuffer(b"".join(x for _, x in sorted(zip(group["bucket"].to_pylist(), group[name].to_pylist(), strict=True))), np.int64)
+    sent = sorted(zip(group["bucket"].to_pylist(), group[name].to_pylist(), strict=True))
+    return np.concatenate([_unpacked(x) for _, x in sent])
 
 
 def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -279,23 +291,29 @@ def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
     u, w = (distinct >> U64(32)).astype(np.uint32), (distinct & U64(0xFFFFFFFF)).astype(np.uint32)
     lone, often = (c == 1) & (own > 0), c > 1
     learned = np.repeat(~np.array(row["held"], bool), size)
-    of_words = lambda x: np.bincount(x, minlength=len(known)).astype(np.int64).tobytes()
-    n = int(often.sum())
-    made = [row["slice"], row["words"], u[often].tobytes(), w[often].tobytes(), c[often].tobytes(), own[often].astype(bool).tobytes(), np.ones(n, np.uint32).tobytes(), np.zeros(n, np.uint32).tobytes()]
+    of_words = lambda x: _packed(np.bincount(x, minlength=len(known)))
+    steps, tables = np.diff(u[often].astype(np.int64), prepend=0), np.ones(int(often.sum()), np.int64)
+    made = [row["slice"], row["words"], _packed(steps), w[often].tobytes(), _packed(c[often]), np.packbits(own[often] > 0).tobytes(), _packed(tables), _packed(0 * tables)]
     made += [np.packbits(c == 1).tobytes(), of_words(u[lone]), of_words(w[lone]), of_words(tokens[learned]), b"", b""]
     return pa.Table.from_batches([_rows([[x] for x in made], STATE)])
 
 
+def _contexts(state: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and words of the pairs of two customers or more; contexts are kept as steps from one to the next."""
+    return np.cumsum(_unpacked(state["u"])), _array(state, "w", np.uint32).astype(np.int64)
+
+
 def _send_words(state: DataFrame, bits: int) -> DataFrame:
     """Every slice's words with their tokens, and tables and customers by the pairs it counts for all slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                known, own = _array(row, "words", U64), _array(row, "own", bool)
-                t = _array(row, "t", np.uint32)[own].astype(np.float64)
-                sums = [_array(row, lone, np.int64) + np.bincount(_array(row, by, np.uint32)[own], t, len(known)).astype(np.int64) for lone, by in (("lone_t", "u"), ("lone_c", "w"))]
-                yield _sent(row["slice"], known, bits, _array(row, "n", np.int64), *sums)
+                known, (u, w) = _array(row, "words", U64), _contexts(row)
+                own = np.unpackbits(_array(row, "own", np.uint8), count=len(u)).astype(bool)
+                t = _unpacked(row["t"])[own].astype(np.float64)
+                sums = [_unpacked(row[lone]) + np.bincount(by[own], t, len(known)).astype(np.int64) for lone, by in (("lone_t", u), ("lone_c", w))]
+                yield _sent(row["slice"], known, bits, _unpacked(row["n"]), *sums)
 
     return state.select("slice", "words", "u", "w", "own", "t", "lone_t", "lone_c", "n").mapInArrow(run, PARTS)
 
@@ -313,18 +331,18 @@ def _sweep(model: dict, sweep: int, sampled: bool, last: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         n, tables, root = _root(right, model)
-        t = _array(row, "t", np.uint32)
+        t = _unpacked(row["t"])
         if sampled:
-            row["t_sum"] = (_array(row, "t_sum", np.uint32) + t).tobytes()
-            row["back"] += ((THETA + model["discount"] * tables) / (THETA + n)).tobytes()
-            row["root"] += root.tobytes()
+            row["t_sum"] = _packed(_unpacked(row["t_sum"]) + t)
+            row["back"] += ((THETA + model["discount"] * tables) / (THETA + n)).astype(np.float32).tobytes()
+            row["root"] += root.astype(np.float32).tobytes()
         if last:
-            row["n"] = n.tobytes()
+            row["n"] = _packed(n)
         else:
-            known, u, w = _array(row, "words", U64), _array(row, "u", np.uint32), _array(row, "w", np.uint32)
+            known, (u, w) = _array(row, "words", U64), _contexts(row)
             strength = THETA + model["discount"] * (tables[u] - t)
-            key = _pair_keys(known, u.astype(np.uint64) << U64(32) | w)
-            row["t"] = seat(_array(row, "c", np.int64), strength, root[w], model["discount"], key, sweep).astype(np.uint32).tobytes()
+            key = _pair_keys(known, u.astype(U64) << U64(32) | w.astype(U64))
+            row["t"] = _packed(seat(_unpacked(row["c"]), strength, root[w], model["discount"], key, sweep))
         return pa.Table.from_batches([_rows([[row[f.split()[0]]] for f in STATE.split(", ")], STATE)])
 
     return run
@@ -336,12 +354,13 @@ def _scored(model: dict, samples: int):
         known, size, tokens = _array(row, "words", U64), _array(row, "sizes", np.int64), _array(row, "tokens", np.uint32)
         distinct, of = np.unique(_pairs(size, tokens, int(np.searchsorted(known, END))), return_inverse=True)
         u, w = (distinct >> U64(32)).astype(np.int64), (distinct & U64(0xFFFFFFFF)).astype(np.int64)
-        often = np.searchsorted(distinct, _array(state, "u", np.uint32).astype(np.uint64) << U64(32) | _array(state, "w", np.uint32))
-        n = _array(state, "n", np.int64)
+        many_u, many_w = _contexts(state)
+        often = np.searchsorted(distinct, many_u.astype(U64) << U64(32) | many_w.astype(U64))
+        n = _unpacked(state["n"])
         held = np.unpackbits(_array(state, "seen", np.uint8), count=len(distinct)) * (1 - model["discount"])  # customers less discounts
-        held[often] = _array(state, "c", np.int64) - model["discount"] * _array(state, "t_sum", np.uint32) / samples
+        held[often] = _unpacked(state["c"]) - model["discount"] * _unpacked(state["t_sum"]) / samples
         p = held / (THETA + n[u])
-        back, root = (_array(state, x, np.float64).reshape(samples, -1) for x in ("back", "root"))
+        back, root = (_array(state, x, np.float32).astype(np.float64).reshape(samples, -1) for x in ("back", "root"))
         for b, r in zip(back, root, strict=True):
             p += b[u] * r[w] / samples
         first = np.cumsum(size) - size
@@ -362,10 +381,13 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
     rows = stage(_tokenised(docs, held, slice_bytes), "slices")
     n_tokens, n_words = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     pair_bits, word_bits = _bits(n_tokens, bucket), _bits(n_words, bucket // 2)
+    tidy(docs.sparkSession)
     counts = stage(_send_pairs(rows, pair_bits).groupBy("bucket").applyInArrow(_count(THETA, None), COUNTED), "pairs")
+    tidy(docs.sparkSession)
     pairs = _totals(counts)
     state = stage(rows.groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(_begin, STATE), "state")
     release(staged() - 2, staged() - 1)
+    tidy(docs.sparkSession)
     model = {"discount": _discount(pairs["once"], pairs["twice"])}
     for sweep in range(sweeps + 1):
         root = {"sweep": sweep} if not sweep else {"sweep": sweep, "discount": model["root_discount"], "seat_sum": model["seat_sum"], "base": model["base"]}
@@ -378,5 +400,6 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
         step = _sweep(dict(model), sweep + 1, sampled, last)
         state = stage(state.groupBy("slice").cogroup(found.select("slice", "bucket", "n", "tables", "customers", "seats").groupBy("slice")).applyInArrow(step, STATE), "state")
         release(staged() - 3, staged() - 1)  # the state before, and the words
+        tidy(docs.sparkSession)
     used = state.select("slice", "u", "w", "c", "t_sum", "seen", "n", "back", "root")
     return rows.groupBy("slice").cogroup(used.groupBy("slice")).applyInArrow(_scored(model, sweeps - min(burn, sweeps - 1)), RESULT)
