@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import exact_sum, share
-from .cleaning import quantiles
+from .selection import quantiles
 
 
 def by_timestamp(df: DataFrame, value: str, prefix: str) -> DataFrame:
@@ -78,7 +78,9 @@ def jaccard(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def min_max(df: DataFrame, value: str, by: list[str], floor: float = 1.0) -> DataFrame:
-    """Values of each group between 0 and 1, over a range of at least floor."""
-    w = Window.partitionBy(*by)
-    low, high = F.min(value).over(w), F.max(value).over(w)
-    return df.withColumn("normalized", (F.col(value) - low) / F.greatest(high - low, F.lit(floor)))
+    """Values of each group between 0 and 1, over a range of at least floor. Groups' ends are aggregated and joined back, so a large group isn't gathered in one task."""
+    ends = df.groupBy(*by).agg(F.min(value).alias("__low"), F.max(value).alias("__high")).select(*[F.col(b).alias(f"__{b}") for b in by], "__low", "__high")
+    same = [df[b].eqNullSafe(ends[f"__{b}"]) for b in by]
+    joined = df.join(ends, same, "left") if by else df.join(F.broadcast(ends))
+    scaled = (F.col(value) - F.col("__low")) / F.greatest(F.col("__high") - F.col("__low"), F.lit(floor))
+    return joined.select(*[df[c] for c in df.columns], scaled.alias("normalized"))

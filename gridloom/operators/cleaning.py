@@ -108,40 +108,3 @@ def numeric_quality(df: DataFrame, value: str) -> DataFrame:
         F.count("*").alias("n_rows"), F.count_if(c.isNull()).alias("n_null"), F.count_if(F.isnan(c)).alias("n_nan"), F.count_if(c == inf).alias("n_pos_inf"),
         F.count_if(c == -inf).alias("n_neg_inf"), F.count_if(finite & (c < 0)).alias("n_negative"), F.count_if(finite & (c == 0)).alias("n_zero"), F.count_if(finite).alias("n_finite"),
     )
-
-
-#: Parts of the range of values that are counted, as rows of one small table for each group.
-PARTS = 1 << 14
-
-
-def quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation over finite values: rows (by..., probability, quantile).
-
-    No task holds all values.  Equal values are counted first; the range of each
-    group is cut into PARTS, whose counts tell in which parts the wanted ranks
-    lie; only the values of those parts are ranked, each part by itself.  A group
-    without finite values has no rows.
-    """
-    c, names = F.col(value).cast("double"), by or []
-    finite = df.where(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    group = F.struct(*names) if names else F.struct(F.lit(0).alias("all"))
-    counts = finite.select(group.alias("g"), c.alias("v")).groupBy("g", "v").agg(F.count("*").alias("n"))
-    extent = counts.groupBy("g").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total"))
-    # halves, as the difference of two finite numbers may not be one; a division that isn't finite either leaves one part
-    place = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * PARTS
-    part = F.when(F.col("high") > F.col("low"), F.least(F.floor(place), F.lit(PARTS - 1))).otherwise(F.lit(0)).cast("int")
-    parted = counts.join(extent.drop("total"), "g").select("g", part.alias("part"), "v", "n")
-    in_group = Window.partitionBy("g").orderBy("part")
-    parts = parted.groupBy("g", "part").agg(F.sum("n").alias("size")).withColumn("end", F.sum("size").over(in_group))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-    ranks = extent.select("g", "total", wanted).withColumn("at", F.col("probability") * (F.col("total") - 1))
-    sides = ranks.select("g", "probability", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"))
-    inside = (F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("size"))
-    sought = sides.join(parts, "g").where(inside).select("g", "part", "probability", "at", "rank", (F.col("end") - F.col("size")).alias("before"))
-    some = parted.join(sought.select("g", "part", "before").distinct(), ["g", "part"])
-    in_part = Window.partitionBy("g", "part").orderBy("v")
-    ranked = some.withColumn("to", F.col("before") + F.sum("n").over(in_part)).select("g", "part", "v", "n", "to")
-    found = sought.drop("before").join(ranked, ["g", "part"]).where((F.col("rank") < F.col("to")) & (F.col("rank") >= F.col("to") - F.col("n")))
-    low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
-    made = found.groupBy("g", "probability", "at").agg((low + (high - low) * (F.col("at") - F.floor("at"))).alias("quantile"))
-    return made.select(*[F.col(f"g.{n}").alias(n) for n in names], "probability", "quantile")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, gates
+from ..operators import cleaning, gates, selection
 from ..schema import DEMAND, DISPATCH, STATE
 from ..sources.tables import shipments, signals, table
 from .registry import query
@@ -46,13 +46,13 @@ PROBABILITIES = [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]
 
 @query("SELECT unnest([0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]::DOUBLE[]) AS probability, unnest(list_transform(quantile_cont(dispatch_mw, [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]), lambda x: ROUND(x, 6))) AS quantile FROM dispatch")
 def a14_quantiles(spark, sf_dir):
-    made = cleaning.quantiles(signals(spark, sf_dir)[DISPATCH], "dispatch_mw", PROBABILITIES)
+    made = selection.quantiles(signals(spark, sf_dir)[DISPATCH], "dispatch_mw", PROBABILITIES)
     return made.select("probability", F.round("quantile", 6).alias("quantile"))
 
 
 @query("SELECT l_returnflag, unnest([0.01, 0.5, 0.99]::DOUBLE[]) AS probability, unnest(list_transform(quantile_cont(l_extendedprice, [0.01, 0.5, 0.99]), lambda x: ROUND(x, 4))) AS quantile FROM lineitem GROUP BY l_returnflag", signals=False)
 def v_a14_quantiles(spark, sf_dir):
-    made = cleaning.quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.01, 0.5, 0.99], ["l_returnflag"])
+    made = selection.quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.01, 0.5, 0.99], ["l_returnflag"])
     return made.select("l_returnflag", "probability", F.round("quantile", 4).alias("quantile"))
 
 

@@ -204,6 +204,25 @@ def w04_longest_gap(spark, sf_dir):
     return completeness.longest_run(m, ["source", "month"])
 
 
+@query("""WITH span AS (SELECT source, MIN(timestamp) AS a, MAX(timestamp) AS b FROM unified WHERE timestamp IS NOT NULL GROUP BY source),
+slots AS (SELECT source, unnest(generate_series(a, b, INTERVAL 5 MINUTES)) AS timestamp FROM span),
+gone AS (SELECT * FROM slots s WHERE NOT EXISTS (SELECT 1 FROM unified u WHERE u.source = s.source AND u.timestamp = s.timestamp)),
+k AS (SELECT *, timestamp - INTERVAL 5 MINUTES * (ROW_NUMBER() OVER (PARTITION BY source ORDER BY timestamp)) AS island FROM gone),
+r AS (SELECT source, MIN(timestamp) AS run_start, MAX(timestamp) AS run_end, COUNT(*) AS slots FROM k GROUP BY source, island)
+SELECT source, run_start, run_end, slots FROM r QUALIFY ROW_NUMBER() OVER (PARTITION BY source ORDER BY slots DESC, run_start) = 1""")
+def g03_longest_gap_of_history(spark, sf_dir):
+    """Over the borders of days and months, by merging states of days."""
+    return completeness.longest_run(completeness.gaps(unified(spark, sf_dir), ["source"]), ["source"])
+
+
+@query("""WITH d AS (SELECT DISTINCT generator_id, CAST(timestamp AS DATE) AS day FROM ship), k AS (SELECT *, day - CAST(ROW_NUMBER() OVER (PARTITION BY generator_id ORDER BY day) AS INTEGER) AS island FROM d),
+r AS (SELECT generator_id, CAST(MIN(day) AS TIMESTAMP) AS run_start, CAST(MAX(day) AS TIMESTAMP) AS run_end, COUNT(*) AS slots FROM k GROUP BY generator_id, island)
+SELECT generator_id, run_start, run_end, slots FROM r QUALIFY ROW_NUMBER() OVER (PARTITION BY generator_id ORDER BY slots DESC, run_start) = 1""")
+def v_g03_longest_streak(spark, sf_dir):
+    """The longest run of days on which a supplier ships."""
+    return completeness.longest_run(shipments(spark, sf_dir), ["generator_id"], minutes=24 * 60)
+
+
 @query("SELECT timestamp, demand_mw, dispatch_mw, ROUND(dispatch_mw - demand_mw, 6) AS difference FROM (SELECT timestamp, demand_forecast_mw AS demand_mw, d.mw AS dispatch_mw FROM demand JOIN (SELECT timestamp, CAST(SUM(CAST(dispatch_mw AS DECIMAL(38,6))) AS DOUBLE) AS mw FROM dispatch GROUP BY timestamp) d USING (timestamp)) WHERE demand_mw IS NOT NULL AND dispatch_mw IS NOT NULL")
 def j02_inner_diff(spark, sf_dir):
     t = signals(spark, sf_dir)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import expressions as X
-from gridloom.operators import analytics, cleaning, completeness, gates, lineage, normalize, series
+from gridloom.operators import analytics, cleaning, completeness, gates, lineage, normalize, selection, series
 from gridloom.schema import DEMAND, DISPATCH, STATE, UNIFIED
 
 CANON = "timestamp timestamp_ntz, generator_id string, estimated_generation_mw double"
@@ -158,7 +158,7 @@ def test_missingness_ties_take_the_earliest(spark):
 
 def test_quantiles_and_quality_ignore_what_is_not_finite(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, -1.0, 4.0, None, float("nan"), float("inf"), float("-inf"))], "v double")
-    assert [r.quantile for r in cleaning.quantiles(df, "v", [0.0, 0.5, 1.0]).orderBy("probability").collect()] == [-1.0, 0.0, 4.0]
+    assert [r.quantile for r in selection.quantiles(df, "v", [0.0, 0.5, 1.0]).orderBy("probability").collect()] == [-1.0, 0.0, 4.0]
     assert tuple(cleaning.numeric_quality(df, "v").first()) == (7, 1, 1, 1, 1, 1, 1, 3)
 
 
@@ -176,10 +176,10 @@ def test_quantiles_of_any_shape(spark):
     shapes = {"smooth": rng.normal(size=3000), "few": rng.integers(0, 3, 500).astype(float), "far": np.array([1e300, -1e308, 0.0, 1.0, 2.0, 1.7e308]), "one": np.array([7.0]), "same": np.full(50, -2.5), "log": 10 ** rng.uniform(-300, 300, 800), "two": np.array([1.0, 2.0])}
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame([(None if k == "two" else k, float(v)) for k, vs in shapes.items() for v in vs], "k string, v double").repartition(7)
-    got = {(r.k, r.probability): r.quantile for r in cleaning.quantiles(df, "v", probabilities, ["k"]).collect()}
+    got = {(r.k, r.probability): r.quantile for r in selection.quantiles(df, "v", probabilities, ["k"]).collect()}
     wanted = {(None if k == "two" else k, p): float(np.quantile(vs / 2, p) * 2) for k, vs in shapes.items() for p in probabilities}
     assert got.keys() == wanted.keys() and all(got[k] == pytest.approx(v, rel=1e-9) for k, v in wanted.items() if np.isfinite(v))
-    assert cleaning.quantiles(df.limit(0), "v", probabilities, ["k"]).count() == 0
+    assert selection.quantiles(df.limit(0), "v", probabilities, ["k"]).count() == 0
 
 
 def test_difference_summary_of_nothing(spark):
