@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 SLICE = 4 << 20
 
 _staged: list[tuple[SparkSession, str]] = []
+_tables: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,18 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """stage(), in buckets by a column: grouped by it, the table isn't shuffled again, only what it is grouped with."""
+    spark = df.sparkSession
+    made = f"gridloom_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/gridloom/{spark.sparkContext.applicationId}/{made}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(made)
+    _staged.append((spark, path))
+    _tables[path] = made
+    return spark.table(made)
+
+
 def staged() -> int:
     """How many tables are staged so far."""
     return len(_staged)
@@ -60,6 +73,8 @@ def release(first: int = 0, last: int | None = None) -> None:
     del _staged[first:last]
     for spark, path in gone:
         try:
+            if path in _tables:
+                spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         except Exception:  # the session has gone

@@ -26,7 +26,8 @@ customers and tables in each sweep.  What is sent is packed: a row has all keys
 slice in one bucket.  A hot word or pair is one key a slice, so no bucket is large for
 it, and buckets are as many as the data ask for.  Slices that share a pair draw the
 same numbers for it, as they depend on the pair and sweep only, so seats aren't sent;
-the first of them counts for all.  Each sweep is written to the shared folder; the
+the first of them counts for all.  Slices and their seats stay in buckets, so what
+they are answered is all that is shuffled.  Each sweep is written to the shared folder; the
 driver sees sums of a bucket's rows only.  Nothing is dropped: every pair of every
 training text is a customer.
 
@@ -49,11 +50,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, release, slices, stage, staged, tidy
+from .common import as_bytes, release, slices, stage, stage_bucketed, staged, tidy
 from .kernels import RUN_KEYS, U64, mix, words
 
 SLICE_BYTES, BUCKET = 8 << 20, 1 << 20
-SWEEPS, BURN, EXACT, TRIES = 3, 1, 32, 4
+SWEEPS, BURN, EXACT, TRIES = 3, 1, 32, 3
 THETA = 1.0
 END = U64(0x9D39247E33776D41)  # no word's hash, but for chance
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
@@ -128,10 +129,13 @@ def seat(c: np.ndarray, strength: np.ndarray, share: np.ndarray, discount: float
     small = np.flatnonzero((c > 1) & (c <= EXACT))
     small = small[np.argsort(c[small], kind="stable")]
     for some in np.split(small, np.flatnonzero(np.diff(c[small])) + 1):
-        if len(some):
-            n = int(c[some[0]])
+        n = int(c[some[0]]) if len(some) else 0
+        if n == 2:
+            second = (strength[some] + discount) * share[some] / (1 - discount)
+            tables[some] = 1 + (draw[some] * (1 + second) > 1)
+        elif n:
             for part in np.array_split(some, len(some) * n // (1 << 20) + 1):
-                new = np.log(strength[part, None] + discount * np.arange(n)).cumsum(1) + np.log(share[part, None]) * np.arange(1, n + 1) + ways[n, 1 : n + 1]
+                new = np.log((strength[part, None] + discount * np.arange(n)) * share[part, None]).cumsum(1) + ways[n, 1 : n + 1]
                 chance = np.exp(new - new.max(1, keepdims=True)).cumsum(1)
                 tables[part] = 1 + (chance < draw[part, None] * chance[:, -1:]).sum(1)
     large = np.flatnonzero(c > EXACT)
@@ -284,7 +288,8 @@ def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
     row = left.to_pylist()[0]
     known, size = _array(row, "words", U64), _array(row, "sizes", np.int64)
     tokens = _array(row, "tokens", np.uint32)
-    distinct = np.unique(_pairs(size, tokens, int(np.searchsorted(known, END))))
+    distinct = np.sort(_pairs(size, tokens, int(np.searchsorted(known, END))))
+    distinct = distinct[np.append(True, distinct[1:] != distinct[:-1])]
     sent = np.empty(len(distinct), np.int64)
     sent[np.argsort(_pair_keys(known, distinct))] = _answers(right, "n")
     c, own = sent >> 1, sent & 1
@@ -378,14 +383,14 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
     score is the log10 of the text's probability.  Runs a job for each sweep when
     it is called; the frame reads tables of the shared folder.
     """
-    rows = stage(_tokenised(docs, held, slice_bytes), "slices")
+    rows = stage_bucketed(_tokenised(docs, held, slice_bytes), "slices", "slice")
     n_tokens, n_words = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     pair_bits, word_bits = _bits(n_tokens, bucket), _bits(n_words, bucket // 2)
     tidy(docs.sparkSession)
     counts = stage(_send_pairs(rows, pair_bits).groupBy("bucket").applyInArrow(_count(THETA, None), COUNTED), "pairs")
     tidy(docs.sparkSession)
     pairs = _totals(counts)
-    state = stage(rows.groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(_begin, STATE), "state")
+    state = stage_bucketed(rows.groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(_begin, STATE), "state", "slice")
     release(staged() - 2, staged() - 1)
     tidy(docs.sparkSession)
     model = {"discount": _discount(pairs["once"], pairs["twice"])}
@@ -398,7 +403,9 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
         model |= {"customer_sum": sums["customer_sum"], "seat_sum": sums["seat_sum"]}
         sampled, last = sweep > min(burn, sweeps - 1), sweep == sweeps
         step = _sweep(dict(model), sweep + 1, sampled, last)
-        state = stage(state.groupBy("slice").cogroup(found.select("slice", "bucket", "n", "tables", "customers", "seats").groupBy("slice")).applyInArrow(step, STATE), "state")
+        tidy(docs.sparkSession)
+        answers = found.select("slice", "bucket", "n", "tables", "customers", "seats").groupBy("slice")
+        state = stage_bucketed(state.groupBy("slice").cogroup(answers).applyInArrow(step, STATE), "state", "slice")
         release(staged() - 3, staged() - 1)  # the state before, and the words
         tidy(docs.sparkSession)
     used = state.select("slice", "u", "w", "c", "t_sum", "seen", "n", "back", "root")
