@@ -24,10 +24,11 @@ once and written with their words as numbers.  Each slice sends its distinct pai
 buckets by hash, which count them and send the counts back; so do the words with their
 customers and tables in each sweep.  What is sent is packed: a row has all keys of one
 slice in one bucket.  A hot word or pair is one key a slice, so no bucket is large for
-it, and buckets are as many as the data ask for.  Slices that share a pair draw the
-same numbers for it, as they depend on the pair and sweep only, so seats aren't sent;
-the first of them counts for all.  Slices and their seats stay in buckets, so what
-they are answered is all that is shuffled.  Each sweep is written to the shared folder; the
+it, and buckets are as many as the data ask for.  Of slices that share a pair the
+first seats it, and sends the others its tables when all sweeps are done.  Draws
+depend on the pair and sweep only, so results don't depend on slices or buckets.
+Slices and their seats stay in place, so what they send and are answered is all that
+is shuffled.  Each sweep is written to the shared folder; the
 driver sees sums of a bucket's rows only.  Nothing is dropped: every pair of every
 training text is a customer.
 
@@ -59,9 +60,9 @@ THETA = 1.0
 END = U64(0x9D39247E33776D41)  # no word's hash, but for chance
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 SLICES = "slice long, ids array<long>, held array<boolean>, sizes binary, words binary, tokens binary, n_tokens long, n_words long"
-#: pairs: u, w, c and own of the pairs with two customers or more, t their tables in the last sweep, t_sum over sampled sweeps; seen: of all pairs, whether they have one customer;
-#: lone_t, lone_c: of each word, tables and customers by own pairs of one customer; n: its tokens in training texts; once, twice: pairs of so many customers.
-STATE = "slice long, words binary, u binary, w binary, c binary, own binary, t binary, t_sum binary, seen binary, lone_t binary, lone_c binary, n binary, back binary, root binary"
+#: Of the pairs of two customers or more that the slice seats: u (as steps), w, c, t tables in the last sweep, t_sum over sampled sweeps; lone, many: of all its pairs, whether
+#: they have one customer, or more; lone_t, lone_c: of each word, tables and customers by the pairs of one customer that the slice counts; n: its tokens in training texts; back, root: of each sampled sweep.
+STATE = "slice long, words binary, u binary, w binary, c binary, t binary, t_sum binary, lone binary, many binary, lone_t binary, lone_c binary, n binary, back binary, root binary"
 PARTS = "bucket int, slice long, keys binary, n binary, tables binary, customers binary"
 COUNTED = "bucket int, slice long, n binary, tables binary, customers binary, seats binary, n_sum long, known long, customer_sum long, seat_sum long, once long, twice long"
 
@@ -203,7 +204,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 def _sent(number: int, keys: np.ndarray, bits: int, n: np.ndarray, tables: np.ndarray | None = None, customers: np.ndarray | None = None) -> pa.RecordBatch:
     """A row for each bucket of sorted keys."""
     bucket = (keys >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]])
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
     part = lambda x, how=_packed: [None if x is None else how(x[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     return _rows([bucket[cut[:-1]].tolist(), [number] * (len(cut) - 1), part(keys, np.ndarray.tobytes), part(n), part(tables), part(customers)], PARTS)
 
@@ -230,8 +231,13 @@ def _send_pairs(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("slice", "held", "sizes", "words", "tokens").mapInArrow(run, PARTS)
 
 
-def _count(theta: float, root: dict | None):
-    """Adds up what the slices sent to one bucket and answers each of them; root: what the seats of single words are drawn with (pairs: none)."""
+def _count(root: dict | None = None, shared: bool = False):
+    """Adds up what the slices sent to one bucket and answers each of them.
+
+    Pairs are answered with their number and whether the slice is the first to have
+    them, or, shared, with number and tables; words with numbers, tables, customers
+    and new seats, which are drawn with ``root``.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         rows = [r for b in group.to_batches() for r in b.to_pylist()]
@@ -249,11 +255,13 @@ def _count(theta: float, root: dict | None):
         answer = {"n": n[of] << 1 | own}
         tables = customers = seats = zero
         counted = n
+        if shared:
+            answer = {"n": n[of], "tables": total("tables")[of]}
         if root is not None:
             tables, customers = total("tables"), total("customers")
             seats = np.minimum(customers, 1)
             if root["sweep"]:
-                strength = np.maximum(theta + root["discount"] * (root["seat_sum"] - 1.0), 1e-9)
+                strength = np.maximum(THETA + root["discount"] * (root["seat_sum"] - 1.0), 1e-9)
                 seats = seat(customers, np.full(len(customers), strength), np.full(len(customers), root["base"]), root["discount"], distinct, root["sweep"])
             answer = {"n": n[of], "tables": tables[of], "customers": customers[of], "seats": seats[of]}
             counted = customers
@@ -280,7 +288,7 @@ def _discount(once: int, twice: int) -> float:
 def _answers(group: pa.Table, name: str) -> np.ndarray:
     """What the buckets sent to one slice, in the order of its keys."""
     sent = sorted(zip(group["bucket"].to_pylist(), group[name].to_pylist(), strict=True))
-    return np.concatenate([_unpacked(x) for _, x in sent])
+    return np.concatenate([_unpacked(x) for _, x in sent] or [np.zeros(0, np.int64)])
 
 
 def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -292,19 +300,19 @@ def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
     distinct = distinct[np.append(True, distinct[1:] != distinct[:-1])]
     sent = np.empty(len(distinct), np.int64)
     sent[np.argsort(_pair_keys(known, distinct))] = _answers(right, "n")
-    c, own = sent >> 1, sent & 1
+    c, own = sent >> 1, (sent & 1) > 0
     u, w = (distinct >> U64(32)).astype(np.uint32), (distinct & U64(0xFFFFFFFF)).astype(np.uint32)
-    lone, often = (c == 1) & (own > 0), c > 1
+    lone, seated = (c == 1) & own, (c > 1) & own
     learned = np.repeat(~np.array(row["held"], bool), size)
     of_words = lambda x: _packed(np.bincount(x, minlength=len(known)))
-    steps, tables = np.diff(u[often].astype(np.int64), prepend=0), np.ones(int(often.sum()), np.int64)
-    made = [row["slice"], row["words"], _packed(steps), w[often].tobytes(), _packed(c[often]), np.packbits(own[often] > 0).tobytes(), _packed(tables), _packed(0 * tables)]
-    made += [np.packbits(c == 1).tobytes(), of_words(u[lone]), of_words(w[lone]), of_words(tokens[learned]), b"", b""]
+    steps, tables = np.diff(u[seated].astype(np.int64), prepend=0), np.ones(int(seated.sum()), np.int64)
+    made = [row["slice"], row["words"], _packed(steps), w[seated].tobytes(), _packed(c[seated]), _packed(tables), _packed(0 * tables)]
+    made += [np.packbits(c == 1).tobytes(), np.packbits(c > 1).tobytes(), of_words(u[lone]), of_words(w[lone]), of_words(tokens[learned]), b"", b""]
     return pa.Table.from_batches([_rows([[x] for x in made], STATE)])
 
 
 def _contexts(state: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts and words of the pairs of two customers or more; contexts are kept as steps from one to the next."""
+    """Contexts and words of the pairs that a slice seats."""
     return np.cumsum(_unpacked(state["u"])), _array(state, "w", np.uint32).astype(np.int64)
 
 
@@ -315,12 +323,36 @@ def _send_words(state: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 known, (u, w) = _array(row, "words", U64), _contexts(row)
-                own = np.unpackbits(_array(row, "own", np.uint8), count=len(u)).astype(bool)
-                t = _unpacked(row["t"])[own].astype(np.float64)
-                sums = [_unpacked(row[lone]) + np.bincount(by[own], t, len(known)).astype(np.int64) for lone, by in (("lone_t", u), ("lone_c", w))]
+                t = _unpacked(row["t"]).astype(np.float64)
+                sums = [_unpacked(row[lone]) + np.bincount(by, t, len(known)).astype(np.int64) for lone, by in (("lone_t", u), ("lone_c", w))]
                 yield _sent(row["slice"], known, bits, _unpacked(row["n"]), *sums)
 
-    return state.select("slice", "words", "u", "w", "own", "t", "lone_t", "lone_c", "n").mapInArrow(run, PARTS)
+    return state.select("slice", "words", "u", "w", "t", "lone_t", "lone_c", "n").mapInArrow(run, PARTS)
+
+
+def _many(row: dict, state: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a slice: its distinct pairs, which of them each token is, the places of those of two customers or more, and the order of these by their keys."""
+    known = _array(row, "words", U64)
+    pairs = _pairs(_array(row, "sizes", np.int64), _array(row, "tokens", np.uint32), int(np.searchsorted(known, END)))
+    distinct, of = np.unique(pairs, return_inverse=True)
+    many = np.flatnonzero(np.unpackbits(_array(state, "many", np.uint8), count=len(distinct)))
+    return distinct, of, many, np.argsort(_pair_keys(known, distinct[many]))
+
+
+def _send_seats(bits: int):
+    """Every slice's pairs of two customers or more, with customers and summed tables of those that it seats."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row, state = left.to_pylist()[0], right.to_pylist()[0]
+        distinct, _, many, order = _many(row, state)
+        u, w = _contexts(state)
+        at = np.searchsorted(distinct[many], u.astype(U64) << U64(32) | w.astype(U64))
+        c, t = np.zeros(len(many), np.int64), np.zeros(len(many), np.int64)
+        c[at], t[at] = _unpacked(state["c"]), _unpacked(state["t_sum"])
+        keys = _pair_keys(_array(row, "words", U64), distinct[many])
+        return pa.Table.from_batches([_sent(row["slice"], keys[order], bits, c[order], t[order])])
+
+    return run
 
 
 def _root(answered: pa.Table, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -353,17 +385,22 @@ def _sweep(model: dict, sweep: int, sampled: bool, last: bool):
     return run
 
 
+def _together(left: pa.Table, right: pa.Table) -> pa.Table:
+    """What a slice's pairs of two customers or more were answered, in one row, in the order of their keys."""
+    state = left.to_pylist()[0]
+    state |= {"c": _packed(_answers(right, "n")), "t_sum": _packed(_answers(right, "tables"))}
+    return pa.Table.from_batches([_rows([[state[f.split()[0]]] for f in STATE.split(", ")], STATE)])
+
+
 def _scored(model: dict, samples: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row, state = left.to_pylist()[0], right.to_pylist()[0]
-        known, size, tokens = _array(row, "words", U64), _array(row, "sizes", np.int64), _array(row, "tokens", np.uint32)
-        distinct, of = np.unique(_pairs(size, tokens, int(np.searchsorted(known, END))), return_inverse=True)
+        size, tokens = _array(row, "sizes", np.int64), _array(row, "tokens", np.uint32)
+        distinct, of, many, order = _many(row, state)
         u, w = (distinct >> U64(32)).astype(np.int64), (distinct & U64(0xFFFFFFFF)).astype(np.int64)
-        many_u, many_w = _contexts(state)
-        often = np.searchsorted(distinct, many_u.astype(U64) << U64(32) | many_w.astype(U64))
         n = _unpacked(state["n"])
-        held = np.unpackbits(_array(state, "seen", np.uint8), count=len(distinct)) * (1 - model["discount"])  # customers less discounts
-        held[often] = _unpacked(state["c"]) - model["discount"] * _unpacked(state["t_sum"]) / samples
+        held = np.unpackbits(_array(state, "lone", np.uint8), count=len(distinct)) * (1 - model["discount"])  # customers less discounts
+        held[many[order]] = _unpacked(state["c"]) - model["discount"] * _unpacked(state["t_sum"]) / samples
         p = held / (THETA + n[u])
         back, root = (_array(state, x, np.float32).astype(np.float64).reshape(samples, -1) for x in ("back", "root"))
         for b, r in zip(back, root, strict=True):
@@ -387,7 +424,7 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
     n_tokens, n_words = rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     pair_bits, word_bits = _bits(n_tokens, bucket), _bits(n_words, bucket // 2)
     tidy(docs.sparkSession)
-    counts = stage(_send_pairs(rows, pair_bits).groupBy("bucket").applyInArrow(_count(THETA, None), COUNTED), "pairs")
+    counts = stage(_send_pairs(rows, pair_bits).groupBy("bucket").applyInArrow(_count(), COUNTED), "pairs")
     tidy(docs.sparkSession)
     pairs = _totals(counts)
     state = stage_bucketed(rows.groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(_begin, STATE), "state", "slice")
@@ -396,7 +433,7 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
     model = {"discount": _discount(pairs["once"], pairs["twice"])}
     for sweep in range(sweeps + 1):
         root = {"sweep": sweep} if not sweep else {"sweep": sweep, "discount": model["root_discount"], "seat_sum": model["seat_sum"], "base": model["base"]}
-        found = stage(_send_words(state, word_bits).groupBy("bucket").applyInArrow(_count(THETA, root), COUNTED), "words")
+        found = stage(_send_words(state, word_bits).groupBy("bucket").applyInArrow(_count(root), COUNTED), "words")
         sums = _totals(found)
         if not sweep:
             model |= {"root_discount": _discount(sums["once"], sums["twice"]), "n_sum": sums["n_sum"], "known": sums["known"], "base": 1 / (sums["known"] + 1)}
@@ -408,5 +445,11 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
         state = stage_bucketed(state.groupBy("slice").cogroup(answers).applyInArrow(step, STATE), "state", "slice")
         release(staged() - 3, staged() - 1)  # the state before, and the words
         tidy(docs.sparkSession)
-    used = state.select("slice", "u", "w", "c", "t_sum", "seen", "n", "back", "root")
+    sent = rows.groupBy("slice").cogroup(state.groupBy("slice")).applyInArrow(_send_seats(pair_bits), PARTS)
+    shared = stage(sent.groupBy("bucket").applyInArrow(_count(shared=True), COUNTED), "shared")
+    tidy(docs.sparkSession)
+    answers = shared.select("slice", "bucket", "n", "tables").groupBy("slice")
+    used = stage_bucketed(state.groupBy("slice").cogroup(answers).applyInArrow(_together, STATE), "state", "slice")
+    release(staged() - 3, staged() - 1)
+    tidy(docs.sparkSession)
     return rows.groupBy("slice").cogroup(used.groupBy("slice")).applyInArrow(_scored(model, sweeps - min(burn, sweeps - 1)), RESULT)
