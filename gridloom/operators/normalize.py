@@ -37,10 +37,10 @@ def grain(signal: str) -> list[str]:
     return list(GRAIN[signal])
 
 
-def csv_rows(unified: DataFrame) -> DataFrame:
-    """The unified table as lines of the CSV contract."""
+def csv_rows(unified: DataFrame, keep: list | None = None) -> DataFrame:
+    """The unified table as lines of the CSV contract. keep: columns that stay beside them."""
     line = csv_line(quoted(ts_text(F.col("timestamp"))), quoted(F.col("source")), quoted(F.col("generator_id")), F.col("value_mw"))
-    return unified.select(line.alias("value"))
+    return unified.select(*(keep or []), line.alias("value"))
 
 
 CSV_HEADER = '"timestamp","source","generator_id","value_mw"'

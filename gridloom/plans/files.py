@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import ts_text
 from ..operators import cleaning, gates, normalize
 from ..schema import DEMAND, DISPATCH, STATE, UNIFIED, canonical
-from ..sources import archives, readers, sinks
+from ..sources import archive_source, archives, readers, sinks
 from ..sources.scratch import scratch
 from ..sources.tables import signals
 from ..streaming import collection, incremental
@@ -194,6 +194,29 @@ def s23_probe(spark, sf_dir):
     return found.select("path", "member", "format", "encoding", "problem")
 
 
+@query("SELECT * FROM dispatch WHERE timestamp >= TIMESTAMP '2024-01-15'")
+def s01_archive_source(spark, sf_dir):
+    """Archives of days as files, read by the data source: two signals below one folder; the filters on signal and month choose which are opened."""
+    folder = scratch(spark, "archives")
+    for signal in (DISPATCH, STATE):
+        made = attachments(signals(spark, sf_dir)[signal], signal)
+        half = F.when(F.substring("path", 9, 2) < "15", "2023-12-as-").otherwise("")  # names tell another month of the first half
+        archive_source.write_archives(made.select(F.concat(half, "path").alias("path"), "content"), f"{folder}/{signal}")
+    rows = archive_source.load(spark, folder).where((F.col("signal") == DISPATCH) & (F.col("month") >= "2024-01"))
+    return normalize.normalize(DISPATCH, rows.select("c0", "c1", "c2"))
+
+
+@query("SELECT * FROM state")
+def g01_table_function(spark, sf_dir):
+    """The decoder in SQL, as a table function over the files that binaryFile reads."""
+    folder = scratch(spark, "archives")
+    archive_source.write_archives(attachments(signals(spark, sf_dir)[STATE], STATE), folder)
+    archive_source.register_function(spark)
+    archives.archives(spark, folder).createOrReplaceTempView("gridloom_archives")
+    rows = spark.sql(f"SELECT c0, c1, c2 FROM signal_rows(TABLE(SELECT path, content, '{STATE}' AS signal FROM gridloom_archives))")
+    return normalize.normalize(STATE, rows)
+
+
 # ---- gates that raise
 
 

@@ -32,7 +32,7 @@ SHEET_ROWS, PROBE, HEAD = 20, 4096, 1 << 16
 #: Bytes of text in a block, and rows of a workbook.
 BLOCK, BLOCK_ROWS = 4 << 20, 100_000
 FIELDS = "path string, member string, encoding string, preamble_rows int, ordinal long, c0 string, c1 string, c2 string"
-BLOCK_FIELDS = "path string, member string, encoding string, preamble_rows int, block int, width int, keep array<int>, data binary"
+BLOCK_FIELDS = "path string, member string, encoding string, preamble_rows int, block int, width int, keep array<int>, quoted boolean, data binary"
 
 #: What a column's name says, without white space and in capitals.
 ROLES = {
@@ -83,12 +83,13 @@ def places(signal: str, columns: list[str]) -> tuple[int, ...] | None:
 
 @dataclass
 class Layout:
-    """How a text is laid out: its encoding, the lines before its header, the header's columns, and those that are kept."""
+    """How a text is laid out: its encoding, the lines before its header, the header's columns, those that are kept, and whether fields may be quoted."""
 
     encoding: str
     preamble: int
     columns: list[str]
     keep: tuple[int, ...]
+    quoted: bool
 
 
 def layout(signal: str, head: bytes) -> Layout | None:
@@ -98,7 +99,7 @@ def layout(signal: str, head: bytes) -> Layout | None:
         columns = [c.strip().strip('"').strip() for c in line.split(",")]
         keep = ((0, 1) if _DEMAND_HEADER.match(line) else None) if signal == DEMAND else places(signal, columns)
         if keep:
-            return Layout(encoding, n, columns, keep)
+            return Layout(encoding, n, columns, keep, b'"' in head)
     return None
 
 
@@ -110,12 +111,13 @@ def kind_of(name: str, head: bytes) -> str:
     return "text"
 
 
-def opened(content: bytes) -> zipfile.ZipFile:
-    """An archive; names that aren't marked as UTF-8 are read as CP949, or all as they are where that fails."""
+def opened(content) -> zipfile.ZipFile:
+    """An archive, of bytes or of an open file; names that aren't marked as UTF-8 are read as CP949, or all as they are where that fails."""
+    place = io.BytesIO(content) if isinstance(content, bytes) else content
     try:
-        return zipfile.ZipFile(io.BytesIO(content), metadata_encoding="cp949")
+        return zipfile.ZipFile(place, metadata_encoding="cp949")
     except UnicodeDecodeError:
-        return zipfile.ZipFile(io.BytesIO(content))
+        return zipfile.ZipFile(place)
 
 
 def select_member(signal: str, archive: zipfile.ZipFile) -> tuple[zipfile.ZipInfo, list[str]]:
@@ -185,11 +187,12 @@ class Member:
     ignored_columns: list[str] = field(default_factory=list)
     width: int = 0
     keep: tuple[int, ...] = ()
+    quoted: bool = True
     blocks: Iterator[bytes] = iter(())
 
 
-def member(signal: str, content: bytes) -> Member:
-    """Its blocks are read from the archive as they are taken."""
+def member(signal: str, content) -> Member:
+    """Of an archive, as bytes or as an open file. Its blocks are read from the archive as they are taken."""
     archive = opened(content)
     info, ignored = select_member(signal, archive)
     with archive.open(info) as f:
@@ -200,9 +203,9 @@ def member(signal: str, content: bytes) -> Member:
         found = layout(signal, head)
         if found is None:
             raise FormatError(f"{signal}: {info.filename} has no header among its first {HEADER_LINES[signal]} lines")
-        out.encoding, out.preamble, out.width, out.keep = found.encoding, found.preamble, len(found.columns), found.keep
+        out.encoding, out.preamble, out.width, out.keep, out.quoted = found.encoding, found.preamble, len(found.columns), found.keep, found.quoted
         out.ignored_columns = [c for i, c in enumerate(found.columns) if i not in found.keep]
-        out.blocks = _text_blocks(archive.open(info), found.preamble + 1)
+        out.blocks = _text_blocks(archive.open(info), found.preamble + 1, found.quoted)
         return out
     data = archive.read(info)
     if kind == "ole" and signal != DEMAND or kind not in ("ole", "workbook", "archive"):
@@ -213,22 +216,38 @@ def member(signal: str, content: bytes) -> Member:
     return out
 
 
-def _text_blocks(stream, skip: int) -> Iterator[bytes]:
-    """Cut at line ends that don't stand within quotes."""
+def _text_blocks(stream, skip: int, quoted: bool = True) -> Iterator[bytes]:
+    """Cut at line ends, in files with quotes at such as don't stand within them.
+
+    Every byte is looked at once, and no more than two blocks are held.  A quote that
+    isn't closed within a block is an error; in files whose first lines have none, a
+    quote is a character like others.
+    """
     for _ in range(skip):
         stream.readline()
-    held = b""
-    while True:
-        some = stream.read(BLOCK)
-        held += some
-        cut = len(held) if not some else held.rfind(b"\n") + 1
-        while cut and some and held.count(b'"', 0, cut) % 2:
-            cut = held.rfind(b"\n", 0, cut - 1) + 1
+    held, within = b"", False
+    while some := stream.read(BLOCK):
+        cut, end = 0, len(some)
+        parts = some.split(b'"') if quoted else [some]
+        within_at_end = within ^ (len(parts) % 2 == 0)
+        inside = within_at_end
+        for part in reversed(parts):  # from the last quote back to a line end outside
+            if not inside and b"\n" in part:
+                cut = end - len(part) + part.rfind(b"\n") + 1
+                break
+            inside, end = not inside, end - len(part) - 1
         if cut:
-            yield held[:cut]
-            held = held[cut:]
-        if not some:
-            return
+            yield held + some[:cut]
+            held = some[cut:]
+        elif len(held) + len(some) > 2 * BLOCK:
+            raise FormatError("a line or a quoted field that doesn't end within a block")
+        else:
+            held += some
+        within = within_at_end
+    if within:
+        raise FormatError("a quote that isn't closed")
+    if held:
+        yield held
 
 
 def _row_blocks(rows: Iterator[tuple]) -> Iterator[bytes]:
@@ -238,18 +257,18 @@ def _row_blocks(rows: Iterator[tuple]) -> Iterator[bytes]:
         yield out.getvalue().encode()
 
 
-def parse(data: bytes, encoding: str | None, width: int, keep: tuple[int, ...]) -> pa.Table:
-    """The kept columns of a block as texts, by Arrow's reader; blocks with rows of other widths row by row: short rows are padded, longer ones an error."""
+def parse(data: bytes, encoding: str | None, width: int, keep: tuple[int, ...], quoted: bool = True) -> pa.Table:
+    """The kept columns of a block as texts, by Arrow's reader; blocks with rows of other widths row by row: short rows are padded, longer ones an error. quoted: whether quotes enclose fields."""
     names = [str(i) for i in range(width)]
     text = data if encoding in (None, "ascii", "utf-8", "utf-8-sig") else data.decode(encoding).encode()
     try:
         read = arrow_csv.ReadOptions(column_names=names, use_threads=False, block_size=max(len(text), 1) + 1)
         typed = arrow_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), include_columns=[str(k) for k in keep], strings_can_be_null=False)
-        return arrow_csv.read_csv(pa.BufferReader(text), read, arrow_csv.ParseOptions(newlines_in_values=b'"' in text), typed)
+        return arrow_csv.read_csv(pa.BufferReader(text), read, arrow_csv.ParseOptions(quote_char='"' if quoted else False, newlines_in_values=quoted and b'"' in text), typed)
     except pa.ArrowInvalid as e:
         if "Empty CSV" in str(e):
             return pa.table({str(k): pa.array([], pa.string()) for k in keep})
-    rows = [r for r in csv.reader(io.StringIO(text.decode(), newline="")) if r]
+    rows = [r for r in csv.reader(io.StringIO(text.decode(), newline=""), quoting=csv.QUOTE_MINIMAL if quoted else csv.QUOTE_NONE) if r]
     if any(len(r) > width for r in rows):
         raise FormatError(f"a row of {max(map(len, rows))} fields under a header of {width}")
     return pa.table({str(k): pa.array([r[k] if k < len(r) else None for r in rows], pa.string()) for k in keep})
@@ -282,7 +301,7 @@ def blocks(files: DataFrame, signal: str) -> DataFrame:
             for where, content in zip(*batch.columns, strict=True):
                 found = member(signal, content.as_buffer().to_pybytes())
                 for n, data in enumerate(found.blocks):
-                    row = [where.as_py(), found.name, found.encoding, found.preamble, n, found.width, list(found.keep), data]
+                    row = [where.as_py(), found.name, found.encoding, found.preamble, n, found.width, list(found.keep), found.quoted, data]
                     yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
     return files.select("path", "content").mapInArrow(run, BLOCK_FIELDS)
@@ -299,8 +318,8 @@ def decoded(files: DataFrame, signal: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for where, name, encoding, preamble, block, width, keep, data in zip(*batch.columns, strict=True):
-                made = parse(data.as_py(), encoding.as_py(), width.as_py(), tuple(keep.as_py())).combine_chunks()
+            for where, name, encoding, preamble, block, width, keep, quoted, data in zip(*batch.columns, strict=True):
+                made = parse(data.as_py(), encoding.as_py(), width.as_py(), tuple(keep.as_py()), quoted.as_py()).combine_chunks()
                 n = len(made)
                 known = [pa.repeat(x, n) for x in (where, name, encoding, preamble)]
                 ordinal = pa.array(range((block.as_py() << 32), (block.as_py() << 32) + n), pa.int64())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -16,7 +17,24 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="gridloom-files-")
-    return f"{shared.rstrip('/')}/gridloom-files/{uuid.uuid4().hex}-{name}"
+    made = f"{shared.rstrip('/')}/gridloom-files/{uuid.uuid4().hex}-{name}"
+    _made.append((spark, made))
+    return made
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def clear() -> None:
+    """Deletes all scratch folders. Frames that read them can't be evaluated afterwards."""
+    while _made:
+        spark, path = _made.pop()
+        try:
+            fs, at = filesystem(spark, path)
+            fs.delete(at, True)
+        except Exception:  # the session has gone
+            return
 
 
 def filesystem(spark: SparkSession, path: str):
