@@ -61,8 +61,11 @@ END = U64(0x9D39247E33776D41)  # no word's hash, but for chance
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 SLICES = "slice long, ids array<long>, held array<boolean>, sizes binary, words binary, tokens binary, n_tokens long, n_words long"
 #: Of the pairs of two customers or more that the slice seats: u (as steps), w, c, t tables in the last sweep, t_sum over sampled sweeps; lone, many: of all its pairs, whether
-#: they have one customer, or more; lone_t, lone_c: of each word, tables and customers by the pairs of one customer that the slice counts; n: its tokens in training texts; back, root: of each sampled sweep.
-STATE = "slice long, words binary, u binary, w binary, c binary, t binary, t_sum binary, lone binary, many binary, lone_t binary, lone_c binary, n binary, back binary, root binary"
+#: they have one customer, or more; lone_t, lone_c: of each word, tables and customers by the pairs of one customer that the slice counts; n: its tokens in training texts; samples: of each
+#: sampled sweep and word tables in its restaurant, customers and tables of the word itself.
+STATE = "slice long, words binary, u binary, w binary, c binary, t binary, t_sum binary, lone binary, many binary, lone_t binary, lone_c binary, n binary, samples binary"
+#: What scores need of it; c, t_sum: of all pairs of two customers or more, in the order of their keys.
+FINAL = "slice long, c binary, t_sum binary, lone binary, many binary, n binary, samples binary"
 PARTS = "bucket int, slice long, keys binary, n binary, tables binary, customers binary"
 COUNTED = "bucket int, slice long, n binary, tables binary, customers binary, seats binary, n_sum long, known long, customer_sum long, seat_sum long, once long, twice long"
 
@@ -307,7 +310,7 @@ def _begin(left: pa.Table, right: pa.Table) -> pa.Table:
     of_words = lambda x: _packed(np.bincount(x, minlength=len(known)))
     steps, tables = np.diff(u[seated].astype(np.int64), prepend=0), np.ones(int(seated.sum()), np.int64)
     made = [row["slice"], row["words"], _packed(steps), w[seated].tobytes(), _packed(c[seated]), _packed(tables), _packed(0 * tables)]
-    made += [np.packbits(c == 1).tobytes(), np.packbits(c > 1).tobytes(), of_words(u[lone]), of_words(w[lone]), of_words(tokens[learned]), b"", b""]
+    made += [np.packbits(c == 1).tobytes(), np.packbits(c > 1).tobytes(), of_words(u[lone]), of_words(w[lone]), of_words(tokens[learned]), b""]
     return pa.Table.from_batches([_rows([[x] for x in made], STATE)])
 
 
@@ -355,11 +358,10 @@ def _send_seats(bits: int):
     return run
 
 
-def _root(answered: pa.Table, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a slice's words: tokens in training, tables in their restaurant, and the parent's probability."""
-    n, tables, customers, seats = (_answers(answered, x) for x in ("n", "tables", "customers", "seats"))
+def _root(customers: np.ndarray, seats: np.ndarray, model: dict) -> np.ndarray:
+    """The parent's probabilities of words."""
     new = (THETA + model["root_discount"] * model["seat_sum"]) * model["base"]
-    return n, tables, (customers - model["root_discount"] * seats + new) / (THETA + model["customer_sum"])
+    return (customers - model["root_discount"] * seats + new) / (THETA + model["customer_sum"])
 
 
 def _sweep(model: dict, sweep: int, sampled: bool, last: bool):
@@ -367,17 +369,16 @@ def _sweep(model: dict, sweep: int, sampled: bool, last: bool):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        n, tables, root = _root(right, model)
+        tables, customers, seats = (_answers(right, x) for x in ("tables", "customers", "seats"))
         t = _unpacked(row["t"])
         if sampled:
             row["t_sum"] = _packed(_unpacked(row["t_sum"]) + t)
-            row["back"] += ((THETA + model["discount"] * tables) / (THETA + n)).astype(np.float32).tobytes()
-            row["root"] += root.astype(np.float32).tobytes()
+            row["samples"] += _packed(tables) + _packed(customers) + _packed(seats)
         if last:
-            row["n"] = _packed(n)
+            row["n"] = _packed(_answers(right, "n"))
         else:
             known, (u, w) = _array(row, "words", U64), _contexts(row)
-            strength = THETA + model["discount"] * (tables[u] - t)
+            strength, root = THETA + model["discount"] * (tables[u] - t), _root(customers, seats, model)
             key = _pair_keys(known, u.astype(U64) << U64(32) | w.astype(U64))
             row["t"] = _packed(seat(_unpacked(row["c"]), strength, root[w], model["discount"], key, sweep))
         return pa.Table.from_batches([_rows([[row[f.split()[0]]] for f in STATE.split(", ")], STATE)])
@@ -386,30 +387,37 @@ def _sweep(model: dict, sweep: int, sampled: bool, last: bool):
 
 
 def _together(left: pa.Table, right: pa.Table) -> pa.Table:
-    """What a slice's pairs of two customers or more were answered, in one row, in the order of their keys."""
-    state = left.to_pylist()[0]
-    state |= {"c": _packed(_answers(right, "n")), "t_sum": _packed(_answers(right, "tables"))}
-    return pa.Table.from_batches([_rows([[state[f.split()[0]]] for f in STATE.split(", ")], STATE)])
+    """What scores need of a slice, with what its pairs of two customers or more were answered."""
+    row = left.to_pylist()[0] | {"c": _packed(_answers(right, "n")), "t_sum": _packed(_answers(right, "tables"))}
+    return pa.Table.from_batches([_rows([[row[f.split()[0]]] for f in FINAL.split(", ")], FINAL)])
 
 
-def _scored(model: dict, samples: int):
+def _scored(models: list[dict]):
+    """models: of each sampled sweep."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row, state = left.to_pylist()[0], right.to_pylist()[0]
         size, tokens = _array(row, "sizes", np.int64), _array(row, "tokens", np.uint32)
         distinct, of, many, order = _many(row, state)
         u, w = (distinct >> U64(32)).astype(np.int64), (distinct & U64(0xFFFFFFFF)).astype(np.int64)
-        n = _unpacked(state["n"])
-        held = np.unpackbits(_array(state, "lone", np.uint8), count=len(distinct)) * (1 - model["discount"])  # customers less discounts
-        held[many[order]] = _unpacked(state["c"]) - model["discount"] * _unpacked(state["t_sum"]) / samples
-        p = held / (THETA + n[u])
-        back, root = (_array(state, x, np.float32).astype(np.float64).reshape(samples, -1) for x in ("back", "root"))
-        for b, r in zip(back, root, strict=True):
-            p += b[u] * r[w] / samples
+        n, discount = _unpacked(state["n"]), models[0]["discount"]
+        held = np.unpackbits(_array(state, "lone", np.uint8), count=len(distinct)) * (1 - discount)  # customers less discounts
+        held[many[order]] = _unpacked(state["c"]) - discount * _unpacked(state["t_sum"]) / len(models)
+        p, at = held / (THETA + n[u]), 0
+        for model in models:
+            some = []
+            for _ in range(3):
+                to = at + 1 + len(n) * state["samples"][at]
+                some.append(_unpacked(state["samples"][at:to]))
+                at = to
+            tables, customers, seats = some
+            p += ((THETA + discount * tables) / (THETA + n))[u] * _root(customers, seats, model)[w] / len(models)
         first = np.cumsum(size) - size
         add = lambda x: np.add.reduceat(x, first)
-        score, base = add(np.log10(p)[of]), add(np.log10((n + 1) / (model["n_sum"] + model["known"] + 1))[tokens])
+        n_sum, known = models[0]["n_sum"], models[0]["known"]
+        score, base = add(np.log10(p)[of]), add(np.log10((n + 1) / (n_sum + known + 1))[tokens])
         known_n = add((n > 0).astype(np.int64)[tokens])
-        return pa.Table.from_batches([_rows([row["ids"], row["held"], size, known_n, [model["n_sum"]] * len(size), base, score, 10 ** -(score / size)], RESULT)])
+        return pa.Table.from_batches([_rows([row["ids"], row["held"], size, known_n, [n_sum] * len(size), base, score, 10 ** -(score / size)], RESULT)])
 
     return run
 
@@ -430,7 +438,7 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
     state = stage_bucketed(rows.groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(_begin, STATE), "state", "slice")
     release(staged() - 2, staged() - 1)
     tidy(docs.sparkSession)
-    model = {"discount": _discount(pairs["once"], pairs["twice"])}
+    model, models = {"discount": _discount(pairs["once"], pairs["twice"])}, []
     for sweep in range(sweeps + 1):
         root = {"sweep": sweep} if not sweep else {"sweep": sweep, "discount": model["root_discount"], "seat_sum": model["seat_sum"], "base": model["base"]}
         found = stage(_send_words(state, word_bits).groupBy("bucket").applyInArrow(_count(root), COUNTED), "words")
@@ -439,17 +447,20 @@ def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN,
             model |= {"root_discount": _discount(sums["once"], sums["twice"]), "n_sum": sums["n_sum"], "known": sums["known"], "base": 1 / (sums["known"] + 1)}
         model |= {"customer_sum": sums["customer_sum"], "seat_sum": sums["seat_sum"]}
         sampled, last = sweep > min(burn, sweeps - 1), sweep == sweeps
+        models += [dict(model)] if sampled else []
         step = _sweep(dict(model), sweep + 1, sampled, last)
         tidy(docs.sparkSession)
-        answers = found.select("slice", "bucket", "n", "tables", "customers", "seats").groupBy("slice")
+        answers = found.select("slice", "bucket", *["n"] * last, "tables", "customers", "seats").groupBy("slice")
         state = stage_bucketed(state.groupBy("slice").cogroup(answers).applyInArrow(step, STATE), "state", "slice")
         release(staged() - 3, staged() - 1)  # the state before, and the words
         tidy(docs.sparkSession)
-    sent = rows.groupBy("slice").cogroup(state.groupBy("slice")).applyInArrow(_send_seats(pair_bits), PARTS)
+    seated = state.select("slice", "u", "w", "c", "t_sum", "many").groupBy("slice")
+    sent = rows.select("slice", "sizes", "words", "tokens").groupBy("slice").cogroup(seated).applyInArrow(_send_seats(pair_bits), PARTS)
     shared = stage(sent.groupBy("bucket").applyInArrow(_count(shared=True), COUNTED), "shared")
     tidy(docs.sparkSession)
     answers = shared.select("slice", "bucket", "n", "tables").groupBy("slice")
-    used = stage_bucketed(state.groupBy("slice").cogroup(answers).applyInArrow(_together, STATE), "state", "slice")
+    kept = state.select("slice", "lone", "many", "n", "samples").groupBy("slice")
+    used = stage_bucketed(kept.cogroup(answers).applyInArrow(_together, FINAL), "final", "slice")
     release(staged() - 3, staged() - 1)
     tidy(docs.sparkSession)
-    return rows.groupBy("slice").cogroup(used.groupBy("slice")).applyInArrow(_scored(model, sweeps - min(burn, sweeps - 1)), RESULT)
+    return rows.groupBy("slice").cogroup(used.groupBy("slice")).applyInArrow(_scored(models), RESULT)
