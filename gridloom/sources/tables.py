@@ -12,26 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import exact_sum, slot
-from ..schema import DEMAND, DISPATCH, STATE
+from ..operators.rules import marked
+from ..schema import DEMAND, DISPATCH, STATE, canonical
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _named(rows: DataFrame, signal: str) -> DataFrame:
+    """Marked columns under the names of the signal's table."""
+    return rows.toDF(*canonical(signal).names)
+
+
 def demand(events: DataFrame) -> DataFrame:
     views = events.where("event_type = 'view'").groupBy(slot(F.col("ts")).alias("timestamp"))
-    return views.agg(exact_sum(F.col("value")).alias("demand_forecast_mw"))
+    return _named(views.agg(marked(exact_sum(F.col("value")), "value", DEMAND)), DEMAND)
 
 
 def dispatch(events: DataFrame) -> DataFrame:
     rows = events.where("event_type IN ('click', 'purchase')")
-    return rows.select(slot(F.col("ts")).alias("timestamp"), F.col("user_id").cast("string").alias("generator_id"), F.col("value").alias("dispatch_mw"))
+    return _named(rows.select(slot(F.col("ts")).alias("timestamp"), marked(F.col("user_id").cast("string"), "identifier", DISPATCH), marked(F.col("value"), "value", DISPATCH)), DISPATCH)
 
 
 def state_estimation(events: DataFrame) -> DataFrame:
     rows = events.where("event_type IN ('signup', 'error')")
-    return rows.select(slot(F.col("ts")).alias("timestamp"), F.concat(F.lit("IJ"), F.col("user_id")).alias("generator_id"), F.col("value").alias("estimated_generation_mw"))
+    return _named(rows.select(slot(F.col("ts")).alias("timestamp"), marked(F.concat(F.lit("IJ"), F.col("user_id")), "identifier", STATE), marked(F.col("value"), "value", STATE)), STATE)
 
 
 def signals(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
