@@ -7,7 +7,10 @@ side brings the hashes of the words around its seed (REACH to the left and to th
 right), and where two seeds meet, item and document are laid over one another
 there: an overlap counts if some window of WINDOW words of the item (the whole item
 if it is shorter) agrees in AGREE hundredths of its words or more; of items under
-SHORT words every word must agree.
+SHORT words every word must agree.  Windows that count are put together over all
+seeds of one shift between text and item, so an overlap is as long as it is: agreeing
+words are bits of the item's blocks of 64 words, which tasks merge before they are
+shuffled.
 
 A Bloom filter of the items' seeds, of BITS bits at most, keeps other seeds of
 documents out of the join; where a benchmark fills it, more seeds go into the join
@@ -148,8 +151,8 @@ def _seeded(filled: Bloom | None, short: bool, names: list[str]):
     return run
 
 
-def laid_over(item: np.ndarray, text: np.ndarray, place: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of surroundings in rows, seed over seed: the first agreeing word of windows that count and the place after the last (from the seed), and how many agree; 0 of them: no overlap.
+def laid_over(item: np.ndarray, text: np.ndarray, place: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Of surroundings in rows, seed over seed: which words agree within windows that count.
 
     place, n_words: the seed's word in the item, and the item's words.
     """
@@ -157,7 +160,7 @@ def laid_over(item: np.ndarray, text: np.ndarray, place: np.ndarray, n_words: np
     first, last = np.maximum(REACH - place, 0), np.minimum(REACH - place + n_words, 2 * REACH)
     same = (item == text) & (at >= first[:, None]) & (at < last[:, None])
     total = np.concatenate([np.zeros((len(same), 1), np.int64), np.cumsum(same, axis=1)], axis=1)
-    begins, ends, agreeing = np.zeros(len(same), np.int64), np.zeros(len(same), np.int64), np.zeros(len(same), np.int64)
+    inside = np.zeros_like(same)
     sizes = np.minimum(n_words, WINDOW)
     for size in np.unique(sizes).tolist():
         rows = np.flatnonzero(sizes == size)
@@ -167,24 +170,32 @@ def laid_over(item: np.ndarray, text: np.ndarray, place: np.ndarray, n_words: np
         edge = np.zeros((len(rows), 2 * REACH + 1), np.int64)
         edge[:, : len(start)] += good
         edge[:, size : size + len(start)] -= good
-        inside = same[rows] & (np.cumsum(edge, axis=1)[:, :-1] > 0)
-        agreeing[rows] = inside.sum(1)
-        begins[rows], ends[rows] = inside.argmax(1) - REACH, 2 * REACH - inside[:, ::-1].argmax(1) - REACH
-    return begins, ends, agreeing
+        inside[rows] = same[rows] & (np.cumsum(edge, axis=1)[:, :-1] > 0)
+    return inside
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Seeds that met to agreeing words: a row for each block of the item's words that has some."""
     for batch in batches:
         if batch.num_rows:
             get = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             item, text = (np.frombuffer(b"".join(get[n].to_pylist()), np.uint32).reshape(-1, 2 * REACH) for n in ("item_around", "around"))
-            begins, ends, agreeing = laid_over(item, text, get["item_place"].to_numpy(), get["item_words"].to_numpy())
-            place = get["place"].to_numpy()
-            made = [*(get[k] for k in [*KEY, "item_id"]), *map(pa.array, (place + begins, place + ends, agreeing)), get["item_words"]]
-            yield pa.RecordBatch.from_arrays(made, names=_FOUND).filter(pa.array(agreeing > 0))
+            at, n_words = get["item_place"].to_numpy(), get["item_words"].to_numpy()
+            inside = laid_over(item, text, at, n_words)
+            some = np.flatnonzero(inside.any(1))
+            inside, at, place = inside[some], at[some], get["place"].to_numpy()[some]
+            first, end = place - REACH + inside.argmax(1), place + REACH - inside[:, ::-1].argmax(1)
+            bits = np.packbits(inside, axis=1, bitorder="little").view(U64)[:, 0]
+            move = ((at - REACH) & 63).astype(U64)
+            high = np.where(move > 0, bits >> ((U64(64) - move) & U64(63)), U64(0))
+            for block, part in (((at - REACH) >> 6, bits << move), (((at - REACH) >> 6) + 1, high)):
+                kept = np.flatnonzero(part)
+                known = [get[k].take(pa.array(some[kept])) for k in [*KEY, "item_id", "item_words"]]
+                numbers = (place - at, block, part.view(np.int64), first, end)
+                yield pa.RecordBatch.from_arrays([*known, *(pa.array(x[kept]) for x in numbers)], names=_FOUND)
 
 
-_FOUND = [*KEY, "item_id", "first_word", "end_word", "n_matched", "n_words"]
+_FOUND = [*KEY, "item_id", "n_words", "shift", "block", "bits", "first_word", "end_word"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -193,7 +204,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each text and item that overlap: the text's hashes, item_id, first_word and end_word (numbers of words of the text, the end exclusive), n_matched (agreeing words), n_words (the item's)."""
+    """One row for each text and item that overlap: the text's hashes, item_id, first_word and end_word (numbers of words of the text, the end exclusive), n_matched (agreeing words), n_words (the item's). Of several shifts that with the most agreeing words."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     names = ["seed", "item_id", "item_place", "item_words", "item_around"]
     sown = stage(items.mapInArrow(_seeded(None, False, names), "seed long, item_id long, item_place long, item_words long, item_around binary"), "items")
@@ -202,8 +213,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = texts.mapInArrow(_seeded(bloom(sown), short, ["seed", *KEY, "place", "words", "around"]), "seed long, text_key long, text_key_2 long, place long, words long, around binary")
     met = hits.join(sown, "seed").select(*KEY, "place", "around", "item_id", "item_place", "item_words", "item_around")
     found = met.mapInArrow(_met, ", ".join(f"{n} long" for n in _FOUND))
+    ends = [F.max("n_words").alias("n_words"), F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word")]
+    blocks = found.groupBy(*KEY, "item_id", "shift", "block").agg(F.bit_or("bits").alias("bits"), *ends)
+    shifts = blocks.groupBy(*KEY, "item_id", "shift").agg(F.sum(F.bit_count("bits")).alias("n_matched"), *ends)
     best = F.max_by(F.struct("first_word", "end_word", "n_matched"), F.struct("n_matched", -F.col("first_word"), -F.col("end_word"))).alias("best")
-    return found.groupBy(*KEY, "item_id").agg(best, F.max("n_words").alias("n_words")).select(*KEY, "item_id", "best.*", "n_words")
+    return shifts.groupBy(*KEY, "item_id").agg(best, F.max("n_words").alias("n_words")).select(*KEY, "item_id", "best.*", "n_words")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -241,6 +241,16 @@ def test_repeats_do_not_multiply(spark):
     assert [(r.doc_id, r.item_id) for r in rows] == [(0, 1)] and time.time() - began < 60
 
 
+def test_overlaps_are_as_long_as_they_are(spark):
+    """A long item, copied whole, with words replaced, and in two parts at two shifts: spans and agreeing words as laid over by hand."""
+    item = [f"k{i}q" for i in range(300)]
+    replaced = [w if i % 11 else f"z{i}" for i, w in enumerate(item)]
+    texts = [["lead", *item, "tail"], [*replaced], [*item[:100], *["gap"] * 7, *item[100:]], item[40:58] + ["odd"] * 50]
+    rows = {r.doc_id: r for r in decontamination.contaminated(documents(spark, [" ".join(t) for t in texts]), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()}
+    got = {k: (r.first_word, r.end_word, r.n_matched, r.n_words) for k, r in rows.items()}
+    assert got == {0: (1, 301, 300, 300), 1: (1, 300, sum(i % 11 > 0 for i in range(300)), 300), 2: (107, 307, 200, 300), 3: (0, 18, 18, 300)}
+
+
 def test_overlap_edges(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = documents(spark, ["a b c"])
