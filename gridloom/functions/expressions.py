@@ -151,3 +151,24 @@ def months(start: Column, end: Column) -> Column:
     """All months from start to end, YYYY-MM, newest first."""
     first, last = F.to_date(F.concat(start, F.lit("-01"))), F.to_date(F.concat(end, F.lit("-01")))
     return F.transform(F.sequence(last, first, F.expr("INTERVAL -1 MONTH")), lambda d: F.date_format(d, "yyyy-MM"))
+
+
+def url_join(base: Column, reference: Column) -> Column:
+    """A reference as it is meant on a page: whole URLs as they are, others put to the page's scheme, host or folder; dots of the path are resolved. A blank one is the page itself."""
+    ref = F.coalesce(F.trim(reference), F.lit(""))
+    scheme, host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)", 1)
+    plain = F.regexp_extract(base, r"^[^#]*", 0)
+    query_less = F.regexp_extract(base, r"^[^?#]*", 0)
+    ref_path, rest = F.regexp_extract(ref, r"^[^?#]*", 0), F.regexp_extract(ref, r"[?#].*$", 0)
+    folder = F.regexp_extract(path, r"^.*/", 0)
+    whole = F.when(ref_path.startswith("/"), ref_path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), ref_path))
+    step = lambda done, part: F.when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+    parts = F.split(F.regexp_replace(whole, "^/", ""), "/")
+    walked = F.array_join(F.reduce(parts, F.array().cast("array<string>"), step), "/")
+    open_end = F.when(whole.rlike(r"/\.{1,2}$") & (walked != ""), "/").otherwise("")
+    joined = F.concat(scheme, host, F.lit("/"), walked, open_end, rest)
+    return (
+        F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref).when(ref.startswith("//"), F.concat(scheme, ref)).when(ref == "", plain)
+        .when(ref.startswith("#"), F.concat(plain, ref)).when(ref.startswith("?"), F.concat(query_less, ref)).otherwise(joined)
+    )

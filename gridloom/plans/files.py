@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import ts_text
 from ..operators import cleaning, gates, normalize
 from ..schema import DEMAND, DISPATCH, STATE, UNIFIED, canonical
-from ..sources import archive_source, archives, readers, sinks
+from ..sources import archive_source, archives, locate, readers, sinks
 from ..sources.scratch import scratch
 from ..sources.tables import signals
 from ..streaming import collection, incremental
@@ -217,6 +217,21 @@ def g01_table_function(spark, sf_dir):
     return normalize.normalize(STATE, rows)
 
 
+@query("""SELECT DISTINCT strftime(timestamp, '%Y-%m-%d') AS path, 'state_estimation.txt' AS member, 'text' AS kind, 'cp949' AS encoding, '자료, 설명' AS first, '' AS second, '시간,발전기CODE,상태추정MW' AS third, CAST(NULL AS VARCHAR) AS problem FROM state""")
+def s24_structure(spark, sf_dir):
+    """What raw archives look like: encoding and first lines of each member."""
+    found = locate.structure(attachments(signals(spark, sf_dir)[STATE], STATE))
+    return found.select("path", "member", "kind", "encoding", *[F.col("preview")[i].alias(n) for i, n in enumerate(("first", "second", "third"))], "problem")
+
+
+@query("SELECT event_type, COUNT(*) AS n FROM events GROUP BY event_type", signals=False)
+def s25_located(spark, sf_dir):
+    """The events, wherever they lie below a folder."""
+    where, _, last = sf_dir.rstrip("/").rpartition("/")
+    folder = locate.locate(spark, last, roots=[where])
+    return spark.read.parquet(f"{folder}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 # ---- gates that raise
 
 

@@ -69,6 +69,16 @@ def x_attachment_name(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", X.attachment_name(header).alias("name"))
 
 
+@query(r"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^([a-z]+:)', 1) AS scheme, regexp_extract(url, '^([a-z]+://[^/]*)', 1) AS site, regexp_extract(regexp_extract(url, '^[^?#]*'), '^[a-z]+://[^/]*(/.*/|/)', 1) AS folder FROM pages)
+SELECT page_id, CASE page_id % 7 WHEN 0 THEN site || '/a/b.zip' WHEN 1 THEN 'https://other.example.com/x' WHEN 2 THEN scheme || '//cdn.example.org/y' WHEN 3 THEN regexp_extract(url, '^[^?#]*') || '?page=3'
+ WHEN 4 THEN regexp_extract(url, '^[^#]*') || '#top' WHEN 5 THEN site || regexp_replace(folder, '(.)[^/]*/$', '\1') || 'z.html' ELSE site || folder || 'sub/w?q=1' END AS joined FROM p""", signals=False)
+def x_url_join(spark, sf_dir):
+    """References of seven kinds on each page's URL."""
+    kinds = ["/a/b.zip", "https://other.example.com/x", "//cdn.example.org/y", "?page=3", "#top", "../z.html", "sub/./w?q=1"]
+    ref = F.element_at(F.array(*map(F.lit, kinds)), (F.col("page_id") % 7 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", X.url_join(F.col("url"), ref).alias("joined"))
+
+
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM pages", signals=False)
 def x_plain_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.plain_text(F.col("html")).alias("text"))
