@@ -94,9 +94,10 @@ def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of frames that nothing refers to any more; otherwise they stay until the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark delete the shuffle files of frames that nothing refers to any more; otherwise they stay until the driver happens to collect its garbage. What the last query held is let go by the first collection and found by the second."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
