@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Bits below each digit: digits of 22, 21 and 21 bits.
 SHIFTS = (42, 21, 0)
 #: Values of one digit that are ranked in one task, or this part of all of a group's.
-FEW, SHARE = 256, 2000
+FEW, SHARE = 2048, 2000
 #: Digits in play that come to the driver, as a table that later passes are joined with; beyond that they stay where they are and all passes are made.
 LOCAL = 20_000
 
@@ -34,19 +34,28 @@ def ordered_bits(x: Column) -> Column:
     return F.when(a == 0, F.lit(0).cast("long")).when(x < 0, -bits).otherwise(bits)
 
 
-def _narrowed(values: DataFrame, sought: DataFrame, shift: int, last: int | None) -> DataFrame:
-    """One pass: of each rank sought, the digit that holds it.  sought: g, rank, prefix (digits so far), before (values below them), total."""
-    digit = F.shiftright("key", shift)
-    if last is None:
-        some = values.select("g", digit.alias("prefix"), F.lit(0).cast("long").alias("above"))
-    else:
-        above = sought.select("g", F.col("prefix").alias("above")).distinct()
-        some = values.select("g", digit.alias("prefix"), F.shiftright("key", last).alias("above")).join(above, ["g", "above"], "left_semi")
-    sizes = some.groupBy("g", "above", "prefix").agg(F.count("*").alias("size"))
-    ends = sizes.withColumn("end", F.sum("size").over(Window.partitionBy("g", "above").orderBy("prefix"))).withColumnRenamed("prefix", "digit")
-    wanted = sought.drop("size") if last is not None else sought.withColumn("prefix", F.lit(0).cast("long"))
+def _first(values: DataFrame, probabilities: list[float], shift: int) -> DataFrame:
+    """The first pass: of each rank that is wanted, the digit that holds it, from one histogram of each group.
+
+    g, rank, total (values of the group), prefix (digits so far), before (values below them), size (values with them).
+    """
+    sizes = values.groupBy("g", F.shiftright("key", shift).alias("prefix")).agg(F.count("*").alias("size"))
+    group = Window.partitionBy("g")
+    ends = sizes.withColumn("end", F.sum("size").over(group.orderBy("prefix"))).withColumn("total", F.sum("size").over(group))
+    at = lambda p: F.lit(float(p)) * (F.col("total") - 1)
+    ranks = F.array_distinct(F.array(*[side(at(p)) for p in probabilities for side in (F.floor, F.ceil)]))
+    here = F.filter(ranks, lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("size")))
+    return ends.select("g", F.explode(here).alias("rank"), "total", "prefix", (F.col("end") - F.col("size")).alias("before"), "size")
+
+
+def _narrowed(values: DataFrame, sought: DataFrame, shift: int, last: int) -> DataFrame:
+    """A further pass: the values that share their digits so far with a rank are counted by the next digit."""
+    above = sought.select("g", F.col("prefix").alias("above")).distinct()
+    some = values.select("g", F.shiftright("key", shift).alias("digit"), F.shiftright("key", last).alias("above")).join(above, ["g", "above"], "left_semi")
+    sizes = some.groupBy("g", "above", "digit").agg(F.count("*").alias("size"))
+    ends = sizes.withColumn("end", F.sum("size").over(Window.partitionBy("g", "above").orderBy("digit")))
     at = F.col("rank") - F.col("before")
-    joined = wanted.withColumnRenamed("prefix", "above").join(ends, ["g", "above"]).where((at < F.col("end")) & (at >= F.col("end") - F.col("size")))
+    joined = sought.drop("size").withColumnRenamed("prefix", "above").join(ends, ["g", "above"]).where((at < F.col("end")) & (at >= F.col("end") - F.col("size")))
     return joined.select("g", "rank", "total", F.col("digit").alias("prefix"), (F.col("before") + F.col("end") - F.col("size")).alias("before"), "size")
 
 
@@ -60,15 +69,9 @@ def quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[st
     group = F.struct(*names) if names else F.struct(F.lit(0).alias("all"))
     finite = df.where(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     values = finite.select(group.alias("g"), c.alias("v")).withColumn("key", ordered_bits(F.col("v")))
-    totals = values.groupBy("g").agg(F.count("*").alias("total"))
-    chances = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-    at = F.col("probability") * (F.col("total") - 1)
-    asked = totals.select("g", "total", chances).withColumn("at", at)
-    sides = F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank")
-    sought = asked.select("g", "total", sides).distinct().withColumn("before", F.lit(0).cast("long"))
     last = None
     for shift in SHIFTS:
-        sought = _narrowed(values, sought, shift, last)
+        sought = _first(values, probabilities, shift) if last is None else _narrowed(values, sought, shift, last)
         last = shift
         rows = sought.limit(LOCAL + 1).collect()
         if len(rows) > LOCAL:
