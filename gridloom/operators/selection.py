@@ -22,15 +22,14 @@ LOCAL = 20_000
 
 
 def ordered_bits(x: Column) -> Column:
-    """A long for each finite double, in the same order; both zeros are 0."""
+    """A long for each finite double, in the same order; both zeros are 0.
+
+    The exponent's bits, then those of the fraction, as IEEE has them.  A logarithm
+    that rounds up beside a power of two costs the last bit there, never the order.
+    """
     a = F.abs(x)
-    near = F.floor(F.log2(a))  # may be off by one beside powers of two
-    two = lambda e: F.pow(F.lit(2.0), e)
-    e = F.when(two(near) > a, near - 1).when(two(near + 1) <= a, near + 1).otherwise(near)
-    e = F.greatest(e, F.lit(-1022))
-    hidden = F.when(a >= two(F.lit(-1022)), 1.0).otherwise(0.0)
-    fraction = ((a / two(e) - hidden) * float(1 << 52)).cast("long")
-    bits = (e + F.when(hidden > 0, 1023).otherwise(1022)).cast("long") * (1 << 52) + fraction
+    e = F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1022)), F.lit(1023))
+    bits = (e + 1023).cast("long") * (1 << 52) + F.floor((a / F.pow(F.lit(2.0), e) - 1) * float(1 << 52)).cast("long")
     return F.when(a == 0, F.lit(0).cast("long")).when(x < 0, -bits).otherwise(bits)
 
 
@@ -48,10 +47,10 @@ def _first(values: DataFrame, probabilities: list[float], shift: int) -> DataFra
     return ends.select("g", F.explode(here).alias("rank"), "total", "prefix", (F.col("end") - F.col("size")).alias("before"), "size")
 
 
-def _narrowed(values: DataFrame, sought: DataFrame, shift: int, last: int) -> DataFrame:
-    """A further pass: the values that share their digits so far with a rank are counted by the next digit."""
+def _narrowed(values: DataFrame, sought: DataFrame, shift: int, last: int, small) -> DataFrame:
+    """A further pass: the values that share their digits so far with a rank are counted by the next digit. small: broadcasts digits in play that are known to be few."""
     above = sought.select("g", F.col("prefix").alias("above")).distinct()
-    some = values.select("g", F.shiftright("key", shift).alias("digit"), F.shiftright("key", last).alias("above")).join(above, ["g", "above"], "left_semi")
+    some = values.select("g", F.shiftright("key", shift).alias("digit"), F.shiftright("key", last).alias("above")).join(small(above), ["g", "above"], "left_semi")
     sizes = some.groupBy("g", "above", "digit").agg(F.count("*").alias("size"))
     ends = sizes.withColumn("end", F.sum("size").over(Window.partitionBy("g", "above").orderBy("digit")))
     at = F.col("rank") - F.col("before")
@@ -69,23 +68,24 @@ def quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[st
     group = F.struct(*names) if names else F.struct(F.lit(0).alias("all"))
     finite = df.where(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     values = finite.select(group.alias("g"), c.alias("v")).withColumn("key", ordered_bits(F.col("v")))
-    last = None
+    last, small = None, lambda d: d
     for shift in SHIFTS:
-        sought = _first(values, probabilities, shift) if last is None else _narrowed(values, sought, shift, last)
+        sought = _first(values, probabilities, shift) if last is None else _narrowed(values, sought, shift, last, small)
         last = shift
         rows = sought.limit(LOCAL + 1).collect()
+        small = F.broadcast if len(rows) <= LOCAL else lambda d: d
         if len(rows) > LOCAL:
             continue
         sought = df.sparkSession.createDataFrame(rows, sought.schema)
         if all(r["size"] <= max(FEW, r["total"] // SHARE) for r in rows):
             break
-    left = values.select("g", "v", F.shiftright("key", last).alias("prefix")).join(sought.select("g", "prefix").distinct(), ["g", "prefix"], "left_semi")
+    left = values.select("g", "v", F.shiftright("key", last).alias("prefix")).join(small(sought.select("g", "prefix").distinct()), ["g", "prefix"], "left_semi")
     counts = left.groupBy("g", "prefix", "v").agg(F.count("*").alias("n"))
     ranked = counts.withColumn("to", F.sum("n").over(Window.partitionBy("g", "prefix").orderBy("v")))
     here = F.col("rank") - F.col("before")
-    found = sought.join(ranked, ["g", "prefix"]).where((here < F.col("to")) & (here >= F.col("to") - F.col("n")))
-    both = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("probability")) for p in probabilities])).alias("p")
-    each = found.select("g", "rank", "v", "total", both).select("g", "rank", "v", F.col("p.probability").alias("probability"), (F.col("p.probability") * (F.col("total") - 1)).alias("at"))
+    found = ranked.join(small(sought), ["g", "prefix"]).where((here < F.col("to")) & (here >= F.col("to") - F.col("n")))
+    each = found.select("g", "rank", "v", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"))
+    each = each.withColumn("at", F.col("probability") * (F.col("total") - 1))
     each = each.where((F.col("rank") == F.floor("at")) | (F.col("rank") == F.ceil("at")))
     low, high = F.min_by("v", "rank"), F.max_by("v", "rank")
     made = each.groupBy("g", "probability", "at").agg((low + (high - low) * (F.col("at") - F.floor("at"))).alias("quantile"))
