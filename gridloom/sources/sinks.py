@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.normalize import CSV_HEADER, csv_rows
 from .scratch import filesystem
+from .storage import copied
 
 
 def write_partitioned(unified: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -88,7 +91,7 @@ def write_manifest(files: DataFrame, path: str) -> None:
 
 
 def write_small(spark: SparkSession, path: str, content: bytes) -> None:
-    """One small file of the driver's (a manifest, a report), whole or not at all: it is written beside its place and renamed."""
+    """One small file of the driver's (a manifest, a report), whole or not at all: it is written beside its place and renamed over what is there."""
     fs, at = filesystem(spark, path)
     _, beside = filesystem(spark, f"{path}.{uuid.uuid4().hex}.part")
     out = fs.create(beside, True)
@@ -96,9 +99,11 @@ def write_small(spark: SparkSession, path: str, content: bytes) -> None:
         out.write(bytearray(content))
     finally:
         out.close()
-    fs.delete(at, False)
-    if not fs.rename(beside, at):
-        raise OSError(f"{path} couldn't be put in place")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(beside, at, how)
 
 
 def write_json(spark: SparkSession, path: str, document: dict) -> None:
@@ -112,13 +117,12 @@ def release_table(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 
 def package(spark: SparkSession, files: list[str], folder: str) -> list[str]:
-    """Copies of finished files in a release's folder, for stores without tables; those of equal name and size stay as they are. The names that were copied."""
-    copied = []
-    for source in files:
-        fs, at = filesystem(spark, source)
-        to_fs, to = filesystem(spark, f"{folder}/{at.getName()}")
-        if not (to_fs.exists(to) and to_fs.getFileStatus(to).getLen() == fs.getFileStatus(at).getLen()):
-            if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, at, to_fs, to, False, True, spark.sparkContext._jsc.hadoopConfiguration()):
-                raise OSError(f"{source} couldn't be copied")
-            copied.append(at.getName())
-    return copied
+    """Copies of finished files in a release's folder, for stores without tables, made by tasks, a chunk at a time; those of equal name and size stay as they are. The names that were copied."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [p.rpartition("/")[2] for p in batch.column(0).to_pylist() if copied(p, f"{folder}/{p.rpartition('/')[2]}")]
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["name"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "path string")
+    return sorted(r.name for r in listed.repartition(max(1, min(len(files), 200)), "path").mapInArrow(run, "name string").collect())
