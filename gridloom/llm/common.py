@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import re
 import tempfile
@@ -81,6 +82,14 @@ def release(first: int = 0, last: int | None = None) -> None:
             return
 
 
+def trim() -> None:
+    """Gives memory that earlier tasks of this Python worker have freed back to the system, which allocators don't do by themselves. Elsewhere than under glibc only Arrow's part."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
 def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of so many bytes at most, or of one text."""
     a, size = 0, 0
@@ -120,6 +129,7 @@ def map_text(df: DataFrame, fn: Callable[[list[bytes]], list], fields: str, text
     types = [_arrow(f.dataType) for f in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             texts = as_bytes(batch.column(len(kept)))
             for a, b in slices(texts):
@@ -135,6 +145,7 @@ def filter_text(df: DataFrame, fn: Callable[[list[bytes]], list[bool]], text: st
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             texts = as_bytes(batch.column(at))
             for a, b in slices(texts):

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices
+from .common import as_bytes, slices, trim
 
 MAX_LENGTH = 4096
 END_ID = 2
@@ -137,6 +137,7 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end
     names = ["doc_id", "start", "length", "bucket", "tokens", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encode, number = Words(tokenizer_path), TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
