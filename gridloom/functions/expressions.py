@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -51,6 +52,13 @@ def to_num(text: Column) -> Column:
     return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
+def two_places(value: Column) -> Column:
+    """A double as decimal(18,2) by the nearest whole number of hundredths, ties away from zero: 1.005 * 100 lies below 100.5, so 1.00 it is. A plain cast rounds the digits that the double is shown with, to 1.01. NaN and infinities: null."""
+    finite = F.when(F.abs(value) < float("inf"), value)
+    hundredths = F.round(100 * finite).cast("long").cast("decimal(18,0)")
+    return (hundredths * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 def no_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 

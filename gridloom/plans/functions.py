@@ -36,7 +36,7 @@ NUMBERS_SQL = "n AS (SELECT event_id, CASE event_id % 8 WHEN 0 THEN CAST(CAST(va
 
 @query(f"WITH {NUMBERS_SQL} SELECT event_id, text, CASE WHEN regexp_full_match(trim(text), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?inf') THEN TRY_CAST(trim(text) AS DOUBLE) END AS number FROM n", signals=False)
 def x_num_parse(spark, sf_dir):
-    k, v = F.col("event_id") % 8, F.col("value").cast("decimal(18,2)").cast("string")
+    k, v = F.col("event_id") % 8, X.two_places(F.col("value")).cast("string")
     text = F.when(k == 0, v).when(k == 1, F.concat(F.lit(" "), v, F.lit(" "))).when(k == 2, "1,000").when(k == 3, "1d").when(k == 4, "inf").when(k == 5, "-2.5e3").when(k == 6, "n/a")
     rows = table(spark, sf_dir, "events").select("event_id", text.alias("text"))
     return rows.withColumn("number", X.to_num(F.col("text")))

@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expressions import two_places
 from ..operators import physical
 from ..schema import DISPATCH
 from ..sources import export, footers, readers
@@ -107,5 +108,5 @@ SELECT rows, strlen(text) AS bytes, sha256(text) AS sha256 FROM l""")
 def k04_slice_digest(spark, sf_dir):
     """A time slice as one file, with rows, bytes and SHA-256 as the task that wrote it says."""
     u = readers.load_window(unified(spark, sf_dir), None, "2024-01-05 00:00:00", "2024-01-08 00:00:00", ["timestamp", "source", "generator_id", "value_mw"])
-    records = export.export(u.withColumn("value_mw", F.col("value_mw").cast("decimal(18,2)")), scratch(spark, "slice"), 1)
+    records = export.export(u.withColumn("value_mw", two_places(F.col("value_mw"))), scratch(spark, "slice"), 1)
     return records.select("rows", "bytes", "sha256")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import exact_sum, no_nan, ts_text
+from ..functions.expressions import exact_sum, no_nan, ts_text, two_places
 from ..operators import cleaning, completeness, lineage, normalize
 from ..operators.analytics import min_max, reconcile
 from ..schema import DEMAND, DISPATCH, STATE
@@ -54,7 +54,7 @@ def s22_month_range(spark, sf_dir):
 
 @query("""SELECT '"' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '","' || source || '",' || coalesce('"' || generator_id || '"', '') || ',' || coalesce(CAST(CAST(value_mw AS DECIMAL(18,2)) AS VARCHAR), '') AS value FROM unified""")
 def p05_csv_text(spark, sf_dir):
-    fixed = unified(spark, sf_dir).withColumn("value_mw", F.col("value_mw").cast("decimal(18,2)"))
+    fixed = unified(spark, sf_dir).withColumn("value_mw", two_places(F.col("value_mw")))
     return normalize.csv_rows(fixed)
 
 

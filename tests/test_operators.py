@@ -33,6 +33,14 @@ def test_number_texts(spark):
     assert {r.text: r.n for r in df.collect()} == wanted
 
 
+def test_hundredths_are_those_of_sql(spark, duck):
+    values = [1.005, 79.585, 23.544999999999998, 115.55499999999999, 0.125, -0.125, -1.005, 0.0, -0.001, 1234567890123456.78, 1234567890123.455, None]
+    values += [s * (k / 1000 + 5e-4 * (k % 3)) for k in range(3000) for s in (1, -1)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select(X.two_places(F.col("v")).cast("string"))
+    said = duck.execute("SELECT CAST(CAST(unnest(CAST(? AS DOUBLE[])) AS DECIMAL(18,2)) AS VARCHAR)", [values]).fetchall()
+    assert [r[0] for r in df.collect()] == [r[0] for r in said]
+
+
 def test_month_of_titles(spark):
     rows = [
         ("2031년 3월 급전 자료", None, "2031-03"), ("자료 (2031년도 11월)", "2032.01.05", "2031-11"), ("급전203107", None, "2031-07"), ("120310 203113 5분", None, None),
