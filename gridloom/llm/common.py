@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,14 +93,29 @@ def trim() -> None:
 
 def slices(texts: list[bytes], most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of so many bytes at most, or of one text."""
+    return runs([len(t) for t in texts], most)
+
+
+def runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """slices() of texts of so many bytes."""
     a, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield a, i
             a, size = i, 0
-        size += len(t) + 1
-    if a < len(texts):
-        yield a, len(texts)
+        size += n + 1
+    if a < len(sizes):
+        yield a, len(sizes)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], at: int, most: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The rows of batches in slices, each with the UTF-8 bytes of its texts, which are column at (null: empty). Only one slice's texts are taken out of Arrow at a time."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+        for a, b in runs(sizes, most):
+            part = batch.slice(a, b - a)
+            yield part, as_bytes(part.column(at))
+        batch = part = sizes = None  # before the next one is read
 
 
 def tidy(spark: SparkSession) -> None:
@@ -130,12 +146,9 @@ def map_text(df: DataFrame, fn: Callable[[list[bytes]], list], fields: str, text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
-        for batch in batches:
-            texts = as_bytes(batch.column(len(kept)))
-            for a, b in slices(texts):
-                made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(fn(texts[a:b]), types, strict=True)]
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=[f.name for f in schema])
+        for part, texts in text_slices(batches, len(kept)):
+            made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(fn(texts), types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *made], names=[f.name for f in schema])
 
     return source.mapInArrow(run, schema)
 
@@ -146,10 +159,8 @@ def filter_text(df: DataFrame, fn: Callable[[list[bytes]], list[bool]], text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
-        for batch in batches:
-            texts = as_bytes(batch.column(at))
-            for a, b in slices(texts):
-                yield batch.slice(a, b - a).filter(pa.array(fn(texts[a:b]), pa.bool_()))
+        for part, texts in text_slices(batches, at):
+            yield part.filter(pa.array(fn(texts), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

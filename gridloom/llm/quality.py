@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import labelled, map_text
+from .common import labelled, map_text, slices
 from .kernels import grams, words
 from .learn import Adam, platt, sigmoid
 
@@ -33,6 +33,8 @@ KEEP_AT = 0.5
 CALIBRATE = 20  # hundredths of the examples that only calibrate
 MIN_WORDS, MAX_REPEATED = 50, 50  # base rules; the second in hundredths of the words
 SYMBOLS = "#*$%&|<>"
+#: Bytes of text whose grams are held at a time, unless one text is longer; a byte takes some 80 in all.
+PART = 1 << 18
 
 
 def counts(text: bytes) -> tuple[int, int, int, int, int]:
@@ -90,24 +92,28 @@ class Model:
     b: float = 0.0
 
     def raw(self, texts: list[bytes]) -> np.ndarray:
-        word_idx, word_at, char_idx, char_at = _grams(texts)
-        return _means(self.word, word_idx, word_at) + _means(self.char, char_idx, char_at)
+        def part(some: list[bytes]) -> np.ndarray:
+            word_idx, word_at, char_idx, char_at = _grams(some)
+            return _means(self.word, word_idx, word_at) + _means(self.char, char_idx, char_at)
+
+        return np.concatenate([part(texts[a:b]) for a, b in slices(texts, PART)] or [np.zeros(0)])
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
         return sigmoid(self.a * self.raw(texts) + self.b)
 
 
 def _sparse(texts: list[bytes]) -> list:
-    word_idx, word_at, char_idx, char_at = _grams(texts)
     out: list = [[], []]
-    for i in range(len(texts)):
-        idx, val = [], []
-        for table, at, shift in ((word_idx, word_at, 0), (char_idx, char_at, WIDTH)):
-            k, n = np.unique(table[at[i, 0] : at[i, 1]], return_counts=True)
-            idx.append((k + shift).astype(np.uint16))
-            val.append((n / max(1, at[i, 1] - at[i, 0])).astype(np.float32))
-        out[0].append(np.concatenate(idx).tobytes())
-        out[1].append(np.concatenate(val).tobytes())
+    for a, b in slices(texts, PART):
+        word_idx, word_at, char_idx, char_at = _grams(texts[a:b])
+        for i in range(b - a):
+            idx, val = [], []
+            for table, at, shift in ((word_idx, word_at, 0), (char_idx, char_at, WIDTH)):
+                k, n = np.unique(table[at[i, 0] : at[i, 1]], return_counts=True)
+                idx.append((k + shift).astype(np.uint16))
+                val.append((n / max(1, at[i, 1] - at[i, 0])).astype(np.float32))
+            out[0].append(np.concatenate(idx).tobytes())
+            out[1].append(np.concatenate(val).tobytes())
     return out
 
 
