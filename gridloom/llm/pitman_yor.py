@@ -59,6 +59,7 @@ SWEEPS, BURN, EXACT, TRIES = 3, 1, 32, 3
 THETA = 1.0
 END = U64(0x9D39247E33776D41)  # no word's hash, but for chance
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
+BASE = RESULT[: RESULT.index(", score")]
 SLICES = "slice long, ids array<long>, held array<boolean>, sizes binary, words binary, tokens binary, n_tokens long, n_words long"
 #: Of the pairs of two customers or more that the slice seats: u (as steps), w, c, t tables in the last sweep, t_sum over sampled sweeps; lone, many: of all its pairs, whether
 #: they have one customer, or more; lone_t, lone_c: of each word, tables and customers by the pairs of one customer that the slice counts; n: its tokens in training texts; samples: of each
@@ -234,6 +235,19 @@ def _send_pairs(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("slice", "held", "sizes", "words", "tokens").mapInArrow(run, PARTS)
 
 
+def _send_counts(rows: DataFrame, bits: int) -> DataFrame:
+    """Every slice's words with their tokens in training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                known = _array(row, "words", U64)
+                learned = np.repeat(~np.array(row["held"], bool), _array(row, "sizes", np.int64))
+                yield _sent(row["slice"], known, bits, np.bincount(_array(row, "tokens", np.uint32)[learned], minlength=len(known)))
+
+    return rows.select("slice", "held", "sizes", "words", "tokens").mapInArrow(run, PARTS)
+
+
 def _count(root: dict | None = None, shared: bool = False):
     """Adds up what the slices sent to one bucket and answers each of them.
 
@@ -392,6 +406,13 @@ def _together(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows([[row[f.split()[0]]] for f in FINAL.split(", ")], FINAL)])
 
 
+def _base(size: np.ndarray, tokens: np.ndarray, n: np.ndarray, n_sum: int, known: int) -> list:
+    """Of each text of a slice: n_tokens, n_known, train_tokens, base_score."""
+    first = np.cumsum(size) - size
+    base = np.add.reduceat(np.log10((n + 1) / (n_sum + known + 1))[tokens], first)
+    return [size, np.add.reduceat((n > 0).astype(np.int64)[tokens], first), [n_sum] * len(size), base]
+
+
 def _scored(models: list[dict]):
     """models: of each sampled sweep."""
 
@@ -412,16 +433,30 @@ def _scored(models: list[dict]):
                 at = to
             tables, customers, seats = some
             p += ((THETA + discount * tables) / (THETA + n))[u] * _root(customers, seats, model)[w] / len(models)
-        first = np.cumsum(size) - size
-        add = lambda x: np.add.reduceat(x, first)
-        n_sum, known = models[0]["n_sum"], models[0]["known"]
-        score, base = add(np.log10(p)[of]), add(np.log10((n + 1) / (n_sum + known + 1))[tokens])
-        known_n = add((n > 0).astype(np.int64)[tokens])
-        return pa.Table.from_batches([_rows([row["ids"], row["held"], size, known_n, [n_sum] * len(size), base, score, 10 ** -(score / size)], RESULT)])
+        score = np.add.reduceat(np.log10(p)[of], np.cumsum(size) - size)
+        base = _base(size, tokens, n, models[0]["n_sum"], models[0]["known"])
+        return pa.Table.from_batches([_rows([row["ids"], row["held"], *base, score, 10 ** -(score / size)], RESULT)])
 
     return run
 
 
+def base_scores(docs: DataFrame, held: Column, slice_bytes: int = SLICE_BYTES, bucket: int = BUCKET) -> DataFrame:
+    """score() without what its pairs give: doc_id, held_out, n_tokens, n_known, train_tokens and base_score of every row of docs. Only the slices' distinct words are exchanged, once each way."""
+    rows = stage_bucketed(_tokenised(docs, held, slice_bytes), "slices", "slice")
+    n_words = rows.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    counts = stage(_send_counts(rows, _bits(n_words, bucket // 2)).groupBy("bucket").applyInArrow(_count(), COUNTED), "words")
+    sums = _totals(counts)
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        n = _answers(right, "n") >> 1
+        base = _base(_array(row, "sizes", np.int64), _array(row, "tokens", np.uint32), n, sums["n_sum"], sums["known"])
+        return pa.Table.from_batches([_rows([row["ids"], row["held"], *base], BASE)])
+
+    tidy(docs.sparkSession)
+    return rows.select("slice", "ids", "held", "sizes", "tokens").groupBy("slice").cogroup(counts.select("slice", "bucket", "n").groupBy("slice")).applyInArrow(scored, BASE)
+
+
 def score(docs: DataFrame, held: Column, sweeps: int = SWEEPS, burn: int = BURN, slice_bytes: int = SLICE_BYTES, bucket: int = BUCKET) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row of docs; the model learns from rows for which ``held`` isn't true.
 

@@ -91,8 +91,8 @@ def base4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base12_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score of single words that op12's is held against, to six digits."""
-    made = op12_pitman_yor(spark, sf_dir)
+    """The score of single words that op12's is held against, to six digits; no pair is counted for it."""
+    made = pitman_yor.base_scores(table(spark, sf_dir, "documents"), remainder(7) == 2)
     return made.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
 
 

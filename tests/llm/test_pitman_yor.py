@@ -133,6 +133,23 @@ def test_whole_scores_equal_a_plain_model(spark, sizes):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score) and r.perplexity == pytest.approx(10 ** (-score / n))
 
 
+@pytest.mark.parametrize("sizes", [{}, {"slice_bytes": 300, "bucket": 16}])
+def test_base_scores_need_no_pairs(spark, monkeypatch, sizes):
+    def unwanted(*_):
+        raise AssertionError("pairs are exchanged")
+
+    monkeypatch.setattr(pitman_yor, "_send_pairs", unwanted)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    monkeypatch.setattr(pitman_yor, "base_scores", lambda *args, f=pitman_yor.base_scores: f(*args, **sizes))
+    texts = ["", None, *texts_of(120)]
+    docs = documents(spark, texts, CLASHES).repartition(3)
+    held = [crc32(i) % 7 == 2 for i in range(len(texts))]
+    rows = sorted(queries.base12_unigrams(spark, DATA).collect(), key=lambda r: r.doc_id)
+    want = [(i, held[i], n, known, total, pytest.approx(base, abs=1e-6)) for i, (n, known, total, base, _) in enumerate(plain(texts, held))]
+    assert [tuple(r) for r in rows] == want
+    assert pitman_yor.base_scores(empty(spark), remainder(7) == 2).count() == 0
+
+
 def test_held_out_texts_are_foreseen_better_than_by_the_base(spark):
     rows = [r for r in queries.op12_pitman_yor(spark, DATA).collect() if r.held_out]
     assert len(rows) > 20 and sum(r.score for r in rows) > 0.95 * sum(r.base_score for r in rows)
