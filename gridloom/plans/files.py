@@ -155,8 +155,7 @@ def attachments(rows: DataFrame, signal: str) -> DataFrame:
     time = korean if signal == STATE else ts_text(F.col("timestamp"))
     cells = [time, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in canonical(signal).names[1:]]]
     lines = rows.select(F.date_format("timestamp", "yyyy-MM-dd").alias("path"), F.concat_ws(",", *cells).alias("line"))
-    texts = lines.groupBy("path").agg(F.concat(F.lit(f"{before}{header}\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n")).alias("text"))
-    return archives.packed(texts, f"{signal}.txt", encoding)
+    return archives.packed(lines, f"{signal}.txt", f"{before}{header}\n", encoding)
 
 
 def read_attachments(spark, sf_dir, signal: str) -> DataFrame:

@@ -15,6 +15,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.csv as arrow_csv
@@ -278,18 +279,38 @@ def archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(path)
 
 
-def packed(texts: DataFrame, name: str, encoding: str = "utf-8") -> DataFrame:
-    """Archives (path, content) of texts (path, text), each with one member of that name."""
+def packed(lines: DataFrame, name: str, before: str = "", encoding: str = "utf-8") -> DataFrame:
+    """Archives (path, content) of lines (path, line), each with one member of that name, which begins with ``before``.
+
+    Lines go into the archive as they stream by, in the order of their paths: a task
+    holds a batch of lines and one archive in its compressed form, never a whole text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for where, text in zip(*batch.columns, strict=True):
-                out = io.BytesIO()
-                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(name, (text.as_py() or "").encode(encoding))
-                yield pa.RecordBatch.from_arrays([pa.array([where.as_py()]), pa.array([out.getvalue()])], names=["path", "content"])
+        held = where = None
 
-    return texts.select("path", "text").mapInArrow(run, "path string, content binary")
+        def closed() -> pa.RecordBatch:
+            out, archive, text = held
+            text.close()
+            archive.close()
+            return pa.RecordBatch.from_arrays([pa.array([where], pa.string()), pa.array([out.getvalue()], pa.binary())], names=["path", "content"])
+
+        for batch in batches:
+            for path, some in groupby(zip(*(c.to_pylist() for c in batch.columns), strict=True), lambda r: r[0]):
+                if held is None or path != where:
+                    if held:
+                        yield closed()
+                    out, where = io.BytesIO(), path
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    info = zipfile.ZipInfo(name)
+                    info.compress_type = zipfile.ZIP_DEFLATED
+                    held = out, archive, archive.open(info, "w", force_zip64=True)
+                    held[2].write(before.encode(encoding))
+                held[2].write("".join(f"{line}\n" for _, line in some).encode(encoding))
+        if held:
+            yield closed()
+
+    return lines.select("path", "line").repartition("path").sortWithinPartitions("path").mapInArrow(run, "path string, content binary")
 
 
 def blocks(files: DataFrame, signal: str) -> DataFrame:
@@ -316,18 +337,19 @@ def decoded(files: DataFrame, signal: str) -> DataFrame:
     """Archives (path, content) as rows of texts, with where they came from; ordinal gives the order of a file's rows (its block * 2^32 + the row's place there)."""
     schema = _arrow_schema(FIELDS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for where, name, encoding, preamble, block, width, keep, quoted, data in zip(*batch.columns, strict=True):
-                made = parse(data.as_py(), encoding.as_py(), width.as_py(), tuple(keep.as_py()), quoted.as_py()).combine_chunks()
-                n = len(made)
-                known = [pa.repeat(x, n) for x in (where, name, encoding, preamble)]
-                ordinal = pa.array(range((block.as_py() << 32), (block.as_py() << 32) + n), pa.int64())
-                columns = [c.combine_chunks() for c in made.columns] + [pa.nulls(n, pa.string())] * (3 - made.num_columns)
-                for part in pa.Table.from_arrays([*known, ordinal, *columns], schema=schema).to_batches(max_chunksize=50_000):
-                    yield part
-
-    return blocks(files, signal).repartition("path", "block").mapInArrow(run, FIELDS)
+    def run(group: pa.Table) -> pa.Table:
+        parts = []
+        for block in group.to_pylist():
+            made = parse(block["data"], block["encoding"], block["width"], tuple(block["keep"]), block["quoted"]).combine_chunks()
+            n = len(made)
+            known = [pa.repeat(pa.scalar(block[x], schema.field(x).type), n) for x in ("path", "member", "encoding", "preamble_rows")]
+            ordinal = pa.array(range((block["block"] << 32), (block["block"] << 32) + n), pa.int64())
+            columns = [c.combine_chunks() for c in made.columns] + [pa.nulls(n, pa.string())] * (3 - made.num_columns)
+            parts += pa.Table.from_arrays([*known, ordinal, *columns], schema=schema).to_batches(max_chunksize=50_000)
+        return pa.Table.from_batches(parts, schema)
+
+    # a group is one block: mapInArrow would hold all blocks of a partition in one batch
+    return blocks(files, signal).groupBy("path", "block").applyInArrow(run, FIELDS)
 
 
 def _arrow_schema(fields: str) -> pa.Schema:

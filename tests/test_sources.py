@@ -12,12 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import normalize
-from gridloom.plans import scans
+from gridloom.plans import files, scans
 from gridloom.schema import DEMAND, DISPATCH, STATE, UNIFIED
 from gridloom.sources import archives, readers, sinks, workbooks
 from gridloom.streaming import collection, incremental
 
 from .conftest import DATA
+from .test_plans import plan
 
 
 def archive(**members: bytes) -> bytes:
@@ -349,3 +350,24 @@ def test_small_files_and_release_tables(spark, tmp_path):
 def test_nanos_leave_the_session_alone(spark, tmp_path):
     test_nanoseconds(spark, tmp_path)
     assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong", "false") == "false"
+
+
+def test_lines_go_into_archives_as_they_stream_by(spark):
+    """Archives begin and end within batches and go on over them; no text is put together, and blocks are decoded one by one."""
+    rows = [(p, f"2024-01-01 오전 1:{i % 60:02d}:00,IJ{i},{i}.5") for p in ("b", "a", None) for i in range(7)] + [("c", "2024-01-01 오후 1:00:00,IJ9,1.0")]
+    df = spark.createDataFrame(rows, "path string, line string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        made = archives.packed(df, "m.txt", "자료\n시간,발전기CODE,상태추정MW\n", "cp949")
+        found = made.collect()
+        decoded = archives.decoded(made, STATE)
+        back = decoded.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(str(r.path) for r in found) == ["None", "a", "b", "c"]
+    for r in found:
+        text = archives.opened(bytes(r.content)).read("m.txt").decode("cp949")
+        assert text.startswith("자료\n시간,") and sorted(text.splitlines()[2:]) == sorted(x for p, x in rows if p == r.path)
+    assert sorted((str(r.path), f"{r.c0},{r.c1},{r.c2}") for r in back) == sorted((str(p), x) for p, x in rows)
+    said = plan(decoded)
+    assert "FlatMapGroupsInArrow" in said and "collect_list" not in plan(files.s01_state_archives(spark, DATA))
