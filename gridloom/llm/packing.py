@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, trim
+from .common import text_slices, trim
 
 MAX_LENGTH = 4096
 END_ID = 2
@@ -47,7 +47,8 @@ class Words:
     """
 
     MARKS = ".,;:!?|#*$%&"
-    AT_ONCE = 500
+    #: Strings of letters that are encoded as one text, and such texts at a time.
+    AT_ONCE, TEXTS = 500, 16
 
     def __init__(self, path: str):
         import os
@@ -89,6 +90,8 @@ class Words:
 
     def small(self, text: str) -> tuple[str, str] | None:
         """Small composed letters and the punctuation that follows them, if a string is no more than that."""
+        if text.isascii() and text.isalpha():
+            return text.lower(), ""
         letters = text.rstrip(self.MARKS)
         low = letters.lower()
         if letters.isalpha() and (low.isascii() or (low.isalpha() and len(low) == len(letters) and "\u03a3" not in letters and is_normalized("NFC", low))):
@@ -96,19 +99,20 @@ class Words:
         return None
 
     def learn(self, new: list[bytes]) -> None:
-        texts = [w.decode() for w in new]
+        texts = b" ".join(new).decode().split(" ")
         parts = [self.small(t) for t in texts]
         unknown = list({p[0] for p in parts if p}.difference(self.letters))
-        for i in range(0, len(unknown), self.AT_ONCE):
-            some = unknown[i : i + self.AT_ONCE]
-            made = self.bare.encode(" ".join(some), add_special_tokens=False)
-            ids, at = np.array(made.ids, "<u4"), np.array(made.word_ids)
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            if len(first) != len(some):  # a word that normalisation cuts
-                self.letters.update((w, self.alone(w)) for w in some)
-                continue
-            raw, cut = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
-            self.letters.update((w, raw[a:b]) for w, a, b in zip(some, cut, cut[1:], strict=False))
+        groups = [unknown[i : i + self.AT_ONCE] for i in range(0, len(unknown), self.AT_ONCE)]
+        for i in range(0, len(groups), self.TEXTS):
+            few = groups[i : i + self.TEXTS]
+            for some, made in zip(few, self.bare.encode_batch([" ".join(g) for g in few], add_special_tokens=False), strict=True):
+                ids, at = np.array(made.ids, "<u4"), np.array(made.word_ids)
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                if len(first) != len(some):  # a word that normalisation cuts
+                    self.letters.update((w, self.alone(w)) for w in some)
+                    continue
+                raw, cut = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+                self.letters.update((w, raw[a:b]) for w, a, b in zip(some, cut, cut[1:], strict=False))
         for word, text, part in zip(new, texts, parts, strict=True):
             if part is None:
                 self.known[word] = self.alone(text)
@@ -139,19 +143,17 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
         encode, number = Words(tokenizer_path), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), as_bytes(batch.column(1))
-            for a, b in slices(texts):
-                rows = []
-                for doc, tokens in zip(ids[a:b], encode(texts[a:b]), strict=True):
-                    tokens += end
-                    n, start = len(tokens) // 4, 0
-                    for size in lengths(n, max_length):
-                        rows.append((doc, start, size, size.bit_length() - 1, tokens[4 * start : 4 * (start + size)], n, number, 0))
-                        number += 1
-                        start += size
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+        for part, texts in text_slices(batches, 1):
+            rows = []
+            for doc, tokens in zip(part.column(0).to_pylist(), encode(texts), strict=True):
+                tokens += end
+                n, start = len(tokens) // 4, 0
+                for size in lengths(n, max_length):
+                    rows.append((doc, start, size, size.bit_length() - 1, tokens[4 * start : 4 * (start + size)], n, number, 0))
+                    number += 1
+                    start += size
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, start long, length long, bucket int, tokens binary, doc_tokens long, sequence_id long, offset long"

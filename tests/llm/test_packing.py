@@ -63,3 +63,12 @@ def test_query_against_brute_force(spark, tokenizer, duck):
     for r in rows:
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()) and r.doc_tokens == len(ids[r.doc_id])
     assert sum(r.length for r in rows) == sum(map(len, ids.values()))
+
+
+def test_words_are_learned_in_several_texts_at_a_time(monkeypatch):
+    """Groups that aren't full, and one with a word that normalisation cuts, among others."""
+    monkeypatch.setattr(packing.Words, "AT_ONCE", 7)
+    monkeypatch.setattr(packing.Words, "TEXTS", 3)
+    words = packing.Words(tokenizer_path())
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}Word{'é' * (i % 3)}{',' * (i % 2)}" for i in range(100)), "ASCII Ünïcode É ﬁne x1 a.b", ""]
+    assert words([t.encode() for t in texts]) == [b"".join(words.alone(w) for w in t.split()) for t in texts]
