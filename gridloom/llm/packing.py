@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import compress
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,18 +37,66 @@ MAX_LENGTH = 4096
 END_ID = 2
 #: Words whose ids a worker keeps, some 200 bytes each; then it starts anew.
 CACHE_WORDS = 900_000
+#: Bytes of text that are looked at together, if no single text is longer.
+AT_A_TIME = 8 << 20
+
+
+#: Of each byte: 0 white space (the six ASCII ones), 1 a letter, 2 punctuation that may follow letters, 3 anything else.
+MARKS = ".,;:!?|#*$%&"
+_KIND = np.full(256, 3, np.uint8)
+_KIND[list(b"\t\n\v\f\r ")] = 0
+_KIND[[c for c in range(128) if chr(c).isalpha()]] = 1
+_KIND[list(MARKS.encode())] = 2
+_SMALL = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def kinds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """_KIND of bytes of UTF-8, with U+00C0 to U+00FF as letters but for two signs; where the second bytes of those letters are."""
+    kind, second = _KIND[raw], np.flatnonzero(raw[:-1] == 0xC3) + 1
+    second = second[(raw[second] != 0x97) & (raw[second] != 0xB7)]
+    kind[second] = kind[second - 1] = 1
+    return kind, second
+
+
+def parts(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """What stands between white spaces in the texts, punctuation apart that follows a letter and ends it; where each text's parts end.
+
+    Latin letters are small ones, but not in parts that hold anything else: a
+    small letter may compose otherwise, and special tokens are what they are.
+    """
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    kind, second = kinds(raw)
+    low = _SMALL[raw]
+    low[second[raw[second] <= 0x9E]] += 0x20
+    mark = kind == 2
+    after = np.flatnonzero(mark[:-1] & ~mark[1:]) + 1  # runs of punctuation
+    begin = np.flatnonzero((kind[:-1] == 1) & mark[1:]) + 1
+    begin = begin[kind[after[np.searchsorted(after, begin, "right")]] == 0] if len(begin) else begin
+    end = kind == 0
+    end[begin] = True
+    end = np.flatnonzero(end)
+    if len(other := np.flatnonzero(kind == 3)):
+        as_is = np.zeros(len(end), bool)
+        as_is[np.searchsorted(end, other, "right")] = True
+        as_is = np.repeat(as_is, np.diff(end, prepend=0))
+        np.copyto(low[: len(as_is)], raw[: len(as_is)], where=as_is)
+    space = kind[end] == 0
+    to = end - (np.cumsum(space) - space)  # without white space
+    some = np.diff(to, prepend=0) > 0
+    offsets = np.concatenate([[0], to[some]])
+    found = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low[kind != 0])])
+    return found, np.searchsorted(end[some], np.cumsum([len(t) + 1 for t in texts]))
 
 
 class Words:
-    """Token ids of texts by a tokenizer that drops white space and splits letters from the rest.
+    """Token ids of texts by a tokenizer that drops white space, makes letters small and splits them from the rest.
 
     Such a tokenizer encodes what stands between two ASCII white spaces alike
-    wherever it stands, so each distinct string is encoded once and kept.  A
-    string of letters and trailing punctuation is the ids of the small letters,
-    encoded many at a time, and then those of the punctuation.
+    wherever it stands, and so letters and the punctuation that ends them; each
+    distinct string (see parts) is encoded once and kept.  Strings of letters
+    are encoded many at a time.
     """
 
-    MARKS = ".,;:!?|#*$%&"
     #: Strings of letters that are encoded as one text, and such texts at a time.
     AT_ONCE, TEXTS = 500, 16
 
@@ -58,9 +108,11 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.bare = self._bare()
-        self.known: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {"": b""}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.learned = pa.array([], pa.large_binary())
 
     def _bare(self):
         """The same model without steps that leave small composed letters as they are; the whole tokenizer if it has others."""
@@ -77,13 +129,26 @@ class Words:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        found = [t.split() for t in texts]  # on the six ASCII white spaces
-        all_of = set().union(*found)
-        if new := all_of.difference(self.known):
+        ids, ends = self.ids(texts)
+        return [x.tobytes() for x in np.split(ids, ends[:-1])]
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and where each text's end."""
+        found, ends = parts(texts)
+        if not len(found):
+            return np.empty(0, "<u4"), ends
+        coded = found.dictionary_encode()
+        words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), pa.scalar(b" ", pa.large_binary()))[0].as_py().split(b" ")
+        made = list(map(self.known.get, words))
+        if new := [w for w, x in zip(words, made, strict=True) if x is None]:
             if len(self.known) + len(new) > CACHE_WORDS:
-                self.known, self.letters, new = {}, {"": b""}, all_of
-            self.learn(list(new))
-        return [b"".join(map(self.known.__getitem__, words)) for words in found]
+                self.forget()
+                new = words
+            self.learn(new)
+            made = list(map(self.known.__getitem__, words))
+        taken = self.learned.take(pa.array(made, pa.int64()).take(coded.indices))
+        at = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) // 4
+        return np.frombuffer(taken.buffers()[2] or b"", "<u4", at[-1]), at[ends]
 
     def alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -92,41 +157,57 @@ class Words:
         """Small composed letters and the punctuation that follows them, if a string is no more than that."""
         if text.isascii() and text.isalpha():
             return text.lower(), ""
-        letters = text.rstrip(self.MARKS)
+        letters = text.rstrip(MARKS)
         low = letters.lower()
         if letters.isalpha() and (low.isascii() or (low.isalpha() and len(low) == len(letters) and "\u03a3" not in letters and is_normalized("NFC", low))):
             return low, text[len(letters) :]
         return None
 
     def learn(self, new: list[bytes]) -> None:
-        texts = b" ".join(new).decode().split(" ")
-        parts = [self.small(t) for t in texts]
-        unknown = list({p[0] for p in parts if p}.difference(self.letters))
-        groups = [unknown[i : i + self.AT_ONCE] for i in range(0, len(unknown), self.AT_ONCE)]
+        """new: parts() of texts."""
+        raw = np.frombuffer(b" ".join([*new, b""]), np.uint8)
+        kind, _ = kinds(raw)
+        plain = np.ones(len(new), bool)  # small letters
+        plain[np.searchsorted(np.flatnonzero(kind == 0), np.flatnonzero(kind > 1))] = False
+        letters, others = list(compress(new, plain)), list(compress(new, ~plain))
+        split = [self.small(t.decode()) for t in others]
+        more = list({p[0] for p in split if p})
+        coded = self.encoded([*b" ".join(letters).decode().split(), *more])
+        known = dict(zip(more, coded[len(letters) :].to_pylist(), strict=True))
+        made = [known[p[0]] + self.alone(p[1]) if p else self.alone(t.decode()) for t, p in zip(others, split, strict=True)]
+        self.known.update(zip([*letters, *others], range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.learned = pa.concat_arrays([self.learned, coded[: len(letters)], pa.array(made, pa.large_binary())])
+
+    def encoded(self, letters: list[str]) -> pa.Array:
+        """Ids of strings of small composed letters."""
+        ids, sizes = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+        groups = [letters[i : i + self.AT_ONCE] for i in range(0, len(letters), self.AT_ONCE)]
         for i in range(0, len(groups), self.TEXTS):
             few = groups[i : i + self.TEXTS]
             for some, made in zip(few, self.bare.encode_batch([" ".join(g) for g in few], add_special_tokens=False), strict=True):
-                ids, at = np.array(made.ids, "<u4"), np.array(made.word_ids)
-                first = np.flatnonzero(np.diff(at, prepend=-1))
-                if len(first) != len(some):  # a word that normalisation cuts
-                    self.letters.update((w, self.alone(w)) for w in some)
-                    continue
-                raw, cut = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
-                self.letters.update((w, raw[a:b]) for w, a, b in zip(some, cut, cut[1:], strict=False))
-        for word, text, part in zip(new, texts, parts, strict=True):
-            if part is None:
-                self.known[word] = self.alone(text)
-                continue
-            low, mark = part
-            if mark not in self.marks:
-                self.marks[mark] = self.alone(mark)
-            self.known[word] = self.letters[low] + self.marks[mark]
+                first = np.flatnonzero(np.diff(np.array(made.word_ids, np.int64), prepend=-1))
+                if len(first) == len(some):
+                    ids.append(np.array(made.ids, "<u4"))
+                    sizes.append(np.diff(first, append=len(made.ids)))
+                else:  # a word that normalisation cuts
+                    each = [np.frombuffer(self.alone(w), "<u4") for w in some]
+                    ids += each
+                    sizes.append(np.array([len(x) for x in each]))
+        at, raw = 4 * np.cumsum(np.concatenate(sizes)), np.concatenate(ids)
+        return pa.Array.from_buffers(pa.large_binary(), len(letters), [None, pa.py_buffer(at), pa.py_buffer(raw)])
+
+
+def pieces(n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the pieces of texts of n tokens, text by text, and how many each has: powers of two, longest first."""
+    whole, rest = np.divmod(n, most)
+    bits = range(most.bit_length() - 2, -1, -1)
+    times = np.stack([whole, *(rest >> k & 1 for k in bits)], axis=1)
+    return np.repeat(np.tile(np.array([most, *(1 << k for k in bits)]), len(n)), times.ravel()), times.sum(axis=1)
 
 
 def lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
-    """Lengths of the pieces of n tokens: powers of two, longest first."""
-    whole, rest = divmod(n, most)
-    return [most] * whole + [1 << k for k in range(most.bit_length() - 1, -1, -1) if rest >> k & 1]
+    """pieces() of one text."""
+    return pieces(np.array([n]), most)[0].tolist()
 
 
 def pack(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -137,23 +218,23 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
-    end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "bucket", "tokens", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
-        encode, number = Words(tokenizer_path), TaskContext.get().partitionId() << 40
-        for part, texts in text_slices(batches, 1):
-            rows = []
-            for doc, tokens in zip(part.column(0).to_pylist(), encode(texts), strict=True):
-                tokens += end
-                n, start = len(tokens) // 4, 0
-                for size in lengths(n, max_length):
-                    rows.append((doc, start, size, size.bit_length() - 1, tokens[4 * start : 4 * (start + size)], n, number, 0))
-                    number += 1
-                    start += size
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+        words, number = Words(tokenizer_path), TaskContext.get().partitionId() << 40
+        for part, texts in text_slices(batches, 1, AT_A_TIME):
+            ids, ends = words.ids(texts)
+            ids, n = np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
+            size, times = pieces(n, max_length)
+            to, doc = np.cumsum(size), np.repeat(np.arange(len(n)), times)
+            columns = [
+                part.column(0).take(pa.array(doc)), to - size - (np.cumsum(n) - n)[doc], size, np.log2(size).astype(np.int32),
+                pa.Array.from_buffers(pa.binary(), len(size), [None, pa.array(np.concatenate([[0], 4 * to])).cast(pa.int32()).buffers()[1], pa.py_buffer(ids)]),
+                n[doc], number + np.arange(len(size)), np.zeros(len(size), np.int64),
+            ]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+            number += len(size)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, start long, length long, bucket int, tokens binary, doc_tokens long, sequence_id long, offset long"

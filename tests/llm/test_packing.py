@@ -72,3 +72,22 @@ def test_words_are_learned_in_several_texts_at_a_time(monkeypatch):
     words = packing.Words(tokenizer_path())
     texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}Word{'é' * (i % 3)}{',' * (i % 2)}" for i in range(100)), "ASCII Ünïcode É ﬁne x1 a.b", ""]
     assert words([t.encode() for t in texts]) == [b"".join(words.alone(w) for w in t.split()) for t in texts]
+
+
+def test_new_letters_are_not_looked_at_one_by_one(monkeypatch):
+    """Letters, with or without punctuation behind them, are cut, made small and encoded many at a time, and once in whatever form they come."""
+    words = packing.Words(tokenizer_path())
+    alone, looked = words.alone, []
+    monkeypatch.setattr(words, "small", lambda t: looked.append(t) or packing.Words.small(words, t))
+    text = "Word wORD, été ÉTÉ; Straße straße. word### Ñandú \u00d7 a\u00d7, a|b <|ENDOFTEXT|> <|endoftext|>, H\u0331, \u00e9\u0301. x1, »,"
+    assert words([text.encode(), b"", b" \n", b"word"]) == [b"".join(map(alone, text.split())), b"", b"", alone("word")]
+    assert set(looked) == {",", ";", ".", "###", "\u00d7", "a\u00d7,", "a|b", "<|ENDOFTEXT|>", "<|endoftext|>,", "H\u0331,", "\u00e9\u0301.", "x1,", "»,"}
+    assert {k.decode() for k in words.known} - set(looked) == {"word", "été", "straße", "ñandú"}
+
+
+@pytest.mark.parametrize("most", [1, 8, 4096])
+def test_pieces_of_many_texts(most):
+    n = [1, 7, 8, 4097, 9000, 13]
+    size, times = packing.pieces(np.array(n), most)
+    assert [x.tolist() for x in np.split(size, np.cumsum(times)[:-1])] == [packing.lengths(x, most) for x in n]
+    assert [sum(packing.lengths(x, most)) for x in n] == n
